@@ -85,29 +85,22 @@ def mark_first(text: Column, term: Column) -> Column:
     return F.when((F.coalesce(term, F.lit("")) == "") | (at == 0), text).otherwise(marked)
 
 
-def _chop(tokens: Column) -> Column:
-    """Split tokens longer than the analyzer's limit into pieces of that limit."""
-    pieces = F.flatten(
-        F.transform(
-            tokens,
-            lambda t: F.transform(
-                F.sequence(F.lit(0), F.floor((F.length(t) - 1) / MAX_TOKEN).cast("int")),
-                lambda i: t.substr(i * MAX_TOKEN + 1, F.lit(MAX_TOKEN)),
-            ),
-        )
-    )
-    return F.when(F.exists(tokens, lambda t: F.length(t) > MAX_TOKEN), pieces).otherwise(tokens)
-
-
 def standard_tokens(text: Column) -> Column:
-    """Lower-cased word tokens in text order; an empty array for null."""
+    """Lower-cased word tokens in text order; an empty array for null. Longer words are cut into pieces."""
     found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
-    return _chop(found)
+    pieces = F.transform(
+        found,
+        lambda t: F.transform(
+            F.sequence(F.lit(0), F.floor((F.length(t) - 1) / MAX_TOKEN).cast("int")),
+            lambda i: t.substr(i * MAX_TOKEN + 1, F.lit(MAX_TOKEN)),
+        ),
+    )
+    return F.flatten(pieces)
 
 
 def folded_tokens(text: Column) -> Column:
-    """Word tokens, lower-cased and accent-folded."""
-    return F.transform(standard_tokens(text), fold)
+    """Word tokens, lower-cased and accent-folded. Letters fold to letters, so the text is folded as a whole."""
+    return standard_tokens(fold(text))
 
 
 def runs(text: Column) -> Column:
@@ -115,18 +108,22 @@ def runs(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(RUN), F.lit(0))
 
 
+def fold_each(words: Column) -> Column:
+    """Fold an array of letter/digit runs with one pass over their joined text."""
+    return F.filter(F.split(fold(F.array_join(words, " ")), " "), lambda w: w != "")
+
+
 def edge_ngrams(text: Column, shortest: int = 2, longest: int = 20) -> Column:
     """Folded prefixes of every letter/digit run, in text order."""
     long_enough = F.filter(runs(text), lambda run: F.length(run) >= shortest)
-    return F.flatten(
-        F.transform(
-            long_enough,
-            lambda run: F.transform(
-                F.sequence(F.lit(shortest), F.least(F.lit(longest), F.length(run))),
-                lambda n: fold(run.substr(F.lit(1), n)),
-            ),
-        )
+    prefixes = F.transform(
+        long_enough,
+        lambda run: F.transform(
+            F.sequence(F.lit(shortest), F.least(F.lit(longest), F.length(run))),
+            lambda n: run.substr(F.lit(1), n),
+        ),
     )
+    return fold_each(F.flatten(prefixes))
 
 
 def highlight(text: Column, terms: Column, before: str = "<strong>", after: str = "</strong>") -> Column:

@@ -2,7 +2,7 @@
 
 Two strings within k edits share a string reachable from both by at most k deletions. Both sides emit the
 hashes of those strings, an equi-join proposes pairs, and each distinct pair is checked exactly. The distance
-is Damerau-Levenshtein: an adjacent swap is one edit.
+is Damerau-Levenshtein: an adjacent swap is one edit. Expressions are written as SQL text over column names.
 """
 
 from __future__ import annotations
@@ -10,103 +10,86 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+NO_STRINGS = "cast(array() as array<string>)"
+NO_HASHES = "cast(array() as array<bigint>)"
+
 
 def edit_budget(token: Column) -> Column:
     """Edits allowed by length: 0 up to two characters, 1 up to five, else 2."""
     return F.when(F.length(token) <= 2, 0).when(F.length(token) <= 5, 1).otherwise(2)
 
 
-def _without(text: Column, at: Column) -> Column:
-    return F.concat(text.substr(F.lit(1), at - 1), text.substr(at + 1, F.length(text)))
-
-
-def _each_position(text: Column, count: Column, make) -> Column:
-    """make(1), ..., make(count) as an array; empty when count < 1."""
-    values = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), make)
-    return F.when(count >= 1, values).otherwise(F.slice(values, 1, 0))
-
-
-def deletions(text: Column, edits: int) -> Column:
-    """Hashes of the text and of all strings left after deleting up to `edits` characters."""
-    size = F.length(text)
-    kept = F.array(F.xxhash64(text))
+def deletions(text: str, edits: int) -> str:
+    """Hashes, tagged with `edits`, of the text and of all strings left after deleting up to that many characters."""
+    one = f"concat(left({text}, i - 1), substr({text}, i + 1))"
+    two = f"concat(left({one}, j - 1), substr({one}, j + 1))"
+    parts = [f"array(xxhash64({edits}, {text}))"]
     if edits >= 1:
-        kept = F.concat(kept, _each_position(text, size, lambda i: F.xxhash64(_without(text, i))))
+        each = f"transform(sequence(1, length({text})), i -> xxhash64({edits}, {one}))"
+        parts.append(f"if(length({text}) >= 1, {each}, {NO_HASHES})")
     if edits >= 2:
-        pairs = _each_position(
-            text,
-            size - 1,
-            lambda i: F.transform(
-                F.sequence(i, size - 1), lambda j: F.xxhash64(_without(_without(text, i), j))
-            ),
-        )
-        kept = F.concat(kept, F.flatten(pairs))
-    return F.array_distinct(kept)
-
-
-def swaps(text: Column) -> Column:
+        inner = f"transform(sequence(i, length({text}) - 1), j -> xxhash64({edits}, {two}))"
+        each = f"flatten(transform(sequence(1, length({text}) - 1), i -> {inner}))"
+        parts.append(f"if(length({text}) >= 2, {each}, {NO_HASHES})")
+    return f"array_distinct(concat({', '.join(parts)}))"
+
+
+def swaps(text: str) -> str:
     """All strings made by exchanging two adjacent characters."""
-    return _each_position(
-        text,
-        F.length(text) - 1,
-        lambda i: F.concat(
-            text.substr(F.lit(1), i - 1),
-            text.substr(i + 1, F.lit(1)),
-            text.substr(i, F.lit(1)),
-            text.substr(i + 2, F.length(text)),
-        ),
-    )
+    swapped = f"concat(left({text}, i - 1), substr({text}, i + 1, 1), substr({text}, i, 1), substr({text}, i + 2))"
+    each = f"transform(sequence(1, length({text}) - 1), i -> {swapped})"
+    return f"if(length({text}) >= 2, {each}, {NO_STRINGS})"
+
 
+def edit_distance_upto_2(a: str, b: str) -> Column:
+    """Damerau-Levenshtein distance of two columns if it is at most 2, else null.
 
-def edit_distance_upto_2(a: Column, b: Column) -> Column:
-    """Damerau-Levenshtein distance if it is at most 2, else null."""
-    plain = F.levenshtein(a, b, 4)
-    one = (plain == 1) | ((plain == 2) & (F.length(a) == F.length(b)) & F.array_contains(swaps(a), b))
-    two = (
-        (plain == 2)
-        | F.exists(swaps(a), lambda x: F.levenshtein(x, b, 1) >= 0)
-        | F.exists(swaps(b), lambda x: F.levenshtein(a, x, 1) >= 0)
-        | F.arrays_overlap(swaps(a), swaps(b))
+    A swap costs two plain edits, so a plain distance of 4 needs two swaps and 3 needs at least one.
+    """
+    return F.expr(
+        f"""case
+            when levenshtein({a}, {b}, 4) between 0 and 1 then levenshtein({a}, {b}, 4)
+            when levenshtein({a}, {b}, 4) = 2
+              then if(length({a}) = length({b}) and array_contains({swaps(a)}, {b}), 1, 2)
+            when levenshtein({a}, {b}, 4) = 4
+              then if(length({a}) = length({b}) and arrays_overlap({swaps(a)}, {swaps(b)}), 2, null)
+            when levenshtein({a}, {b}, 4) = 3 and (exists({swaps(a)}, x -> levenshtein(x, {b}, 1) >= 0)
+              or exists({swaps(b)}, x -> levenshtein({a}, x, 1) >= 0)
+              or arrays_overlap({swaps(a)}, {swaps(b)})) then 2
+            end"""
     )
-    return F.when(plain == 0, 0).when(plain < 0, None).when(one, 1).when(two, 2)
 
 
 def similarity(distance: Column, a: Column, b: Column) -> Column:
     return 1 - distance / F.least(F.length(a), F.length(b))
 
 
-def _keys(df: DataFrame, text: str, edits: int) -> DataFrame:
-    return df.withColumn("_key", F.explode(deletions(F.col(text), edits)))
+def spread(words: DataFrame) -> DataFrame:
+    """Word lists are few bytes but much work per row, so their partitions must not be merged by size."""
+    return words.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def fuzzy_join(tokens: DataFrame, terms: DataFrame, same_first_letter: bool = False) -> DataFrame:
+def fuzzy_join(
+    tokens: DataFrame, terms: DataFrame, same_first_letter: bool = False, budgets: tuple[int, ...] = (0, 1, 2)
+) -> DataFrame:
     """(token, term, distance) for each token's budget.
 
-    `tokens` has (token, edits) with edits 0, 1 or 2; `terms` has (term). Duplicates are removed first, so the
-    size of a join key's group depends on the alphabet, not on how often a word occurs.
+    `tokens` has (token, edits) with edits among `budgets`; `terms` has (term). Duplicates are removed first, so
+    the size of a join key's group depends on the alphabet, not on how often a word occurs.
     """
-    tokens = tokens.select("token", "edits").distinct()
-    terms = terms.select("term").distinct()
-    parts = []
-    for edits in (1, 2):
-        left = tokens.filter(F.col("edits") == edits)
-        condition = F.abs(F.length("token") - F.length("term")) <= edits
-        if same_first_letter:
-            condition &= F.left("token", F.lit(1)) == F.left("term", F.lit(1))
-        proposed = (
-            _keys(left, "token", edits).join(_keys(terms, "term", edits), "_key").filter(condition)
-        ).select("token", "term", F.lit(edits).alias("edits"))
-        parts.append(proposed.distinct())
-    checked = (
-        parts[0]
-        .unionByName(parts[1])
-        .withColumn("distance", edit_distance_upto_2(F.col("token"), F.col("term")))
-        .filter(F.col("distance") <= F.col("edits"))
-        .select("token", "term", "distance")
+    own_keys = " ".join(f"when {edits} then {deletions('token', edits)}" for edits in budgets)
+    all_keys = ", ".join(deletions("term", edits) for edits in budgets)
+    left = spread(tokens.select("token", "edits").distinct()).withColumn(
+        "_key", F.expr(f"explode(case edits {own_keys} end)")
     )
-    exact = (
-        tokens.filter(F.col("edits") == 0)
-        .join(terms.withColumn("token", F.col("term")), "token")
-        .select("token", "term", F.lit(0).alias("distance"))
+    right = spread(terms.select("term").distinct()).withColumn("_key", F.expr(f"explode(concat({all_keys}))"))
+    close = "abs(length(token) - length(term)) <= edits"
+    if same_first_letter:
+        close += " and left(token, 1) = left(term, 1)"
+    proposed = left.join(right, "_key").filter(close).select("token", "term", "edits").distinct()
+    return (
+        spread(proposed)
+        .withColumn("distance", edit_distance_upto_2("token", "term"))
+        .filter("distance <= edits")
+        .select("token", "term", "distance")
     )
-    return checked.unionByName(exact)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str, cores: str = "8") -> SparkSession:
@@ -45,3 +45,9 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; nothing is created or deleted."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write an intermediate result to the shared folder once, so later steps neither recompute nor re-plan it."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

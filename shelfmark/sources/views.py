@@ -13,6 +13,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Redistribute a scan with fewer splits than twice the cores, so text work uses all of them.
+
+    A large table has many more splits and is left as it is: its rows are not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * 2) if df.rdd.getNumPartitions() < cores * 2 else df
+
+
+def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, text) of the documents."""
+    text = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    return spread_scan(text)
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("id"),
@@ -22,13 +37,13 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The products as CREATED events in key order."""
+def product_changes(spark: SparkSession, sf_dir: str, op: str = S.CREATED) -> DataFrame:
+    """The products as events in key order, one per second, after the change feed."""
     part = table(spark, sf_dir, "part")
     return part.select(
-        F.lit(None).cast("timestamp_ntz").alias("seq_ts"),
+        F.expr("timestamp_ntz'2024-02-01 00:00:00' + make_dt_interval(0, 0, 0, p_partkey)").alias("seq_ts"),
         F.col("p_partkey").alias("seq_id"),
-        F.lit(S.CREATED).alias("op"),
+        F.lit(op).alias("op"),
         F.col("p_partkey").cast("string").alias("id"),
         F.col("p_name").alias("name"),
         F.concat_ws(" ", "p_brand", "p_type").alias("description"),
