@@ -372,7 +372,7 @@ ORACLE: dict[str, str] = {
     + f"""SELECT id, name, description, CAST(price AS DOUBLE) AS price, {document_columns()},
       TIMESTAMP '2024-01-31' AS "updatedAt", TIMESTAMP '2024-01-31' AS "priceChangedAt" FROM products""",
     "main_term": with_(LINES) + f"SELECT id, line, {main_term('name')} AS term FROM lines",
-    "price_filter": "SELECT CAST(p_partkey AS VARCHAR) AS id, p_retailprice AS price FROM part WHERE p_retailprice BETWEEN 920 AND 950",
+    "price_filter": "SELECT CAST(p_partkey AS VARCHAR) AS id, p_retailprice AS price FROM part WHERE p_retailprice BETWEEN 905 AND 950",
     "match_highlight": """SELECT doc_id, CASE WHEN pos = 0 THEN text
       ELSE left(text, pos - 1) || '<mark>' || substr(text, pos, 2) || '</mark>' || substr(text, pos + 2) END AS marked
     FROM (SELECT *, strpos(lower(text), 'en') AS pos FROM documents)""",

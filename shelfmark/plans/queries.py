@@ -160,7 +160,7 @@ def _(spark, sf):
 
 @query("price_filter")
 def _(spark, sf):
-    part = products.price_filter(views.table(spark, sf, "part"), 920.0, 950.0, "p_retailprice")
+    part = products.price_filter(views.table(spark, sf, "part"), 905.0, 950.0, "p_retailprice")
     return part.select(F.col("p_partkey").cast("string").alias("id"), F.col("p_retailprice").alias("price"))
 
 

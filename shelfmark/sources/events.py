@@ -58,3 +58,8 @@ def decode(messages: DataFrame) -> DataFrame:
         "error",
         *[F.when(F.col("error").isNull(), column).alias(name) for name, column in fields.items()],
     )
+
+
+def read_seed(spark, path: str) -> DataFrame:
+    """Seed products from a JSON array of {name, description, price}."""
+    return spark.read.schema(S.SEED).option("multiLine", True).json(path)
