@@ -64,9 +64,10 @@ def similarity(distance: Column, a: Column, b: Column) -> Column:
     return 1 - distance / F.least(F.length(a), F.length(b))
 
 
-def spread(words: DataFrame) -> DataFrame:
-    """Word lists are few bytes but much work per row, so their partitions must not be merged by size."""
-    return words.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _distinct(words: DataFrame, *columns: str) -> DataFrame:
+    """Distinct words over all tasks: they are few bytes but much work each, so partitions must not be merged."""
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return words.select(*columns).repartition(tasks, columns[0]).distinct()
 
 
 def fuzzy_join(
@@ -75,21 +76,19 @@ def fuzzy_join(
     """(token, term, distance) for each token's budget.
 
     `tokens` has (token, edits) with edits among `budgets`; `terms` has (term). Duplicates are removed first, so
-    the size of a join key's group depends on the alphabet, not on how often a word occurs.
+    the size of a join key's group depends on the alphabet, not on how often a word occurs; callers with many
+    repeated words pass them through distinct() to combine them before they are moved.
     """
     own_keys = " ".join(f"when {edits} then {deletions('token', edits)}" for edits in budgets)
     all_keys = ", ".join(deletions("term", edits) for edits in budgets)
-    left = spread(tokens.select("token", "edits").distinct()).withColumn(
-        "_key", F.expr(f"explode(case edits {own_keys} end)")
-    )
-    right = spread(terms.select("term").distinct()).withColumn("_key", F.expr(f"explode(concat({all_keys}))"))
+    left = _distinct(tokens, "token", "edits").withColumn("_key", F.expr(f"explode(case edits {own_keys} end)"))
+    right = _distinct(terms, "term").withColumn("_key", F.expr(f"explode(concat({all_keys}))"))
     close = "abs(length(token) - length(term)) <= edits"
     if same_first_letter:
         close += " and left(token, 1) = left(term, 1)"
     proposed = left.join(right, "_key").filter(close).select("token", "term", "edits").distinct()
     return (
-        spread(proposed)
-        .withColumn("distance", edit_distance_upto_2("token", "term"))
+        proposed.withColumn("distance", edit_distance_upto_2("token", "term"))
         .filter("distance <= edits")
         .select("token", "term", "distance")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark import schemas as S
 from shelfmark.functions import text as tx
 from shelfmark.operators import skew
-from shelfmark.session import shared_dir
+from shelfmark.session import settle
 from shelfmark.sources.events import encode
 
 
@@ -131,11 +131,10 @@ def apply_created(batch: DataFrame, catalog: DataFrame) -> DataFrame:
     the events they block. Each round is a few aggregates and joins and the rest shrinks quickly.
     `batch` needs seq_id (unique), id and normalizedKey.
     """
-    shared_dir(batch.sparkSession)
     ids = catalog.select("id").distinct().withColumn("_has_id", F.lit(True))
     keys = catalog.select("normalizedKey").distinct().withColumn("_has_key", F.lit(True))
     checked = skew.attach(batch.select("seq_id", "id", "normalizedKey"), ids, ["id"], ["seq_id"])
-    checked = skew.attach(checked, keys, ["normalizedKey"], ["seq_id"]).checkpoint()
+    checked = settle(skew.attach(checked, keys, ["normalizedKey"], ["seq_id"]))
 
     waiting = checked.filter("_has_id is null and _has_key is null").select("seq_id", "id", "normalizedKey")
     rounds: list[DataFrame] = []
@@ -143,13 +142,13 @@ def apply_created(batch: DataFrame, catalog: DataFrame) -> DataFrame:
         first_of_id = waiting.groupBy("id").agg(F.min("seq_id").alias("seq_id")).select("seq_id")
         first_of_key = waiting.groupBy("normalizedKey").agg(F.min("seq_id").alias("seq_id")).select("seq_id")
         winners = first_of_id.join(first_of_key, "seq_id")
-        won = waiting.join(winners, "seq_id", "left_semi").checkpoint()
+        won = settle(waiting.join(winners, "seq_id", "left_semi"))
         rounds.append(won)
         rest = waiting.join(won.select("seq_id"), "seq_id", "left_anti")
         for key in ("id", "normalizedKey"):
             taken = won.select(key).withColumn("_taken", F.lit(True))
             rest = skew.attach(rest, taken, [key], ["seq_id"]).filter("_taken is null").drop("_taken")
-        waiting = rest.checkpoint()
+        waiting = settle(rest)
 
     if not rounds:
         owner = checked.select("id", F.col("seq_id").alias("_owner")).limit(0)

@@ -62,7 +62,7 @@ def expand(specs: DataFrame, terms: DataFrame, fuzzy: bool) -> DataFrame:
         "spec_id", "min_price", "max_price", F.explode("tokens").alias("token")
     )
     budget = edit_budget(F.col("token")) if fuzzy else F.lit(0)
-    pairs = fuzzy_join(asked.select("token", budget.alias("edits")), terms)
+    pairs = fuzzy_join(asked.select("token", budget.alias("edits")), terms.select("term").distinct())
     weight = similarity(F.col("distance"), F.col("token"), F.col("term"))
     meanings = pairs.withColumn("similarity", weight).drop("distance")
     found = skew.salted_join(asked, meanings, ["token"], ["spec_id"])

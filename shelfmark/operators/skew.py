@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.session import shared_dir
+from shelfmark.session import settle
 
 SALTS = 16
 
@@ -88,19 +88,16 @@ def distributed_rank(
     """row_number over groups of any size without putting a group in one task.
 
     Rows are range-partitioned by (group, order), so a large group spans several partitions. Positions are
-    fixed by a checkpoint; a count per (group, partition) then gives each partition its offset.
+    written down, as range bounds may differ between runs; a count per (group, partition) then gives each
+    partition its offset.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in group]
-    placed = (
+    placed = settle(
         df.repartitionByRange(parts, *keys, *order)
         .sortWithinPartitions(*keys, *order)
         .withColumn("_at", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_part", F.shiftright("_at", 33))
-    )
+    ).withColumn("_part", F.shiftright("_at", 33))
     spans = placed.groupBy(*group, "_part").agg(F.min("_at").alias("_from"), F.count("*").alias("_n"))
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = spans.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")

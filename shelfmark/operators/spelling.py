@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import text as tx
 from shelfmark.operators import skew
 from shelfmark.operators.fuzzy import fuzzy_join, similarity
+from shelfmark.session import settle
 
 MIN_LENGTH = 4
 MAX_EDITS = 2
@@ -24,7 +25,7 @@ def vocabulary(products: DataFrame) -> DataFrame:
 def suggest(queries: DataFrame, words: DataFrame) -> DataFrame:
     """(query, position, suggestion): more frequent words near the first token of each distinct query."""
     token = F.get(tx.standard_tokens(F.col("query")), 0)
-    first = queries.select("query").distinct().select("query", token.alias("token"))
+    first = settle(queries.select("query").distinct().select("query", token.alias("token")))
     tokens = first.filter(F.length("token") >= MIN_LENGTH).select("token").distinct()
     own = words.select(F.col("term").alias("token"), F.col("df").alias("own_df"))
     asked = tokens.join(own, "token", "left").withColumn("own_df", F.coalesce("own_df", F.lit(0)))

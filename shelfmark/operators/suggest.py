@@ -58,7 +58,7 @@ def prefix_terms(terms: DataFrame, prefixes: DataFrame) -> DataFrame:
 
 def by_prefix(requests: DataFrame, products: DataFrame) -> DataFrame:
     """Names holding the prefix's tokens in a row, the last one as the start of a word."""
-    names = name_index(products)
+    names = settle(name_index(products))
     lengths = products.select(F.size(tx.folded_tokens(F.col("name"))).alias("dl")).filter("dl > 0")
     field = lengths.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_len"))
     stats = names.groupBy("term").agg(F.count("*").alias("df"))
@@ -136,7 +136,7 @@ def by_contains(requests: DataFrame, products: DataFrame) -> DataFrame:
         F.transform(F.filter(tx.runs(F.col("name")), lambda r: F.length(r) >= 2), lambda r: F.left(r, F.lit(20)))
     )
     edges = products.select("id", "name", F.explode(F.array_distinct(longest)).alias("term"))
-    entries = words.withColumn("field", F.lit("word")).unionByName(edges.withColumn("field", F.lit("edge")))
+    entries = settle(words.withColumn("field", F.lit("word")).unionByName(edges.withColumn("field", F.lit("edge"))))
 
     stretches = F.filter(F.split("prefix", r"[*?]+"), lambda s: s != "")
     longest_stretch = F.reduce(
@@ -163,7 +163,7 @@ def by_contains(requests: DataFrame, products: DataFrame) -> DataFrame:
 
 def by_fuzzy(requests: DataFrame, products: DataFrame) -> DataFrame:
     """Names with an n-gram near any token of the prefix; at most 20 n-grams per token."""
-    entries = gram_index(products)
+    entries = settle(gram_index(products))
     stats = analysis.term_stats(entries)
     sizes = products.select(F.size(tx.edge_ngrams(F.col("name"))).alias("dl")).filter("dl > 0")
     field = sizes.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_len"))

@@ -356,7 +356,7 @@ def _(spark, sf):
     token = F.explode(tx.folded_tokens(F.col("text"))).alias("token")
     tokens = passages.select(token).withColumn("edits", fuzzy.edit_budget(F.col("token")))
     terms = views.docs(spark, sf).select(F.explode(tx.folded_tokens(F.col("text"))).alias("term"))
-    return fuzzy.fuzzy_join(tokens, terms)
+    return fuzzy.fuzzy_join(tokens.distinct(), terms.distinct())
 
 
 # --- search -----------------------------------------------------------------------------------------------

@@ -48,6 +48,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write an intermediate result to the shared folder once, so later steps neither recompute nor re-plan it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write an intermediate result to the shared folder and continue from the written table.
+
+    Later steps neither recompute nor re-plan it, a lost executor costs a re-read only, and the planner knows
+    its true size when it decides whether to broadcast it.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
