@@ -14,32 +14,27 @@ from shelfmark import schemas as S
 from shelfmark.operators import skew
 
 SNAPSHOT = "SNAPSHOT"
+REJECTED = "REJECTED"
 _ORDER = ["seq_ts", "seq_id"]
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
-def _carry(feed: DataFrame, value: Column, name: str, chunked: bool) -> DataFrame:
-    """Add the last non-null `value` among earlier events of the same id."""
-    feed = feed.withColumn("_value", value)
-    inside = Window.partitionBy("id", "chunk").orderBy(*_ORDER).rowsBetween(*_BEFORE)
-    feed = feed.withColumn(name, F.last("_value", ignorenulls=True).over(inside))
-    if chunked:
-        position = F.when(F.col("_value").isNotNull(), F.struct(*_ORDER))
-        tails = feed.groupBy("id", "chunk").agg(F.max_by("_value", position).alias("_tail"))
-        across = Window.partitionBy("id").orderBy("chunk").rowsBetween(*_BEFORE)
-        carried = tails.withColumn("_carried", F.last("_tail", ignorenulls=True).over(across)).drop("_tail")
-        feed = feed.join(carried, ["id", "chunk"]).withColumn(name, F.coalesce(name, "_carried")).drop("_carried")
-    return feed.drop("_value")
+def position() -> Column:
+    """An event's place in the total order."""
+    return F.struct(*_ORDER)
 
 
-def annotate(
-    changes: DataFrame, catalog: DataFrame | None = None, hot_rows: int | None = None
-) -> DataFrame:
-    """Add outcome, applied and marks_price to every event, given the catalog before the feed.
+def forever() -> Column:
+    """A place after every event."""
+    return F.struct(
+        F.expr("timestamp_ntz'9999-12-31 00:00:00'").alias("seq_ts"), F.lit(2**63 - 1).alias("seq_id")
+    )
 
-    Catalog rows join the feed as a first event of their id with op SNAPSHOT. `updated_at` and
-    `price_changed_at` hold the times the event would set.
-    """
+
+def timeline(
+    changes: DataFrame, catalog: DataFrame | None, hot_rows: int | None
+) -> tuple[DataFrame, bool]:
+    """The feed with catalog rows as a first event of their id (op SNAPSHOT), and whether ids are chunked."""
     bounds = skew.hot_key_bounds(changes, "id", "seq_ts", hot_rows)
     feed = changes.select(
         *S.CHANGE.names, F.col("seq_ts").alias("updated_at"), F.col("seq_ts").alias("price_changed_at")
@@ -57,15 +52,47 @@ def annotate(
             F.col("priceChangedAt").alias("price_changed_at"),
         )
         feed = feed.unionByName(start)
-    feed = skew.chunk_of(feed, "id", "seq_ts", bounds)
-    chunked = bounds is not None
+    return skew.chunk_of(feed, "id", "seq_ts", bounds), bounds is not None
+
 
-    feed = _carry(feed, F.col("op"), "prev_op", chunked)
+def carry(feed: DataFrame, value: Column, name: str, chunked: bool, backwards: bool = False) -> DataFrame:
+    """Add the last non-null `value` among earlier events of the same id (or the next one, going backwards)."""
+    feed = feed.withColumn("_value", value)
+    direction = F.desc if backwards else F.asc
+    inside = Window.partitionBy("id", "chunk").orderBy(*[direction(c) for c in _ORDER]).rowsBetween(*_BEFORE)
+    feed = feed.withColumn(name, F.last("_value", ignorenulls=True).over(inside))
+    if chunked:
+        edge = F.min_by if backwards else F.max_by
+        place = F.when(F.col("_value").isNotNull(), position())
+        tails = feed.groupBy("id", "chunk").agg(edge("_value", place).alias("_tail"))
+        across = Window.partitionBy("id").orderBy(direction("chunk")).rowsBetween(*_BEFORE)
+        carried = tails.withColumn("_carried", F.last("_tail", ignorenulls=True).over(across)).drop("_tail")
+        feed = feed.join(carried, ["id", "chunk"]).withColumn(name, F.coalesce(name, "_carried")).drop("_carried")
+    return feed.drop("_value")
+
+
+def annotate(
+    changes: DataFrame,
+    catalog: DataFrame | None = None,
+    hot_rows: int | None = None,
+    rejected: DataFrame | None = None,
+) -> DataFrame:
+    """Add outcome, applied and marks_price to every event, given the catalog before the feed.
+
+    `rejected` holds the seq_id of CREATED events that lose to another product's key (see uniqueness.py).
+    `updated_at` and `price_changed_at` hold the times the event would set.
+    """
+    if rejected is not None:
+        lost = rejected.select("seq_id", F.lit(REJECTED).alias("_lost"))
+        changes = changes.join(lost, "seq_id", "left").withColumn("op", F.coalesce("_lost", "op")).drop("_lost")
+    feed, chunked = timeline(changes, catalog, hot_rows)
     op = F.col("op")
+    feed = carry(feed, F.when(op != REJECTED, op), "prev_op", chunked)
     alive = F.coalesce(F.col("prev_op") != S.DELETED, F.lit(False))
     outcome = (
         F.when(op == SNAPSHOT, SNAPSHOT)
-        .when((op == S.CREATED) & alive, "ignored_id")
+        .when(op.isin(S.CREATED, REJECTED) & alive, "ignored_id")
+        .when(op == REJECTED, "ignored_key")
         .when(op == S.CREATED, "created")
         .when((op == S.UPDATED) & alive, "updated")
         .when(op == S.UPDATED, "created_from_update")
@@ -80,7 +107,7 @@ def annotate(
         F.col("applied") | (op == S.DELETED),
         F.struct((op == S.DELETED).alias("gone"), F.col("price").alias("price")),
     )
-    feed = _carry(feed, state, "prev", chunked)
+    feed = carry(feed, state, "prev", chunked)
     first = F.col("prev").isNull() | F.col("prev.gone")
     price, before = F.col("price"), F.col("prev.price")
     changed = first | before.isNull() | F.coalesce(price != before, F.lit(False))
@@ -89,19 +116,19 @@ def annotate(
 
 def outcomes(annotated: DataFrame) -> DataFrame:
     """(seq_id, id, op, outcome) per event."""
-    return annotated.filter(F.col("op") != SNAPSHOT).select("seq_id", "id", "op", "outcome")
+    op = F.when(F.col("op") == REJECTED, S.CREATED).otherwise(F.col("op"))
+    return annotated.filter(F.col("op") != SNAPSHOT).select("seq_id", "id", op.alias("op"), "outcome")
 
 
 def catalog_of(annotated: DataFrame) -> DataFrame:
     """The catalog after the feed: id, name, description, price, updatedAt, priceChangedAt."""
-    position = F.struct(*_ORDER)
     last = F.struct("name", "description", "price", "updated_at")
     return (
         annotated.groupBy("id")
         .agg(
-            F.max_by("op", position).alias("_op"),
-            F.max_by(last, F.when(F.col("applied"), position)).alias("_doc"),
-            F.max_by("price_changed_at", F.when(F.col("marks_price"), position)).alias("priceChangedAt"),
+            F.max_by("op", F.when(F.col("op") != REJECTED, position())).alias("_op"),
+            F.max_by(last, F.when(F.col("applied"), position())).alias("_doc"),
+            F.max_by("price_changed_at", F.when(F.col("marks_price"), position())).alias("priceChangedAt"),
         )
         .filter(F.col("_op") != S.DELETED)
         .select(
@@ -115,9 +142,14 @@ def catalog_of(annotated: DataFrame) -> DataFrame:
     )
 
 
-def fold(changes: DataFrame, catalog: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
+def fold(
+    changes: DataFrame,
+    catalog: DataFrame | None = None,
+    hot_rows: int | None = None,
+    rejected: DataFrame | None = None,
+) -> DataFrame:
     """The catalog after applying an ordered mixed feed to an optional catalog."""
-    return catalog_of(annotate(changes, catalog, hot_rows))
+    return catalog_of(annotate(changes, catalog, hot_rows, rejected))
 
 
 def apply_updated(updates: DataFrame, catalog: DataFrame, hot_rows: int | None = None) -> DataFrame:

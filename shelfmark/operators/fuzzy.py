@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 NO_STRINGS = "cast(array() as array<string>)"
 NO_HASHES = "cast(array() as array<bigint>)"
+FEW_KEYS = 100_000
 
 
 def edit_budget(token: Column) -> Column:
@@ -77,7 +78,9 @@ def fuzzy_join(
 
     `tokens` has (token, edits) with edits among `budgets`; `terms` has (term). Duplicates are removed first, so
     the size of a join key's group depends on the alphabet, not on how often a word occurs; callers with many
-    repeated words pass them through distinct() to combine them before they are moved.
+    repeated words pass them through distinct() to combine them before they are moved. Request keys are
+    broadcast if counted to be few; otherwise both sides are sorted by key. The vocabulary's keys are never
+    broadcast: exploding makes them far larger than the planner's estimate.
     """
     own_keys = " ".join(f"when {edits} then {deletions('token', edits)}" for edits in budgets)
     all_keys = ", ".join(deletions("term", edits) for edits in budgets)
@@ -86,7 +89,12 @@ def fuzzy_join(
     close = "abs(length(token) - length(term)) <= edits"
     if same_first_letter:
         close += " and left(token, 1) = left(term, 1)"
-    proposed = left.join(right, "_key").filter(close).select("token", "term", "edits").distinct()
+    if left.limit(FEW_KEYS + 1).count() <= FEW_KEYS:
+        joined = right.join(F.broadcast(left), "_key")
+    else:
+        joined = left.join(right.hint("merge"), "_key")
+    # max(edits) instead of distinct() keeps the costly check below from moving in front of the aggregate.
+    proposed = joined.filter(close).groupBy("token", "term").agg(F.max("edits").alias("edits"))
     return (
         proposed.withColumn("distance", edit_distance_upto_2("token", "term"))
         .filter("distance <= edits")

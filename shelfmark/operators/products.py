@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark import schemas as S
 from shelfmark.functions import text as tx
 from shelfmark.operators import skew
-from shelfmark.session import settle
 from shelfmark.sources.events import encode
 
 
@@ -121,43 +118,3 @@ def distinct_names(ranked: DataFrame, group: str, limit: int = 10) -> DataFrame:
         .agg(F.min("rank").alias("_best"))
     )
     return skew.top_k(best, [group], [F.col("_best")], limit, ["name"], rank="position").drop("_best")
-
-
-def apply_created(batch: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Add `outcome` to CREATED events: created, ignored_id or ignored_key.
-
-    An event is applied if neither its id nor its normalised key is taken at its turn. That is greedy matching
-    in event order: every round accepts the events that come first for both their id and their key, then drops
-    the events they block. Each round is a few aggregates and joins and the rest shrinks quickly.
-    `batch` needs seq_id (unique), id and normalizedKey.
-    """
-    ids = catalog.select("id").distinct().withColumn("_has_id", F.lit(True))
-    keys = catalog.select("normalizedKey").distinct().withColumn("_has_key", F.lit(True))
-    checked = skew.attach(batch.select("seq_id", "id", "normalizedKey"), ids, ["id"], ["seq_id"])
-    checked = settle(skew.attach(checked, keys, ["normalizedKey"], ["seq_id"]))
-
-    waiting = checked.filter("_has_id is null and _has_key is null").select("seq_id", "id", "normalizedKey")
-    rounds: list[DataFrame] = []
-    while not waiting.isEmpty():
-        first_of_id = waiting.groupBy("id").agg(F.min("seq_id").alias("seq_id")).select("seq_id")
-        first_of_key = waiting.groupBy("normalizedKey").agg(F.min("seq_id").alias("seq_id")).select("seq_id")
-        winners = first_of_id.join(first_of_key, "seq_id")
-        won = settle(waiting.join(winners, "seq_id", "left_semi"))
-        rounds.append(won)
-        rest = waiting.join(won.select("seq_id"), "seq_id", "left_anti")
-        for key in ("id", "normalizedKey"):
-            taken = won.select(key).withColumn("_taken", F.lit(True))
-            rest = skew.attach(rest, taken, [key], ["seq_id"]).filter("_taken is null").drop("_taken")
-        waiting = settle(rest)
-
-    if not rounds:
-        owner = checked.select("id", F.col("seq_id").alias("_owner")).limit(0)
-    else:
-        owner = reduce(DataFrame.unionByName, rounds).select("id", F.col("seq_id").alias("_owner"))
-    outcome = (
-        F.when(F.col("_has_id") | (F.col("_owner") < F.col("seq_id")), "ignored_id")
-        .when(F.col("_owner") == F.col("seq_id"), "created")
-        .otherwise("ignored_key")
-    )
-    outcomes = skew.attach(checked, owner, ["id"], ["seq_id"]).select("seq_id", outcome.alias("outcome"))
-    return batch.join(outcomes, "seq_id")

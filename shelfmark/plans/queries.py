@@ -22,6 +22,7 @@ from shelfmark.operators import (
     search,
     spelling,
     suggest,
+    uniqueness,
     validation,
 )
 from shelfmark.plans import requests
@@ -235,9 +236,8 @@ def _folded(spark, sf):
 
 @query("apply_created")
 def _(spark, sf):
-    catalog = products.search_columns(_folded(spark, sf))
-    batch = _keyed(views.product_changes(spark, sf))
-    return products.apply_created(batch, catalog).select("seq_id", "id", "outcome")
+    done = uniqueness.apply_created(views.product_changes(spark, sf), _folded(spark, sf))
+    return done.select("seq_id", "id", "outcome")
 
 
 @query("apply_updated")
@@ -255,6 +255,18 @@ def _(spark, sf):
     return products.search_columns(_folded(spark, sf))
 
 
+@query("fold_changes_unique")
+def _(spark, sf):
+    """A feed in which products share names, so creates compete for keys."""
+    return uniqueness.fold_unique(views.shared_name_changes(spark, sf))
+
+
+@query("apply_outcomes_unique")
+def _(spark, sf):
+    found = changes.outcomes(uniqueness.annotate_unique(views.shared_name_changes(spark, sf)))
+    return found.groupBy("op", "outcome").agg(F.count("*").alias("n"))
+
+
 @query("price_changed_at")
 def _(spark, sf):
     return _folded(spark, sf).select("id", "priceChangedAt")

@@ -72,6 +72,13 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shared_name_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed with one of ten descriptions and a name shared by several products."""
+    digit = F.right("description", F.lit(1))
+    name = F.concat(F.lit("Product "), F.right(F.col("id"), F.lit(1)))
+    return changes(spark, sf_dir).withColumns({"name": name, "description": F.concat(F.lit("rev "), digit)})
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product requests, some of them invalid: (row_id, name, description, price)."""
     kind, k, value = F.col("event_type"), _k("props"), F.col("value").cast("decimal(14,4)")

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 
 from shelfmark import schemas as S
-from shelfmark.operators import changes
+from shelfmark.operators import changes, uniqueness
 
 START = dt.datetime(2024, 1, 1)
 
@@ -15,14 +15,15 @@ def event(n, op, id_, price, name="n", description="d"):
     return (START + dt.timedelta(seconds=n), n, op, id_, name, description, cost)
 
 
-def one_by_one(feed, catalog=()):
+def one_by_one(feed, catalog=(), unique=False):
     """The handlers applied to one event at a time."""
     docs, outcomes = {row[0]: list(row) for row in catalog}, {}
     for ts, seq, op, id_, name, description, price in sorted(feed, key=lambda e: (e[0], e[1])):
         held = docs.get(id_)
         if op == "CREATED":
-            outcomes[seq] = "ignored_id" if held else "created"
-            if not held:
+            taken = unique and (name, description) in {(d[1], d[2]) for d in docs.values()}
+            outcomes[seq] = "ignored_id" if held else "ignored_key" if taken else "created"
+            if outcomes[seq] == "created":
                 docs[id_] = [id_, name, description, price, ts, ts]
         elif op == "UPDATED":
             outcomes[seq] = "updated" if held else "created_from_update"
@@ -96,6 +97,36 @@ def test_fold_equals_one_by_one(spark, hot_rows):
         assert annotated.select("chunk").distinct().count() > 1
 
 
+@pytest.mark.parametrize("seed, hot_rows, names", [(1, None, 12), (2, 30, 6), (3, 20, 40)])
+def test_unique_fold_equals_one_by_one(spark, seed, hot_rows, names):
+    pick = random.Random(seed)
+    feed = []
+    for n in range(500):
+        op = pick.choice(["CREATED", "CREATED", "UPDATED", "DELETED", "DELETED"])
+        id_ = "hot" if pick.random() < 0.2 else f"p{pick.randint(0, 25)}"
+        name = "hot name" if pick.random() < 0.3 else f"name {pick.randint(0, names)}"
+        feed.append(event(n, op, id_, pick.choice([1, 2]), name))
+    old = START - dt.timedelta(days=1)
+    catalog = [(f"p{i}", f"name {i}", "d", Decimal("2.00"), old, old) for i in range(0, 40, 3)]
+    schema = "id string, name string, description string, price decimal(10,2), updatedAt timestamp_ntz, priceChangedAt timestamp_ntz"
+    annotated = uniqueness.annotate_unique(
+        spark.createDataFrame(feed, S.CHANGE), spark.createDataFrame(catalog, schema), hot_rows
+    )
+    docs, outcomes = one_by_one(feed, catalog, unique=True)
+    assert {r["seq_id"]: r["outcome"] for r in changes.outcomes(annotated).collect()} == outcomes
+    assert rows(changes.catalog_of(annotated)) == docs
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_creates_alone_equal_one_by_one(spark, seed):
+    pick = random.Random(seed)
+    feed = [event(n, "CREATED", f"p{pick.randint(0, 40)}", 1, pick.choice(["hot", f"n{pick.randint(0, 40)}"])) for n in range(150)]
+    schema = "id string, name string, description string, price decimal(10,2), updatedAt timestamp_ntz, priceChangedAt timestamp_ntz"
+    catalog = [("p1", "n1", "d", None, START, START), ("p99", "n2", "d", None, START, START)]
+    done = uniqueness.apply_created(spark.createDataFrame(feed, S.CHANGE), spark.createDataFrame(catalog, schema))
+    assert {r["seq_id"]: r["outcome"] for r in done.collect()} == one_by_one(feed, catalog, unique=True)[1]
+
+
 def test_updated_and_deleted_alone(spark):
     old = START - dt.timedelta(days=1)
     schema = "id string, name string, description string, price decimal(10,2), updatedAt timestamp_ntz, priceChangedAt timestamp_ntz"

@@ -1,8 +1,5 @@
-import random
 from decimal import Decimal
 
-import pytest
-
 from shelfmark import schemas as S
 from shelfmark.operators import products, validation
 from shelfmark.sources import events
@@ -93,25 +90,3 @@ def test_distinct_names_come_from_the_first_ten(spark):
     names = products.distinct_names(spark.createDataFrame(ranked, "g int, rank int, name string"), "g")
     rows = sorted((r["g"], r["position"], r["name"]) for r in names.collect())
     assert rows == [(1, 1, "same"), (1, 2, "n2"), (1, 3, "n4"), (1, 4, "n6"), (1, 5, "n8"), (1, 6, "n10"), (2, 1, "only")]
-
-
-def sequential_creates(batch, ids, keys):
-    ids, keys, outcomes = set(ids), set(keys), {}
-    for seq, id_, key in sorted(batch):
-        outcomes[seq] = "ignored_id" if id_ in ids else "ignored_key" if key in keys else "created"
-        if outcomes[seq] == "created":
-            ids.add(id_)
-            keys.add(key)
-    return outcomes
-
-
-@pytest.mark.parametrize("seed", [1, 2])
-def test_apply_created_equals_one_by_one(spark, seed):
-    pick = random.Random(seed)
-    batch = [(i, f"i{pick.randint(0, 40)}", pick.choice(["hot", f"k{pick.randint(0, 40)}"])) for i in range(150)]
-    catalog = [("i1", "k1"), ("i2", "k99")]
-    done = products.apply_created(
-        spark.createDataFrame(batch, "seq_id int, id string, normalizedKey string"),
-        spark.createDataFrame(catalog, "id string, normalizedKey string"),
-    )
-    assert {r["seq_id"]: r["outcome"] for r in done.collect()} == sequential_creates(batch, *zip(*catalog))
