@@ -83,7 +83,7 @@ def annotate(
     `updated_at` and `price_changed_at` hold the times the event would set.
     """
     if rejected is not None:
-        lost = rejected.select("seq_id", F.lit(REJECTED).alias("_lost"))
+        lost = rejected.select("seq_id", F.lit(REJECTED).alias("_lost")).distinct()
         changes = changes.join(lost, "seq_id", "left").withColumn("op", F.coalesce("_lost", "op")).drop("_lost")
     feed, chunked = timeline(changes, catalog, hot_rows)
     op = F.col("op")

@@ -73,10 +73,9 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_name_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The change feed with one of ten descriptions and a name shared by several products."""
-    digit = F.right("description", F.lit(1))
+    """The change feed with a name and description shared by many products."""
     name = F.concat(F.lit("Product "), F.right(F.col("id"), F.lit(1)))
-    return changes(spark, sf_dir).withColumns({"name": name, "description": F.concat(F.lit("rev "), digit)})
+    return changes(spark, sf_dir).withColumns({"name": name, "description": F.lit("rev")})
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:

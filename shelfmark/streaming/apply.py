@@ -1,7 +1,8 @@
 """Continuous application of the message feed to a bucketed catalog.
 
 The catalog is split into buckets by product id. A micro-batch rewrites only the buckets it touches, as
-`version=<batch>/bucket=<b>`; the newest version of each bucket is its content. Deleted products stay as rows
+`version=<batch>/bucket=<b>`; the newest version of each bucket is its content. Of the other buckets only the
+stored keys are read, to see whether a created product's key is taken. Deleted products stay as rows
 with `deleted` set until their bucket is next rewritten, so a touched bucket is never empty. Messages that
 cannot be read go to `queue/version=<batch>` as pending retries or dead letters. A batch counts once its commit
 file exists; a replayed batch is skipped, and its result does not depend on how often it was tried.
@@ -9,12 +10,13 @@ file exists; a replayed batch is skipped, and its result does not depend on how
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark import schemas as S
-from shelfmark.operators import changes, queues
+from shelfmark.functions.text import normalized_key
+from shelfmark.operators import changes, queues, uniqueness
 from shelfmark.session import settle
 from shelfmark.sources import events
 from shelfmark.sources.versions import exists, hadoop_path, numbered
@@ -24,6 +26,7 @@ DOCUMENT = T.StructType(
         *S.PRODUCT.fields,
         T.StructField("updatedAt", T.TimestampNTZType()),
         T.StructField("priceChangedAt", T.TimestampNTZType()),
+        T.StructField("normalizedKey", T.StringType()),
         T.StructField("deleted", T.BooleanType()),
     ]
 )
@@ -41,6 +44,10 @@ QUEUED = T.StructType(
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def _key() -> Column:
+    return normalized_key(F.col("name"), F.col("description"))
+
+
 def write_feed(messages: DataFrame, path: str) -> None:
     """Append messages as JSON lines, as the file source of `run` reads them."""
     messages.select(*S.MESSAGE.names).write.mode("append").option("timestampNTZFormat", MICROS).json(path)
@@ -84,7 +91,10 @@ class StreamApply:
 
     def catalog(self) -> DataFrame:
         """The current catalog."""
-        return self._read(self._latest()).filter(~F.col("deleted")).drop("deleted")
+        return self._live(self._latest()).drop("normalizedKey")
+
+    def _live(self, latest: dict[int, int]) -> DataFrame:
+        return self._read(latest).filter(~F.col("deleted")).drop("deleted")
 
     def _queue(self, before: int | None = None) -> DataFrame:
         done = [
@@ -124,9 +134,15 @@ class StreamApply:
         bucket = F.pmod(F.xxhash64("id"), F.lit(self.buckets)).cast("int")
         touched = {row["bucket"] for row in feed.select(bucket.alias("bucket")).distinct().collect()}
         if touched:
-            latest = {b: v for b, v in self._latest(batch).items() if b in touched}
-            before = self._read(latest).filter(~F.col("deleted")).drop("deleted")
-            after = changes.fold(feed, before, self.hot_rows).withColumn("deleted", F.lit(False))
+            latest = self._latest(batch)
+            before = self._live({b: v for b, v in latest.items() if b in touched})
+            elsewhere = self._live({b: v for b, v in latest.items() if b not in touched})
+            created = feed.filter(F.col("op") == S.CREATED).select(_key().alias("key")).distinct()
+            others = elsewhere.select(F.col("normalizedKey").alias("key")).join(created, "key", "left_semi")
+            rejected = uniqueness.key_conflicts(feed, before, others, self.hot_rows)
+            after = changes.fold(feed, before, self.hot_rows, rejected).withColumns(
+                {"normalizedKey": _key(), "deleted": F.lit(False)}
+            )
             gone = feed.select("id").distinct().join(after.select("id"), "id", "left_anti")
             rows = after.unionByName(gone.withColumn("deleted", F.lit(True)), allowMissingColumns=True)
             part = F.pmod(F.hash("id"), F.lit(self.files))

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark import schemas as S
-from shelfmark.operators import changes
+from shelfmark.operators import changes, uniqueness
 from shelfmark.sources import events, versions, views
 from shelfmark.streaming.apply import StreamApply, write_feed
 
@@ -21,12 +21,14 @@ def part(feed, i, n):
 
 @pytest.mark.parametrize("batches", [1, 3])
 def test_stream_equals_batch_fold(spark, tmp_path, batches):
-    feed = events.encode(views.changes(spark, SF)).withColumn("retry_count", F.lit(0))
+    changed = views.shared_name_changes(spark, SF)
+    feed = events.encode(changed).withColumn("retry_count", F.lit(0))
     runner = StreamApply(spark, str(tmp_path / "catalog"), buckets=4, files=2)
     for i in range(batches):
         write_feed(part(feed, i, batches).coalesce(1), str(tmp_path / "feed"))
         runner.run(str(tmp_path / "feed"), str(tmp_path / "progress"))
-    expected = rows(changes.fold(views.changes(spark, SF)))
+    expected = rows(uniqueness.fold_unique(changed))
+    assert expected != rows(changes.fold(changed))
     assert rows(runner.catalog()) == expected
     replay = part(feed, 0, batches).select(*S.MESSAGE.names)
     runner.apply(replay, 0)
@@ -59,6 +61,15 @@ def test_failures_are_retried_and_end_dead(spark, tmp_path):
     assert queue.filter(F.col("queue") == S.QUEUE_RETRY).filter("seq_id < 200").isEmpty()
 
 
+def test_keys_of_untouched_buckets_count(spark, tmp_path):
+    feed = spark.createDataFrame([(f"2024-01-0{n + 1}", n, "CREATED", f"p{n}", "Same", "d") for n in range(6)], "t string, seq_id bigint, op string, id string, name string, description string")
+    feed = events.encode(feed.withColumns({"seq_ts": F.col("t").cast("timestamp_ntz"), "price": F.lit(1)})).withColumn("retry_count", F.lit(0))
+    runner = StreamApply(spark, str(tmp_path), buckets=64)
+    for n in range(2):
+        runner.apply(feed.filter(F.col("seq_id") % 2 == n), n)
+    assert [r["id"] for r in runner.catalog().collect()] == ["p0"]
+
+
 def test_versions(spark, tmp_path):
     store = versions.CatalogVersions(spark, str(tmp_path / "catalog"))
     with pytest.raises(ValueError):
