@@ -16,7 +16,7 @@ from shelfmark.operators.fuzzy import edit_budget, fuzzy_join, similarity
 from shelfmark.session import settle
 
 BOOSTS = {analysis.NAME: 3.0, analysis.DESCRIPTION: 1.0}
-DEEP = 10_000
+DEEP = 1000
 FEW_HITS = 3
 SORTABLE = ["price", "name", "id"]
 
@@ -30,7 +30,10 @@ def index(products: DataFrame) -> DataFrame:
 
 
 def prepare(requests: DataFrame, text: str = "query") -> DataFrame:
-    """Add tokens, sort field and direction, paging depth and the spec the request belongs to."""
+    """Add tokens, sort field and direction, paging depth and the spec the request belongs to.
+
+    Requests with an unknown sort field, a negative page or an empty page size are refused, that is dropped.
+    """
     parts = F.split("sort", ",")
     tokens = F.array_sort(F.array_distinct(tx.standard_tokens(F.col(text))))
     ready = requests.withColumns(
@@ -41,7 +44,7 @@ def prepare(requests: DataFrame, text: str = "query") -> DataFrame:
             "descending": F.coalesce(F.lower(F.get(parts, F.lit(1))) == "desc", F.lit(False)),
             "depth": (F.col("page").cast("bigint") + 1) * F.col("size"),
         }
-    ).filter(F.col("sort_field").isin(*SORTABLE))
+    ).filter(F.col("sort_field").isin(*SORTABLE) & (F.col("page") >= 0) & (F.col("size") >= 1))
     identity = F.struct("match_all", "tokens", "min_price", "max_price", "sort_field", "descending")
     return ready.withColumn("spec_key", F.to_json(identity))
 
@@ -145,7 +148,10 @@ def scores(expanded: DataFrame, index: DataFrame, fields: DataFrame, stats: Data
 
 
 def _rank(hits: DataFrame, specs: DataFrame, deep: bool) -> DataFrame:
-    """Hits down to each spec's depth with their rank in the spec's order; id breaks ties."""
+    """Hits down to each spec's depth with their rank in the spec's order; id breaks ties.
+
+    Specs that look deep into their hits are ranked without putting a spec's hits into one task.
+    """
     asked = specs.select("spec_id", "sort_field", "descending", "depth")
     rows = skew.salted_join(hits, asked, ["spec_id"], ["id"])
     field, descending = F.col("sort_field"), F.col("descending")
@@ -165,11 +171,12 @@ def _rank(hits: DataFrame, specs: DataFrame, deep: bool) -> DataFrame:
         F.col("_down").desc_nulls_last(),
         F.col("id"),
     ]
+    near = rows.filter(F.col("depth") <= DEEP)
+    ranked = skew.top_k(near, ["spec_id"], order, F.col("depth"), ["id"], at_most=DEEP).select("spec_id", "rank", "id")
     if deep:
-        ranked = skew.distributed_rank(rows, ["spec_id"], order).filter(F.col("rank") <= F.col("depth"))
-    else:
-        ranked = skew.top_k(rows, ["spec_id"], order, F.col("depth"), ["id"])
-    return ranked.select("spec_id", "rank", "id")
+        far = skew.distributed_rank(rows.filter(F.col("depth") > DEEP), ["spec_id"], order)
+        ranked = ranked.unionByName(far.filter(F.col("rank") <= F.col("depth")).select("spec_id", "rank", "id"))
+    return ranked
 
 
 def pages(prepared: DataFrame, specs: DataFrame, hits: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.session import settle
 
 SALTS = 16
+HOT_ROWS = 1_000_000
 
 
 def salt(by: Sequence[str], salts: int = SALTS) -> Column:
@@ -41,14 +42,31 @@ def attach(
     salt_by: Sequence[str],
     how: str = "left",
     salts: int = SALTS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join a lookup that may be as large as `rows` and has one row per key.
 
-    The lookup is first cut to the keys that occur (both sides of that join hold each key once), so only
-    matching keys are repeated per salt.
+    Keys are counted first (partial counts combine before the shuffle). Only keys with more than `hot_rows`
+    rows are salted; there are at most rows / hot_rows of them, so their list can be broadcast. Rows with a
+    null key match nothing and are spread as well.
     """
-    occurring = rows.select(*on).distinct()
-    return salted_join(rows, lookup.join(occurring, [*on], "left_semi"), on, salt_by, how, salts)
+    counted = rows.groupBy(*on).count().filter(F.col("count") > (hot_rows or HOT_ROWS))
+    hot = counted.select(*on, F.lit(True).alias("_hot"))
+    no_key = F.lit(False)
+    for column in on:
+        no_key |= F.col(column).isNull()
+    spread = (
+        rows.join(F.broadcast(hot), [*on], "left")
+        .withColumn("_salt", F.when(F.col("_hot") | no_key, salt(salt_by, salts)).otherwise(0))
+        .drop("_hot")
+    )
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    repeated = (
+        lookup.join(F.broadcast(hot), [*on], "left")
+        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
+        .drop("_hot")
+    )
+    return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -66,17 +84,21 @@ def top_k(
     salt_by: Sequence[str],
     rank: str = "rank",
     salts: int = SALTS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """The first k rows of each group with their rank; k is a number or a column constant in the group.
 
-    Each salted part keeps its own first k, so the final window sees at most salts * k rows of a group.
+    Each salted part keeps its own first k, so the final window sees at most salts * k rows of a group. Where
+    k is a column, `at_most` may give its greatest value: up to 1000, tasks then cut their rows before the
+    shuffle.
     """
+    limit = at_most or (k if isinstance(k, int) else 2**31 - 1)
     local = Window.partitionBy(*group, "_salt").orderBy(*order)
     final = Window.partitionBy(*group).orderBy(*order)
     survivors = (
         df.withColumn("_salt", salt(salt_by, salts))
         .withColumn("_local", F.row_number().over(local))
-        .filter(F.col("_local") <= k)
+        .filter((F.col("_local") <= k) & (F.col("_local") <= limit))
         .drop("_local", "_salt")
     )
     return survivors.withColumn(rank, F.row_number().over(final)).filter(F.col(rank) <= k)

@@ -70,7 +70,7 @@ def by_prefix(requests: DataFrame, products: DataFrame) -> DataFrame:
         .filter(F.size("wanted") > 0)
         .withColumns(
             {
-                "last": F.element_at("wanted", -1),
+                "last": F.get("wanted", F.size("wanted") - 1),
                 "lead": F.slice("wanted", F.lit(1), F.greatest(F.size("wanted") - 1, F.lit(0))),
             }
         )

@@ -10,8 +10,10 @@ def test_salted_join_and_attach_keep_every_row(spark):
     lookup = spark.createDataFrame([("hot", 1), ("k2", 2), ("unused", 3)], "key string, v int")
     joined = {(r["n"], r["v"]) for r in skew.salted_join(rows, lookup, ["key"], ["n"]).collect()}
     assert joined == {(i, 1) for i in range(200) if i % 2} | {(2, 2)}
-    attached = skew.attach(rows, lookup, ["key"], ["n"]).collect()
-    assert len(attached) == 200 and {(r["n"], r["v"]) for r in attached if r["v"]} == joined
+    rows = rows.unionByName(spark.createDataFrame([(n, None) for n in range(500, 550)], "n int, key string"))
+    for hot_rows in (5, 1000):
+        attached = skew.attach(rows, lookup, ["key"], ["n"], hot_rows=hot_rows).collect()
+        assert len(attached) == 250 and {(r["n"], r["v"]) for r in attached if r["v"]} == joined
 
 
 def test_top_k_and_distributed_rank_agree_with_sorting(spark):
@@ -26,6 +28,8 @@ def test_top_k_and_distributed_rank_agree_with_sorting(spark):
     ranked = {r["id"]: r["rank"] for r in skew.distributed_rank(df, ["g"], order).collect()}
     assert ranked == expected
     top = {r["id"]: r["rank"] for r in skew.top_k(df, ["g"], order, 7, ["id"]).collect()}
+    wide = skew.top_k(df.withColumn("k", F.lit(7)), ["g"], order, F.col("k"), ["id"], at_most=9)
+    assert {r["id"]: r["rank"] for r in wide.collect()} == top
     assert top == {i: r for i, r in expected.items() if r <= 7}
 
 
