@@ -49,10 +49,14 @@ def joined(x: str) -> str:
     return f"array_to_string({x}, '|')"
 
 
-def grams(x: str) -> str:
+def raw_grams(x: str) -> str:
     runs = f"list_filter(regexp_extract_all(coalesce({x}, ''), '{tx.RUN}'), lambda r: length(r) >= 2)"
     cut = f"list_transform({runs}, lambda r: list_transform(range(2, least(20, length(r)) + 1), lambda n: left(r, n)))"
-    return f"list_transform(flatten({cut}), lambda g: {fold('g')})"
+    return f"flatten({cut})"
+
+
+def grams(x: str) -> str:
+    return f"list_transform({raw_grams(x)}, lambda g: {fold('g')})"
 
 
 def marked(x: str, terms: str) -> str:
@@ -461,7 +465,8 @@ ORACLE |= {
     "folded_tokens": f"SELECT CAST(doc_id AS VARCHAR) AS id, {joined(tokens(fold('text')))} AS tokens FROM documents",
     "edge_ngrams": with_(PRODUCTS)
     + f"SELECT id, generate_subscripts(g, 1) - 1 AS position, unnest(g) AS gram FROM (SELECT id, {grams('name')} AS g FROM products)",
-    "document_edge_ngrams": f"SELECT gram, count(*) AS n FROM (SELECT unnest({grams('text')}) AS gram FROM documents) GROUP BY gram",
+    "document_edge_ngrams": f"""SELECT {fold('raw')} AS gram, CAST(sum(n) AS BIGINT) AS n
+    FROM (SELECT raw, count(*) AS n FROM (SELECT unnest({raw_grams('text')}) AS raw FROM documents) GROUP BY raw) GROUP BY gram""",
     "postings": with_(PRODUCTS, FIELDS) + POSTINGS,
     "document_postings": with_(DOC_FIELDS) + POSTINGS,
     "term_stats": with_(PRODUCTS, FIELDS) + STATS,
