@@ -250,10 +250,7 @@ def final_suggestions(members: DataFrame, products: DataFrame) -> DataFrame:
     fallback = F.array(*[F.lit(t) for t in S.FALLBACK_SUGGESTIONS])
     offered = terms.select(F.when(F.size("_terms") > 0, F.col("_terms")).otherwise(fallback).alias("_offered"))
     few = (F.size("suggestions") == 0) & (F.col("total_hits") <= FEW_HITS)
-    with_terms = members.withColumn("_one", F.lit(1)).join(
-        F.broadcast(offered.withColumn("_one", F.lit(1))), "_one", "left"
-    )
-    return with_terms.select(
+    return members.withColumn("_offered", offered.scalar()).select(
         "query_id",
         F.col("corrected").alias("corrected_query"),
         F.when(few, F.col("_offered")).otherwise(F.col("suggestions")).alias("suggestions"),

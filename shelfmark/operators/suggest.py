@@ -102,9 +102,9 @@ def by_prefix(requests: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def _with_field(stats: DataFrame, field: DataFrame) -> DataFrame:
-    """Attach the single row of field totals to every term."""
-    one = F.lit(1).alias("_one")
-    return stats.select("*", one).join(F.broadcast(field.select("*", one)), "_one").drop("_one")
+    """Add the field's totals, one row in all, to every term."""
+    totals = {name: field.select(name).scalar() for name in ("n_docs", "avg_len")}
+    return stats.withColumns(totals)
 
 
 def _pattern(text: Column) -> Column:

@@ -236,7 +236,7 @@ def _folded(spark, sf):
 
 @query("apply_created")
 def _(spark, sf):
-    done = uniqueness.apply_created(views.product_changes(spark, sf), _folded(spark, sf))
+    done = uniqueness.apply_created(views.product_changes(spark, sf), settle(_folded(spark, sf)))
     return done.select("seq_id", "id", "outcome")
 
 
