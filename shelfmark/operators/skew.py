@@ -135,23 +135,25 @@ def hot_key_bounds(
 ) -> DataFrame | None:
     """Split points of `at` for every key with more than `hot_rows` rows, or None if there is no such key.
 
-    The result has at most rows / hot_rows lines (the default threshold allows four per shuffle partition),
-    so it fits the driver. It is turned into literal rows to make every use of it identical.
+    Only the most frequent keys are looked at, sixteen per shuffle partition; any other key has less than a
+    sixteenth of an even partition's rows. That also bounds the result, which the driver turns into literal
+    rows to make every use of it identical.
     """
     spark = df.sparkSession
-    if hot_rows is None:
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        hot_rows = max(1_000_000, df.count() // (4 * tasks))
-    hot = df.groupBy(key).count().filter(F.col("count") > hot_rows).select(key)
+    most = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(key).count().filter((F.col("count") > (hot_rows or HOT_ROWS)) & F.col(key).isNotNull())
+    hot = counts.orderBy(F.desc("count")).limit(most).select(key).collect()
+    if not hot:
+        return None
+    keys = spark.createDataFrame(hot, df.select(key).schema)
     micros = F.col(at).cast("timestamp").cast("double")
     points = F.array(*[F.lit(i / parts) for i in range(1, parts)])
     bounds = (
-        df.join(hot, key, "left_semi")
+        df.join(F.broadcast(keys), key, "left_semi")
         .groupBy(key)
         .agg(F.percentile_approx(micros, points, F.lit(10_000)).alias("_bounds"))
     )
-    found = bounds.collect()
-    return spark.createDataFrame(found, bounds.schema) if found else None
+    return spark.createDataFrame(bounds.collect(), bounds.schema)
 
 
 def chunk_of(df: DataFrame, key: str, at: str, bounds: DataFrame | None) -> DataFrame:
