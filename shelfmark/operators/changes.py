@@ -64,10 +64,10 @@ def carry(feed: DataFrame, value: Column, name: str, chunked: bool, backwards: b
     if chunked:
         edge = F.min_by if backwards else F.max_by
         place = F.when(F.col("_value").isNotNull(), position())
-        tails = feed.groupBy("id", "chunk").agg(edge("_value", place).alias("_tail"))
+        tails = feed.filter("hot").groupBy("id", "chunk").agg(edge("_value", place).alias("_tail"))
         across = Window.partitionBy("id").orderBy(direction("chunk")).rowsBetween(*_BEFORE)
         carried = tails.withColumn("_carried", F.last("_tail", ignorenulls=True).over(across)).drop("_tail")
-        feed = feed.join(carried, ["id", "chunk"]).withColumn(name, F.coalesce(name, "_carried")).drop("_carried")
+        feed = feed.join(carried, ["id", "chunk"], "left").withColumn(name, F.coalesce(name, "_carried")).drop("_carried")
     return feed.drop("_value")
 
 

@@ -157,12 +157,13 @@ def hot_key_bounds(
 
 
 def chunk_of(df: DataFrame, key: str, at: str, bounds: DataFrame | None) -> DataFrame:
-    """Add `chunk`: 0 for ordinary keys, the time slice for hot ones. Chunks follow the order of `at`."""
+    """Add `hot`, and `chunk`: 0 for ordinary keys, the time slice for hot ones, in the order of `at`."""
     if bounds is None:
-        return df.withColumn("chunk", F.lit(0))
+        return df.withColumns({"hot": F.lit(False), "chunk": F.lit(0)})
     micros = F.coalesce(F.col(at).cast("timestamp").cast("double"), F.lit(float("-inf")))
+    slices = F.coalesce(F.size(F.filter("_bounds", lambda b: b < micros)), F.lit(0))
     return (
         df.join(F.broadcast(bounds), key, "left")
-        .withColumn("chunk", F.coalesce(F.size(F.filter("_bounds", lambda b: b < micros)), F.lit(0)))
+        .withColumns({"hot": F.col("_bounds").isNotNull(), "chunk": F.when(F.col("_bounds").isNotNull(), slices).otherwise(0)})
         .drop("_bounds")
     )

@@ -29,10 +29,10 @@ def _latest_end(spans: DataFrame, end: Column, name: str, chunked: bool) -> Data
     inside = Window.partitionBy("key", "chunk").orderBy("seq_ts", "seq_id").rowsBetween(*_BEFORE)
     spans = spans.withColumn(name, F.max("_end").over(inside))
     if chunked:
-        ends = spans.groupBy("key", "chunk").agg(F.max("_end").alias("_last"))
+        ends = spans.filter("hot").groupBy("key", "chunk").agg(F.max("_end").alias("_last"))
         across = Window.partitionBy("key").orderBy("chunk").rowsBetween(*_BEFORE)
         carried = ends.withColumn("_carried", F.max("_last").over(across)).drop("_last")
-        spans = spans.join(carried, ["key", "chunk"])
+        spans = spans.join(carried, ["key", "chunk"], "left")
         spans = spans.withColumn(name, F.greatest(name, "_carried")).drop("_carried")
     return spans.drop("_end")
 
