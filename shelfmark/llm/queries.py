@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import simhash
+from shelfmark.llm import repeats, simhash
 from shelfmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,3 +21,8 @@ def query(function: Query) -> Query:
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("print")
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
