@@ -1,12 +1,21 @@
 import duckdb
 import pytest
 
-SF = "/root/testdata/sf0.001"
+DATA = "/root/testdata"
+
+
+def columns(folder):
+    """A documents table as columns, and its folder."""
+    relation = duckdb.sql(f"SELECT doc_id, text, lang, source FROM '{folder}/documents.parquet' ORDER BY doc_id")
+    rows = relation.fetchall()
+    return dict(zip(relation.columns, map(list, zip(*rows)))) | {"dir": folder}
 
 
 @pytest.fixture(scope="session")
 def small_documents():
-    """The smallest documents table as columns, and its folder."""
-    relation = duckdb.sql(f"SELECT doc_id, text, lang, source FROM '{SF}/documents.parquet' ORDER BY doc_id")
-    rows = relation.fetchall()
-    return dict(zip(relation.columns, map(list, zip(*rows)))) | {"dir": SF}
+    return columns(f"{DATA}/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def more_documents():
+    return columns(f"{DATA}/sf0.01")
