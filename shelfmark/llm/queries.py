@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import bpe, packing, quality_rules, repeats, secrets, simhash
+from shelfmark.llm import bpe, order_minhash, packing, quality_rules, repeats, secrets, simhash
 from shelfmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,8 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare_with_edits(table(spark, sf_dir, "documents"))
