@@ -3,3 +3,80 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+_HOST = "translate(regexp_extract({rest}, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1, 's')"
+_NODE = (
+    "CASE WHEN strpos({url}, '://') > 0 THEN lower(left({url}, strpos({url}, '://') - 1)) || '://' || "
+    + _HOST
+    + " || regexp_extract({rest}, '^[^/?#]*([^#]*)', 1) END"
+)
+
+
+def _rest(url: str) -> str:
+    return f"(CASE WHEN strpos({url}, '://') > 0 THEN substr({url}, strpos({url}, '://') + 3) END)"
+
+
+def _host(url: str) -> str:
+    return _HOST.format(rest=_rest(url))
+
+
+def _path(url: str) -> str:
+    return _PATH.format(rest=_rest(url))
+
+
+def _node(url: str) -> str:
+    return _NODE.format(url=url, rest=_rest(url))
+
+
+def _ruled(table: str) -> str:
+    """The longest fitting rule of each distinct host and path."""
+    return f"""
+    SELECT DISTINCT t.host, t.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+           arg_max(r.verdict, length(r.host || r.path)) AS ruling
+    FROM (SELECT DISTINCT host, path FROM {table}) t JOIN rules r
+      ON (t.host = r.host OR ends_with(t.host, '.' || r.host)) AND starts_with(t.path, r.path)
+    GROUP BY t.host, t.path"""
+
+
+ORACLE["op1_url_aliases"] = rf"""
+WITH RECURSIVE rules(verdict, host, path) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+           ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+tags AS (SELECT url, unnest(regexp_extract_all(html, '<(?:link|meta)\b[^>]*>', 0, 'is')) AS tag FROM pages),
+raw AS (
+    SELECT url, trim(replace(CASE
+        WHEN regexp_matches(tag, '\brel\s*=\s*["'']?\s*canonical\b', 'is')
+        THEN coalesce(nullif(regexp_extract(tag, '\bhref\s*=\s*"([^"]*)"', 1, 'is'), ''),
+                      nullif(regexp_extract(tag, '\bhref\s*=\s*''([^'']*)''', 1, 'is'), ''),
+                      nullif(regexp_extract(tag, '\bhref\s*=\s*([^\s>"'']+)', 1, 'is'), ''))
+        WHEN regexp_matches(tag, '\bhttp-equiv\s*=\s*["'']?\s*refresh\b', 'is')
+        THEN regexp_extract(tag, '\bcontent\s*=\s*["'']?[^"''>;]*;\s*url\s*=\s*["'']?([^"''>]*)', 1, 'is')
+        END, '&amp;', '&')) AS link FROM tags),
+resolved AS (
+    SELECT url, CASE
+        WHEN strpos(link, '://') > 0 THEN link
+        WHEN strpos(url, '://') = 0 OR link = '' THEN NULL
+        WHEN starts_with(link, '//') THEN left(url, strpos(url, '://')) || link
+        WHEN starts_with(link, '/') THEN left(url, strpos(url, '://') + 2) || {_host("url")} || link
+        ELSE left(url, strpos(url, '://') + 2) || {_host("url")}
+             || coalesce(nullif(regexp_replace({_path("url")}, '[^/]*$', ''), ''), '/') || link END AS target
+    FROM raw WHERE link IS NOT NULL),
+edges AS (SELECT DISTINCT a, b FROM (SELECT {_node("url")} AS a, {_node("target")} AS b FROM resolved)
+          WHERE a IS NOT NULL AND b IS NOT NULL AND a <> b),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach(node, other) AS (
+    SELECT a, a FROM both_ways
+    UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON e.a = r.other),
+reached AS (SELECT node, other, {_host("other")} AS host, {_path("other")} AS path FROM reach),
+reached_rules AS ({_ruled("reached")}),
+parts AS (SELECT page_id, coalesce({_host("url")}, '') AS host, coalesce({_path("url")}, '') AS path, {_node("url")} AS node FROM pages),
+part_rules AS ({_ruled("parts")}),
+aliases AS (
+    SELECT node, min(other) AS alias, bool_or(coalesce(ruling = 'allow', false)) AS allowed,
+           bool_or(coalesce(ruling = 'block', false)) AS blocked
+    FROM reached LEFT JOIN reached_rules USING (host, path) GROUP BY node)
+SELECT CAST(page_id AS BIGINT) AS page_id, host, path, rule,
+       coalesce(ruling, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict, alias
+FROM parts LEFT JOIN part_rules USING (host, path) LEFT JOIN aliases USING (node)
+"""

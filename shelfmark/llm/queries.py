@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import bpe, order_minhash, packing, quality_rules, repeats, resampling, secrets, simhash
+from shelfmark.llm import bpe, order_minhash, packing, quality_rules, repeats, resampling, secrets, simhash, urls
 from shelfmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,8 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
