@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import bpe, order_minhash, packing, quality_rules, repeats, resampling, secrets, simhash, urls
+from shelfmark.llm import bpe, licenses, order_minhash, packing, quality_rules, repeats, resampling, secrets, simhash, urls
 from shelfmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,8 @@ def op8_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
