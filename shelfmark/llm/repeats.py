@@ -292,6 +292,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return on_executors(packed.join(spans, "key", "left"), _kept, out)
 
 
+def _decoded(batches: Batches) -> Batches:
+    for batch in batches:
+        bodies = [k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(bodies, pa.string())], ["row", "text"])
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(row, text): the rest of each text. Bytes that a cut leaves of a character are dropped."""
+    cut = remove_repeats(docs, length)
+    schema = T.StructType([cut.schema["row"], T.StructField("text", T.StringType())])
+    return on_executors(cut.select("row", "kept"), _decoded, schema)
+
+
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row per input row: doc_id, bytes, bytes removed, runs removed, digest of the rest."""
     cut = remove_repeats(docs.select("doc_id", "text"), length)

@@ -86,8 +86,10 @@ def _candidates(batches: Batches) -> Batches:
         yield pa.RecordBatch.from_arrays([*kept, pa.array(base, _ARROW), pa.array(more, _ARROW)], [*batch.schema.names, "base", "more"])
 
 
-def scan(docs: DataFrame, repository: str = "source", owner: str = "source", keep_text: bool = False) -> DataFrame:
-    """Spans per input row: row (a struct of the columns but text), base, owned, examples (and text, if asked for).
+def scan(docs: DataFrame, repository: str = "source", owner: str = "source", found_only: bool = False) -> DataFrame:
+    """Spans per input row: row (a struct of the columns but text), base, owned, examples.
+
+    With `found_only`, only rows that have candidates are returned, with their text.
 
     base has the spans of the fixed patterns. Other candidates are counted over the whole table by distinct repositories and
     owners: those below both limits are owned, the rest examples. A span has start, end (code points, exclusive), kind, a hash
@@ -104,7 +106,8 @@ def scan(docs: DataFrame, repository: str = "source", owner: str = "source", kee
     spans = T._parse_datatype_string(f"array<{SPAN}>")
     schema = T.StructType([*rows.schema.fields, T.StructField("base", spans), T.StructField("more", spans)])
     found = on_executors(rows, _candidates, schema).withColumn("key", F.monotonically_increasing_id())
-    found = settle(found if keep_text else found.drop("text"))
+    bare = (F.size("base") == 0) & (F.size("more") == 0)
+    found = settle(found.filter(~bare) if found_only else found.drop("text"))
     places = found.select(
         "key", "repository", "owner", F.explode(F.concat("base", "more")).alias("span")
     ).select("key", "repository", "owner", "span", "span.hash")
@@ -115,12 +118,11 @@ def scan(docs: DataFrame, repository: str = "source", owner: str = "source", kee
     counted = places.join(repositories.join(owners, "hash"), "hash")
     full = F.struct("span.*", "repositories", "owners")
     listed = counted.groupBy("key").agg(F.sort_array(F.collect_list(full)).alias("spans"))
-    bare = (F.size("base") == 0) & (F.size("more") == 0)
-    nothing = F.array().cast(COUNTED).alias("spans")
-    every = found.filter(bare).withColumn("spans", nothing).unionByName(found.filter(~bare).join(listed, "key"))
+    every = found.filter(bare).withColumn("spans", F.array().cast(COUNTED))
+    every = every.unionByName(found.filter(~bare).join(listed, "key"))
     return every.select(
         "row",
-        *(["text"] if keep_text else []),
+        *(["text"] if found_only else []),
         F.filter("spans", lambda s: s["kind"] != KINDS[3]).alias("base"),
         F.filter("spans", lambda s: (s["kind"] == KINDS[3]) & ~_copied(s)).alias("owned"),
         F.filter("spans", lambda s: (s["kind"] == KINDS[3]) & _copied(s)).alias("examples"),
@@ -171,8 +173,22 @@ def _masked(batches: Batches) -> Batches:
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], ["row", "text"])
 
 
+def _bare(batches: Batches) -> Batches:
+    for batch in batches:
+        kept = []
+        for text in batch.column("text").to_pylist():
+            found = base_spans(text or "")
+            kept.append(not found and not other_spans(text or "", found))
+        yield batch.filter(pa.array(kept, pa.bool_()))
+
+
 def mask(docs: DataFrame) -> DataFrame:
-    """(row, text) with every reported span replaced; overlapping spans become one mask."""
-    found = scan(docs, keep_text=True)
-    schema = T.StructType([found.schema["row"], T.StructField("text", T.StringType())])
-    return on_executors(found.select("row", "text", "base", "owned"), _masked, schema)
+    """(row, text) with every reported span replaced; overlapping spans become one mask.
+
+    Texts without candidates, nearly all, pass through one scan; only the others are written down and joined.
+    """
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*rest).alias("row"), F.col("text").cast("string").alias("text"))
+    found = scan(docs, found_only=True)
+    masked = on_executors(found.select("row", "text", "base", "owned"), _masked, rows.schema)
+    return on_executors(rows, _bare, rows.schema).unionByName(masked)

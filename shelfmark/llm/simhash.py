@@ -175,3 +175,14 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     named = settle(rooted.join(names, "root").select("print", "component_id"))
     hexed = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
     return prints.join(named, "print", "left").select("doc_id", "print", hexed, "component_id")
+
+
+def one_of_each(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """The rows of `docs`, all columns, that stay: of each component the one with the smallest doc_id.
+
+    Rows repeated under one doc_id count as copies. Rows without a doc_id cannot be chosen by it and stay.
+    """
+    judged = near_duplicates(docs, distance)
+    first = settle(judged.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_first")).distinct())
+    named = docs.join(first, docs["doc_id"] == first["_first"], "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter(F.col("doc_id").isNull()))
