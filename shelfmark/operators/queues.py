@@ -40,9 +40,10 @@ def due_retries(queued: DataFrame, as_of: Column) -> DataFrame:
 
 
 def expire_dead(queued: DataFrame, as_of: Column) -> DataFrame:
-    """All messages but the dead ones past their time to live."""
+    """All messages but the dead ones certainly past their time to live: an unknown time expires nothing."""
     limit = as_of - F.expr(f"interval {S.DEAD_LETTER_DAYS} days")
-    return queued.filter((F.col("queue") != S.QUEUE_DEAD) | (F.col("dead_at") > limit))
+    expired = (F.col("queue") == S.QUEUE_DEAD) & (F.col("dead_at") <= limit)
+    return queued.filter(~F.coalesce(expired, F.lit(False)))
 
 
 def reprocess_dead(queued: DataFrame) -> DataFrame:

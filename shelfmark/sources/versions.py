@@ -27,6 +27,30 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(location)) if fs.exists(location) else []
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    location, fs = hadoop_path(spark, path)
+    stream = fs.open(location)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under another name first, so that it is never seen half."""
+    location, fs = hadoop_path(spark, path)
+    half = location.suffix(".new")
+    stream = fs.create(half, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.rename(half, location)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    location, fs = hadoop_path(spark, path)
+    fs.delete(location, True)
+
+
 def numbered(spark: SparkSession, path: str, label: str) -> list[int]:
     """The N of every child folder `label=N`."""
     found = (re.fullmatch(rf"{label}=(\d+)", name) for name in children(spark, path))
@@ -75,6 +99,5 @@ class CatalogVersions:
         """Remove all but the newest complete versions; returns the removed ones."""
         old = self.versions()[:-keep]
         for version in old:
-            location, fs = hadoop_path(self.spark, self.path(version))
-            fs.delete(location, True)
+            delete(self.spark, self.path(version))
         return old
