@@ -450,6 +450,36 @@ OUTCOMES = """outcomes AS (
     FROM placed WINDOW w AS (PARTITION BY id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))"""
 PLACED = FOLDED[: FOLDED.index("gone AS")].rstrip().rstrip(",")
 
+# In the feed with shared names an id's key never changes, so a walk along each key's events decides all outcomes.
+WALKED = """feed AS (
+  SELECT seq_id, id, op, right(id, 1) AS k, row_number() OVER (PARTITION BY right(id, 1) ORDER BY seq_ts, seq_id) AS n
+  FROM every_change),
+walk(k, n, alive, seq_id, op, outcome) AS (
+  SELECT DISTINCT k, CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM feed
+  UNION ALL
+  SELECT f.k, f.n,
+    CASE WHEN f.op = 'DELETED' THEN list_filter(w.alive, lambda x: x <> f.id)
+         WHEN list_contains(w.alive, f.id) OR (f.op = 'CREATED' AND len(w.alive) > 0) THEN w.alive
+         ELSE list_append(w.alive, f.id) END,
+    f.seq_id, f.op,
+    CASE WHEN f.op = 'DELETED' THEN CASE WHEN list_contains(w.alive, f.id) THEN 'deleted' ELSE 'ignored_missing' END
+         WHEN list_contains(w.alive, f.id) THEN CASE f.op WHEN 'CREATED' THEN 'ignored_id' ELSE 'updated' END
+         WHEN f.op = 'UPDATED' THEN 'created_from_update'
+         WHEN len(w.alive) > 0 THEN 'ignored_key' ELSE 'created' END
+  FROM walk w JOIN feed f ON f.k = w.k AND f.n = w.n + 1),
+changes AS (
+  SELECT c.* REPLACE ('Product ' || right(c.id, 1) AS name, 'rev' AS description)
+  FROM every_change c JOIN walk w ON c.seq_id = w.seq_id
+  WHERE outcome IN ('created', 'updated', 'created_from_update', 'deleted'))"""
+EVERY_CHANGE = CHANGES.replace("changes AS", "every_change AS", 1)
+
+STREAMED = f"""parts AS (SELECT *, CAST(floor(seq_id * 5 / (SELECT count(*) FROM events)) AS BIGINT) AS p FROM judged),
+times AS (SELECT p, max(max(seq_ts)) OVER (ORDER BY p) AS moment FROM parts GROUP BY p),
+ended AS (
+  SELECT j.seq_id, j.op, j.error, j.p, d.moment AS died,
+    (SELECT max(moment) FROM times) AS now
+  FROM parts j LEFT JOIN times d ON d.p = j.p + {S.MAX_ATTEMPTS} WHERE j.error IS NOT NULL)"""
+
 DOC_FIELDS = f"""field_tokens AS (SELECT CAST(doc_id AS VARCHAR) AS id, 'text' AS field, {tokens('text')} AS toks FROM documents),
 tf AS (SELECT field, id, term, count(*) AS tf FROM (SELECT field, id, unnest(toks) AS term FROM field_tokens) GROUP BY ALL),
 stats AS (SELECT field, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM tf GROUP BY ALL),
@@ -459,6 +489,15 @@ POSTINGS = """SELECT field, term, id, count(*) AS tf, string_agg(CAST(position A
 STATS = """SELECT s.field, term, df, cf, n_docs, round(avg_len, 6) AS avg_len FROM stats s JOIN field_stats f ON s.field = f.field"""
 
 ORACLE |= {
+    "fold_changes_unique": with_(EVERY_CHANGE, WALKED, FOLDED).replace("WITH", "WITH RECURSIVE", 1)
+    + """SELECT id, name, description, CAST(price AS DOUBLE) AS price, "updatedAt", "priceChangedAt" FROM folded""",
+    "apply_outcomes_unique": with_(EVERY_CHANGE, WALKED).replace("WITH", "WITH RECURSIVE", 1)
+    + "SELECT op, outcome, count(*) AS n FROM walk WHERE outcome IS NOT NULL GROUP BY op, outcome",
+    "stream_queue": with_(CHANGES, ENCODED, MESSAGES, DECODED, STREAMED)
+    + f"""SELECT seq_id, op, error, CASE WHEN died IS NULL THEN '{S.QUEUE_RETRY}' ELSE '{S.QUEUE_DEAD}' END AS queue,
+      CASE WHEN died IS NULL THEN 5 - p END AS retry_count,
+      CASE WHEN died IS NULL THEN now + INTERVAL {S.RETRY_DELAY_SECONDS} SECOND END AS available_at, died AS dead_at
+    FROM ended WHERE died IS NULL OR died > now - INTERVAL {S.DEAD_LETTER_DAYS} DAY""",
     "apply_outcomes": with_(CHANGES, PLACED, OUTCOMES) + "SELECT seq_id, id, op, outcome FROM outcomes",
     "apply_outcome_counts": with_(CHANGES, PLACED, OUTCOMES) + "SELECT outcome, count(*) AS n FROM outcomes GROUP BY outcome",
     "standard_tokens": f"SELECT CAST(doc_id AS VARCHAR) AS id, {joined(tokens('text'))} AS tokens FROM documents",

@@ -550,6 +550,21 @@ def _(spark, sf):
     return runner.catalog().select("id", "name", "description", "price", "updatedAt", "priceChangedAt")
 
 
+STREAMED_PARTS = 5
+
+
+@query("stream_queue")
+def _(spark, sf):
+    """The queue after the messages have come in as five micro-batches: failures are retried, then dead."""
+    messages = views.messages(spark, sf).withColumn("retry_count", F.lit(0))
+    total = views.table(spark, sf, "events").count()
+    base = fresh_path(spark, "stream")
+    runner = stream.StreamApply(spark, f"{base}/catalog")
+    for i in range(STREAMED_PARTS):
+        runner.apply(messages.filter(F.floor(F.col("seq_id") * STREAMED_PARTS / total) == i), i)
+    return runner.queue().select("seq_id", "op", "error", "queue", "retry_count", "available_at", "dead_at")
+
+
 # --- versions and history ---------------------------------------------------------------------------------
 
 
