@@ -118,6 +118,12 @@ MESSAGES = """messages AS (
          WHEN event_type = 'purchase' AND k < 50 THEN left(body, length(body) - 1)
          WHEN event_type = 'error' AND k < 20 THEN left(body, length(body) - 1) || ',"price":1}'
          WHEN event_type = 'signup' AND k < 10 THEN '{"id":null,"name":"x"}'
+         WHEN event_type = 'signup' AND k < 15 THEN '{"id":"1","name":{"text":"x"},"price":2}'
+         WHEN event_type = 'signup' AND k < 20 THEN '{"id":"1","name":"x","description":["y"]}'
+         WHEN event_type = 'signup' AND k < 25 THEN left(body, length(body) - 1) || ',"updatedAt":"garbage"}'
+         WHEN event_type = 'signup' AND k < 30 THEN left(body, length(body) - 1) || ',"priceChangedAt":"2024-01-05T06:07:08Z"}'
+         WHEN event_type = 'signup' AND k < 35 THEN '{"id":7,"name":true,"price":"12.5"}'
+         WHEN event_type = 'signup' AND k < 40 THEN '{"id":"1","name":"x","price":"cheap"}'
          ELSE body END AS payload
   FROM encoded)"""
 
@@ -139,7 +145,12 @@ DECODED = f"""judged AS (
   SELECT *, CASE WHEN NOT json_valid(payload) THEN 'malformed'
       WHEN len(list_filter(json_keys(payload), lambda x: NOT list_contains(
         CASE WHEN op = 'DELETED' THEN {ALLOWED_DELETED} ELSE {ALLOWED} END, x))) > 0 THEN 'unknown key'
-      WHEN json_extract_string(payload, '$.id') IS NULL THEN 'missing id' END AS error
+      WHEN len(list_filter(json_keys(payload), lambda x: json_type(json_extract(payload, '$.' || x)) IN ('OBJECT', 'ARRAY'))) > 0 THEN 'bad type'
+      WHEN json_extract_string(payload, '$.id') IS NULL THEN 'missing id'
+      WHEN json_extract_string(payload, '$.price') IS NOT NULL
+        AND TRY_CAST(json_extract_string(payload, '$.price') AS DECIMAL(10,2)) IS NULL THEN 'bad price'
+      WHEN len(list_filter(['updatedAt', 'priceChangedAt'], lambda x: json_extract_string(payload, '$.' || x) IS NOT NULL
+        AND TRY_CAST(json_extract_string(payload, '$.' || x) AS TIMESTAMPTZ) IS NULL)) > 0 THEN 'bad time' END AS error
   FROM messages),
 decoded AS (
   SELECT *, CASE WHEN error IS NULL THEN json_extract_string(payload, '$.id') END AS id,

@@ -92,6 +92,7 @@ DOCUMENT_KEYS = [
     "priceChangedAt",
 ]
 DELETED_KEYS = ["id", "name", "description"]
+TIME_KEYS = ["updatedAt", "priceChangedAt"]
 
 # Validation messages.
 NAME_REQUIRED = "Nome é obrigatório"

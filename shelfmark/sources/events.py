@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +14,8 @@ def _by_op(values: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(v) for pair in values.items() for v in pair])[F.col("op")]
 
 
-def encode(changes: DataFrame) -> DataFrame:
-    """(seq_ts, seq_id, id, op, queue, routing_key, payload); a DELETED body has no price."""
+def encode(changes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(seq_ts, seq_id, id, op, queue, routing_key, payload) and columns to keep; a DELETED body has no price."""
     keep_nulls = {"ignoreNullFields": "false"}
     full = F.to_json(F.struct("id", "name", "description", "price"), keep_nulls)
     short = F.to_json(F.struct("id", "name", "description"), keep_nulls)
@@ -25,6 +27,7 @@ def encode(changes: DataFrame) -> DataFrame:
         _by_op(S.QUEUE_OF_OP).alias("queue"),
         _by_op(S.ROUTING_KEY_OF_OP).alias("routing_key"),
         F.when(F.col("op") == S.DELETED, short).otherwise(full).alias("payload"),
+        *keep,
     )
 
 
@@ -35,8 +38,8 @@ def _literal_array(values: list[str]) -> Column:
 def decode(messages: DataFrame) -> DataFrame:
     """Add id, name, description, price and `error`; a row with an error carries no values.
 
-    The reader is strict: a malformed body, a key the event does not define, a missing id and a price that is
-    not a number in range are errors.
+    The reader is strict: a malformed body, a key the event does not define, an object or array where a plain value belongs,
+    a missing id, a price that is not a number in range and a time that is none are errors.
     """
     body = F.col("payload")
     keys = F.json_object_keys(body)
@@ -45,11 +48,19 @@ def decode(messages: DataFrame) -> DataFrame:
     )
     value = {name: F.get_json_object(body, f"$.{name}") for name in ("id", "name", "description", "price")}
     price = value["price"].try_cast(S.PRICE)
+    parsed = F.try_parse_json(body)
+    nested = F.schema_of_variant(parsed).rlike("^OBJECT<.*(OBJECT|ARRAY)<")
+    badly_timed = F.lit(False)
+    for name in S.TIME_KEYS:
+        text = F.get_json_object(body, f"$.{name}")
+        badly_timed |= text.isNotNull() & text.try_cast("timestamp").isNull()
     error = (
-        F.when(keys.isNull() | F.try_parse_json(body).isNull(), "malformed")
+        F.when(keys.isNull() | parsed.isNull(), "malformed")
         .when(F.size(F.array_except(keys, allowed)) > 0, "unknown key")
+        .when(nested, "bad type")
         .when(value["id"].isNull(), "missing id")
         .when(value["price"].isNotNull() & price.isNull(), "bad price")
+        .when(badly_timed, "bad time")
     )
     fields = {"id": value["id"], "name": value["name"], "description": value["description"], "price": price}
     decoded = messages.withColumn("error", error)

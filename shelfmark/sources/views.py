@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,7 +62,8 @@ def _op() -> F.Column:
     return F.when(kind == "signup", S.CREATED).when(kind == "error", S.DELETED).otherwise(S.UPDATED)
 
 
-def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def changes(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The change feed, and columns of the events to keep."""
     return table(spark, sf_dir, "events").select(
         F.col("ts").alias("seq_ts"),
         F.col("event_id").alias("seq_id"),
@@ -69,6 +72,7 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("product "), F.col("user_id")).alias("name"),
         F.concat(F.lit("rev "), _k("props")).alias("description"),
         F.when(_op() != S.DELETED, F.col("value")).cast(S.PRICE).alias("price"),
+        *keep,
     )
 
 
@@ -151,29 +155,40 @@ def versioned_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encoded events; some bodies are cut off, carry an unknown key or a price they must not have."""
-    feed = encode(changes(spark, sf_dir)).drop("id")
-    source = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq_id"), "event_type", "props")
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages, and k of their event."""
+    feed = encode(changes(spark, sf_dir, ["event_type", "props"]), ["event_type", "props"])
     kind, k, body = F.col("event_type"), _k("props"), F.col("payload")
-    return feed.join(source, "seq_id").select(
+    cut = body.substr(F.lit(1), F.length(body) - 1)
+    return feed.select(
         "seq_ts",
         "seq_id",
         "op",
         F.when(kind == "click", F.col("props"))
-        .when((kind == "purchase") & (k < 50), body.substr(F.lit(1), F.length(body) - 1))
-        .when((kind == "error") & (k < 20), F.concat(body.substr(F.lit(1), F.length(body) - 1), F.lit(',"price":1}')))
+        .when((kind == "purchase") & (k < 50), cut)
+        .when((kind == "error") & (k < 20), F.concat(cut, F.lit(',"price":1}')))
         .when((kind == "signup") & (k < 10), F.lit('{"id":null,"name":"x"}'))
+        .when((kind == "signup") & (k < 15), F.lit('{"id":"1","name":{"text":"x"},"price":2}'))
+        .when((kind == "signup") & (k < 20), F.lit('{"id":"1","name":"x","description":["y"]}'))
+        .when((kind == "signup") & (k < 25), F.concat(cut, F.lit(',"updatedAt":"garbage"}')))
+        .when((kind == "signup") & (k < 30), F.concat(cut, F.lit(',"priceChangedAt":"2024-01-05T06:07:08Z"}')))
+        .when((kind == "signup") & (k < 35), F.lit('{"id":7,"name":true,"price":"12.5"}'))
+        .when((kind == "signup") & (k < 40), F.lit('{"id":"1","name":"x","price":"cheap"}'))
         .otherwise(body)
         .alias("payload"),
         F.pmod(k, F.lit(5)).cast("int").alias("retry_count"),
+        k.alias("k"),
     )
 
 
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded events; some bodies are cut off, carry an unknown key or a value of the wrong type."""
+    return _messages(spark, sf_dir).drop("k")
+
+
 def queue_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages as they lie in the queues, bodies partly double-encoded."""
-    source = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq_id"), _k("props").alias("k"))
-    rows = messages(spark, sf_dir).join(source, "seq_id")
+    rows = _messages(spark, sf_dir)
     quoted = F.concat(F.lit('"'), F.replace("payload", F.lit('"'), F.lit('\\"')), F.lit('"'))
     by_op = F.create_map(*[F.lit(v) for pair in S.QUEUE_OF_OP.items() for v in pair])[F.col("op")]
     return rows.select(

@@ -55,7 +55,14 @@ def test_decode_is_strict(spark):
         ("UPDATED", '{"id":"1","price":"cheap"}', "bad price"),
         ("DELETED", '{"id":"1","name":"a","description":"b"}', None),
         ("DELETED", '{"id":"1","price":1}', "unknown key"),
-        ("UPDATED", '{"id":"1","updatedAt":"x","uniqueKey":"k"}', None),
+        ("UPDATED", '{"id":"1","updatedAt":"x","uniqueKey":"k"}', "bad time"),
+        ("UPDATED", '{"id":"1","updatedAt":"2024-01-05T06:07:08.009Z","priceChangedAt":null}', None),
+        ("CREATED", '{"id":"1","name":{"a":1}}', "bad type"),
+        ("CREATED", '{"id":["1"]}', "bad type"),
+        ("CREATED", '{"id":"1","description":[]}', "bad type"),
+        ("DELETED", '{"id":"1","name":{}}', "bad type"),
+        ("CREATED", '{"id":7,"name":true,"description":"OBJECT<ARRAY<"}', None),
+        ("CREATED", '[{"id":"1"}]', "malformed"),
     ]
     rows = [(None, i, op, body, 0) for i, (op, body, _) in enumerate(bodies)]
     decoded = {r["seq_id"]: r for r in events.decode(spark.createDataFrame(rows, S.MESSAGE)).collect()}
