@@ -41,7 +41,7 @@ def price_filter(df: DataFrame, low: float | None, high: float | None, column: s
 def lookup(requests: DataFrame, products: DataFrame) -> DataFrame:
     """Products by id for a table of (request_id, id), with a found flag."""
     known = products.withColumn("found", F.lit(True))
-    found = skew.attach(requests, known, ["id"], ["request_id"])
+    found = skew.join(requests, known, ["id"], "left")
     return found.withColumn("found", F.coalesce("found", F.lit(False)))
 
 
@@ -77,7 +77,7 @@ def duplicate_creates(batch: DataFrame, existing: DataFrame) -> DataFrame:
         .withColumn("holder", F.coalesce("_existing", "id"))
         .select(*pair, "holder", F.when(F.col("_existing").isNull(), F.col("seq_id")).alias("_first"))
     )
-    marked = skew.attach(batch, owners, pair, ["seq_id"], "inner")
+    marked = skew.join(batch, owners, pair)
     is_first = F.coalesce(F.col("_first") == F.col("seq_id"), F.lit(False))
     return marked.withColumn("holder", F.when(~is_first, F.col("holder"))).drop("_first")
 
@@ -87,8 +87,8 @@ def duplicate_updates(updates: DataFrame, products: DataFrame) -> DataFrame:
     pair = ["name", "description"]
     owners = products.groupBy(*pair).agg(F.min("id").alias("_low"), F.max("id").alias("_high"))
     current = products.select("id", F.col("name").alias("_name"), F.col("description").alias("_description"))
-    with_current = skew.attach(updates, current.withColumn("found", F.lit(True)), ["id"], ["seq_id"])
-    judged = skew.attach(with_current, owners, pair, ["seq_id"])
+    with_current = skew.join(updates, current.withColumn("found", F.lit(True)), ["id"], "left")
+    judged = skew.join(with_current, owners, pair, "left")
     changed = ~(F.col("name").eqNullSafe(F.col("_name")) & F.col("description").eqNullSafe(F.col("_description")))
     other = (F.col("_low") != F.col("id")) | (F.col("_high") != F.col("id"))
     return judged.withColumns(

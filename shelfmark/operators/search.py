@@ -68,7 +68,7 @@ def expand(specs: DataFrame, terms: DataFrame, fuzzy: bool) -> DataFrame:
     pairs = fuzzy_join(asked.select("token", budget.alias("edits")), terms.select("term").distinct())
     weight = similarity(F.col("distance"), F.col("token"), F.col("term"))
     meanings = pairs.withColumn("similarity", weight).drop("distance")
-    found = skew.salted_join(asked, meanings, ["token"], ["spec_id"])
+    found = skew.join(asked, meanings, ["token"])
     return found.groupBy("spec_id", "term").agg(
         F.max("similarity").alias("similarity"),
         F.first("min_price").alias("min_price"),
@@ -85,7 +85,7 @@ def _in_bounds() -> Column:
 
 def text_matches(expanded: DataFrame, index: DataFrame) -> DataFrame:
     """(spec_id, id, field, term, tf, dl, similarity, price, name) within the price bounds."""
-    return skew.salted_join(index, expanded, ["term"], ["id"]).filter(_in_bounds())
+    return skew.join(index, expanded, ["term"]).filter(_in_bounds())
 
 
 def text_hits(expanded: DataFrame, index: DataFrame) -> DataFrame:
@@ -119,7 +119,7 @@ def listing_hits(specs: DataFrame, products: DataFrame) -> DataFrame:
     band = F.when(F.col("price").isNull(), LOWEST_BAND).otherwise(_price_band(F.col("price")))
     banded = products.select("id", "name", "price", band.alias("band"))
     return (
-        skew.salted_join(banded, asked, ["band"], ["id"])
+        skew.join(banded, asked, ["band"])
         .filter(_in_bounds())
         .select("spec_id", "id", "price", "name")
     )
@@ -138,7 +138,7 @@ def scores(expanded: DataFrame, index: DataFrame, fields: DataFrame, stats: Data
         .select("field", "term", "_idf", "avg_len")
     )
     asked = expanded.join(weights, "term")
-    matched = skew.salted_join(index, asked, ["field", "term"], ["id"]).filter(_in_bounds())
+    matched = skew.join(index, asked, ["field", "term"]).filter(_in_bounds())
     boost = F.create_map(*[F.lit(v) for pair in BOOSTS.items() for v in pair])[F.col("field")]
     part = boost * F.col("similarity") * F.col("_idf") * analysis.term_weight(
         F.col("tf"), F.col("dl"), F.col("avg_len")
@@ -153,7 +153,7 @@ def _rank(hits: DataFrame, specs: DataFrame, deep: bool) -> DataFrame:
     Specs that look deep into their hits are ranked without putting a spec's hits into one task.
     """
     asked = specs.select("spec_id", "sort_field", "descending", "depth")
-    rows = skew.salted_join(hits, asked, ["spec_id"], ["id"])
+    rows = skew.join(hits, asked, ["spec_id"])
     field, descending = F.col("sort_field"), F.col("descending")
     price = F.col("price").cast("double")
     text = F.when(field == "name", F.col("name")).when(field == "id", F.col("id"))
@@ -191,7 +191,7 @@ def pages(prepared: DataFrame, specs: DataFrame, hits: DataFrame) -> tuple[DataF
         .join(totals, "spec_id", "left")
         .withColumn("total_hits", F.coalesce("total_hits", F.lit(0)))
     )
-    members = skew.salted_join(prepared, summary, ["spec_key"], ["query_id"])
+    members = skew.join(prepared, summary, ["spec_key"])
     first = F.col("depth") - F.col("size") + 1
     last = F.least("depth", "total_hits")
     wanted = (
@@ -201,7 +201,7 @@ def pages(prepared: DataFrame, specs: DataFrame, hits: DataFrame) -> tuple[DataF
     )
     ranked = _rank(hits, specs, deep)
     needed = ranked.join(wanted.select("spec_id", "rank").distinct(), ["spec_id", "rank"], "left_semi")
-    return skew.salted_join(wanted, needed, ["spec_id", "rank"], ["query_id"]), members
+    return skew.join(wanted, needed, ["spec_id", "rank"]), members
 
 
 def search(requests: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -222,8 +222,8 @@ def search(requests: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFra
 
     matched = expanded.groupBy("spec_id").agg(F.collect_set("term").alias("terms"))
     texts = page_rows.select("spec_id", "id").distinct()
-    texts = skew.attach(texts, products, ["id"], ["spec_id"], "inner")
-    texts = skew.salted_join(texts, matched, ["spec_id"], ["id"], "left").select(
+    texts = skew.join(texts, products, ["id"])
+    texts = skew.join(texts, matched, ["spec_id"], "left").select(
         "spec_id",
         "id",
         "price",
@@ -233,7 +233,7 @@ def search(requests: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFra
     changed = F.lower("corrected") != F.lower("query")
     notes = corrected.select("query_id", F.when(changed, F.col("corrected")).alias("corrected_query"))
     rows = (
-        skew.salted_join(page_rows, texts, ["spec_id", "id"], ["query_id"])
+        skew.join(page_rows, texts, ["spec_id", "id"])
         .join(notes, "query_id")
         .select(
             "query_id", "rank", "id", "name", "description", "price", "total_hits", "total_pages", "corrected_query"

@@ -9,64 +9,17 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import settle
 
-SALTS = 16
 HOT_ROWS = 1_000_000
 
 
-def salt(by: Sequence[str], salts: int = SALTS) -> Column:
-    return F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")
+def join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join of `rows`, in which a key may be hot or null, with a lookup that has few rows per key.
 
-
-def salted_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    salt_by: Sequence[str],
-    how: str = "inner",
-    salts: int = SALTS,
-) -> DataFrame:
-    """Equi-join where a key may be hot in `rows`.
-
-    Rows of one key are spread over `salts` tasks by a hash of `salt_by`; the lookup side, which is the
-    smaller one, is repeated once per salt.
-    """
-    spread = rows.withColumn("_salt", salt(salt_by, salts))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
-
-
-def attach(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    salt_by: Sequence[str],
-    how: str = "left",
-    salts: int = SALTS,
-    hot_rows: int | None = None,
-) -> DataFrame:
-    """Join a lookup that may be as large as `rows` and has one row per key.
-
-    Keys are counted first (partial counts combine before the shuffle). Only keys with more than `hot_rows`
-    rows are salted; there are at most rows / hot_rows of them, so their list can be broadcast. Rows with a
-    null key match nothing and are spread as well.
+    Left to Spark on purpose: it broadcasts a lookup of small measured size, and else splits partitions that turn out too
+    large when they have been shuffled, into as many tasks as their size asks for, repeating only the lookup rows that meet them.
+    That needs both sides to be plain shuffles, so aggregates on the join keys are written down before (`settle`).
     """
-    counted = rows.groupBy(*on).count().filter(F.col("count") > (hot_rows or HOT_ROWS))
-    hot = counted.select(*on, F.lit(True).alias("_hot"))
-    no_key = F.lit(False)
-    for column in on:
-        no_key |= F.col(column).isNull()
-    spread = (
-        rows.join(F.broadcast(hot), [*on], "left")
-        .withColumn("_salt", F.when(F.col("_hot") | no_key, salt(salt_by, salts)).otherwise(0))
-        .drop("_hot")
-    )
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = (
-        lookup.join(F.broadcast(hot), [*on], "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return rows.join(lookup, [*on], how)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -83,20 +36,20 @@ def top_k(
     k: int | Column,
     salt_by: Sequence[str],
     rank: str = "rank",
-    salts: int = SALTS,
     at_most: int | None = None,
 ) -> DataFrame:
     """The first k rows of each group with their rank; k is a number or a column constant in the group.
 
-    Each salted part keeps its own first k, so the final window sees at most salts * k rows of a group. Where
-    k is a column, `at_most` may give its greatest value: up to 1000, tasks then cut their rows before the
-    shuffle.
+    Every shuffle partition gets a part of each group and keeps its own first k, so the final window sees at most that many
+    times k rows of a group. Where k is a column, `at_most` may give its greatest value: up to 1000, tasks then cut
+    their rows before the shuffle.
     """
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     limit = at_most or (k if isinstance(k, int) else 2**31 - 1)
     local = Window.partitionBy(*group, "_salt").orderBy(*order)
     final = Window.partitionBy(*group).orderBy(*order)
     survivors = (
-        df.withColumn("_salt", salt(salt_by, salts))
+        df.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
         .withColumn("_local", F.row_number().over(local))
         .filter((F.col("_local") <= k) & (F.col("_local") <= limit))
         .drop("_local", "_salt")

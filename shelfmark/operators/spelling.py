@@ -39,7 +39,7 @@ def suggest(queries: DataFrame, words: DataFrame) -> DataFrame:
     )
     order = [F.desc("similarity"), F.desc("df"), F.col("term")]
     best = skew.top_k(scored, ["token"], order, MAX_SUGGESTIONS, ["term"], rank="position")
-    options = skew.salted_join(first, best.select("token", "position", "term"), ["token"], ["query"])
+    options = skew.join(first, best.select("token", "position", "term"), ["token"])
     return options.filter(F.col("term") != F.lower("query")).select(
         "query", "position", F.col("term").alias("suggestion")
     )
@@ -55,7 +55,7 @@ def correct(requests: DataFrame, words: DataFrame) -> DataFrame:
         .select("query", F.col("_found.suggestion").alias("suggestions"))
     )
     none = F.array().cast("array<string>")
-    return skew.salted_join(requests, found, ["query"], ["query_id"], "left").withColumns(
+    return skew.join(requests, found, ["query"], "left").withColumns(
         {
             "suggestions": F.coalesce("suggestions", none),
             "corrected": F.when(

@@ -88,7 +88,7 @@ def by_prefix(requests: DataFrame, products: DataFrame) -> DataFrame:
         .withColumn("_idf", F.col("_idf") + F.coalesce("_lead_idf", F.lit(0.0)))
         .select("prefix_id", "lead", "term", "_idf", "avg_len")
     )
-    matched = skew.salted_join(names, expanded, ["term"], ["id"])
+    matched = skew.join(names, expanded, ["term"])
     width = F.size("lead")
     starts = F.filter(
         F.sequence(F.lit(1), F.greatest(F.size("tokens") - width, F.lit(1))),
@@ -149,12 +149,12 @@ def by_contains(requests: DataFrame, products: DataFrame) -> DataFrame:
     vocabulary = entries.select("term").distinct()
     pieces = vocabulary.select("term", F.explode(_grams_of(F.col("term"))).alias("gram"))
     matching = (
-        skew.salted_join(pieces, patterns, ["gram"], ["term"])
+        skew.join(pieces, patterns, ["gram"])
         .filter(F.expr("term rlike concat('^(?s:', pattern, ')$')"))
         .select("term", "pattern")
     )
     wanted = asked.select("prefix_id", "pattern").join(matching, "pattern").select("prefix_id", "term")
-    found = skew.salted_join(entries, wanted, ["term"], ["id"])
+    found = skew.join(entries, wanted, ["term"])
     hits = found.groupBy("prefix_id", "id").agg(
         F.first("name").alias("name"), F.size(F.collect_set("field")).cast("double").alias("score")
     )
@@ -178,7 +178,7 @@ def by_fuzzy(requests: DataFrame, products: DataFrame) -> DataFrame:
     kept = skew.top_k(near, ["token"], order, EXPANSIONS, ["term"], rank="_n").select("token", "term", "similarity")
     weighted = _with_field(stats, field).select("term", "avg_len", analysis.idf(F.col("n_docs"), F.col("df")).alias("_idf"))
     expanded = asked.join(kept, "token").join(weighted, "term").drop("token")
-    matched = skew.salted_join(entries, expanded, ["term"], ["id"])
+    matched = skew.join(entries, expanded, ["term"])
     weight = F.col("similarity") * F.col("_idf") * analysis.term_weight(F.col("tf"), F.col("dl"), F.col("avg_len"))
     hits = matched.groupBy("prefix_id", "id").agg(F.first("name").alias("name"), F.sum(weight).alias("score"))
     return _best(hits)

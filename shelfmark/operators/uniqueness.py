@@ -98,7 +98,7 @@ def key_conflicts(
         winners = settle(first.select(*accepted.columns))
         accepted = accepted.unionByName(winners)
         filled = winners.select("gap", F.lit(True).alias("_filled"))
-        rest = skew.attach(rest.drop("clear"), filled, ["gap"], ["seq_id"])
+        rest = skew.join(rest.drop("clear"), filled, ["gap"], "left")
         waiting = rest.filter("_filled is null").drop("_filled")
     return reduce(DataFrame.unionByName, losers)
 

@@ -389,7 +389,7 @@ def _search_parts(spark, sf, fuzzy_terms, corrected=False):
 def _per_request(prepared, specs, rows):
     """Rows of a spec for every request that belongs to it."""
     members = prepared.join(specs.select("spec_key", "spec_id"), "spec_key").select("query_id", "spec_id")
-    return search.skew.salted_join(rows, members, ["spec_id"], ["id"]).drop("spec_id")
+    return search.skew.join(rows, members, ["spec_id"]).drop("spec_id")
 
 
 @query("search_all")
@@ -438,7 +438,7 @@ def _(spark, sf):
     """Every text hit with its matched words marked."""
     items, prepared, specs, entries, expanded = _search_parts(spark, sf, True)
     found = search.text_matches(expanded, entries).groupBy("spec_id", "id").agg(F.collect_set("term").alias("terms"))
-    rows = search.skew.attach(found, items, ["id"], ["spec_id"], "inner").select(
+    rows = search.skew.join(found, items, ["id"]).select(
         "spec_id",
         "id",
         tx.highlight(F.col("name"), F.col("terms")).alias("name"),

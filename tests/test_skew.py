@@ -1,19 +1,41 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from shelfmark.operators import skew
 
 
-def test_salted_join_and_attach_keep_every_row(spark):
-    rows = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i}") for i in range(200)], "n int, key string")
-    lookup = spark.createDataFrame([("hot", 1), ("k2", 2), ("unused", 3)], "key string, v int")
-    joined = {(r["n"], r["v"]) for r in skew.salted_join(rows, lookup, ["key"], ["n"]).collect()}
-    assert joined == {(i, 1) for i in range(200) if i % 2} | {(2, 2)}
-    rows = rows.unionByName(spark.createDataFrame([(n, None) for n in range(500, 550)], "n int, key string"))
-    for hot_rows in (5, 1000):
-        attached = skew.attach(rows, lookup, ["key"], ["n"], hot_rows=hot_rows).collect()
-        assert len(attached) == 250 and {(r["n"], r["v"]) for r in attached if r["v"]} == joined
+SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_splits_hot_and_null_keys(spark, how):
+    """A key of far more than sixteen tasks' worth of rows is split by its size, and every row is kept."""
+    before = {name: spark.conf.get(name) for name in SMALL}
+    for name, value in SMALL.items():
+        spark.conf.set(name, value)
+    try:
+        key = F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 == 7, F.lit(None)).otherwise(F.concat(F.lit("k"), "id"))
+        rows = spark.range(200_000).select("id", key.alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("text")).repartition(32)
+        lookup = spark.createDataFrame([("hot", 1), ("k8", 2), ("unused", 3)], "key string, v int")
+        joined = skew.join(rows, lookup, ["key"], how)
+        joined = joined.groupBy("v").agg(F.count("*").alias("n"), F.count_distinct("text").alias("texts"))
+        found = {r["v"]: (r["n"], r["texts"]) for r in joined.collect()}
+        expected = {1: (140_000, 140_000), 2: (1, 1)} | ({None: (59_999, 59_999)} if how == "left" else {})
+        assert found == expected
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan and "Broadcast" not in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def test_top_k_and_distributed_rank_agree_with_sorting(spark):
