@@ -6,7 +6,7 @@ per spec and handed back to its requests page by page, so popular requests cost
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark import schemas as S
@@ -18,22 +18,51 @@ from shelfmark.session import settle
 BOOSTS = {analysis.NAME: 3.0, analysis.DESCRIPTION: 1.0}
 DEEP = 1000
 FEW_HITS = 3
-SORTABLE = ["price", "name", "id"]
+# What a request without them means.
+PAGE, SIZE, SORT = 0, 12, "price,asc"
+SORT_TEXTS = ["name", "id", "uniqueKey"]
+SORT_NUMBERS = ["price", "updatedAt", "priceChangedAt"]
+SORTABLE = SORT_TEXTS + SORT_NUMBERS
+DERIVED = {
+    "nameSpell": "string",
+    "nameSpellClean": "string",
+    "uniqueKey": "string",
+    "updatedAt": "timestamp_ntz",
+    "priceChangedAt": "timestamp_ntz",
+}
 
 
-def index(products: DataFrame) -> DataFrame:
+def _complete(documents: DataFrame) -> DataFrame:
+    """Search documents with all their columns; those a plain product table lacks are null."""
+    missing = {c: F.lit(None).cast(kind) for c, kind in DERIVED.items() if c not in documents.columns}
+    return documents.withColumns(missing).select("id", "name", "description", "price", *DERIVED)
+
+
+def _sorts() -> Column:
+    """The columns that hits can be sorted by, as one."""
+    return F.struct(*[F.col(c) for c in SORTABLE if c != "id"]).alias("sorts")
+
+
+def index(documents: DataFrame) -> DataFrame:
     """Term frequencies of name and description, carrying the columns that filter and sort hits."""
-    return analysis.term_frequencies(
-        analysis.standard_fields(products.withColumn("_name", F.col("name")), ["price", "_name"]),
-        ["price", "_name"],
-    ).withColumnRenamed("_name", "name")
+    carried = _complete(documents).withColumn("sorts", _sorts())
+    keep = ["price", "sorts"]
+    return analysis.term_frequencies(analysis.standard_fields(carried, keep), keep)
 
 
 def prepare(requests: DataFrame, text: str = "query") -> DataFrame:
     """Add tokens, sort field and direction, paging depth and the spec the request belongs to.
 
-    Requests with an unknown sort field, a negative page or an empty page size are refused, that is dropped.
+    A missing page, size or sort has its default. A request with an unknown sort field, a negative page or an empty page size
+    is refused: it keeps its row, with an `error` and no spec.
     """
+    requests = requests.withColumns(
+        {
+            "page": F.coalesce("page", F.lit(PAGE)),
+            "size": F.coalesce("size", F.lit(SIZE)),
+            "sort": F.coalesce("sort", F.lit(SORT)),
+        }
+    )
     parts = F.split("sort", ",")
     tokens = F.array_sort(F.array_distinct(tx.standard_tokens(F.col(text))))
     ready = requests.withColumns(
@@ -44,13 +73,19 @@ def prepare(requests: DataFrame, text: str = "query") -> DataFrame:
             "descending": F.coalesce(F.lower(F.get(parts, F.lit(1))) == "desc", F.lit(False)),
             "depth": (F.col("page").cast("bigint") + 1) * F.col("size"),
         }
-    ).filter(F.col("sort_field").isin(*SORTABLE) & (F.col("page") >= 0) & (F.col("size") >= 1))
+    )
+    error = (
+        F.when(F.col("page") < 0, "negative page")
+        .when(F.col("size") < 1, "empty page")
+        .when(~F.col("sort_field").isin(*SORTABLE), "unknown sort field")
+    )
     identity = F.struct("match_all", "tokens", "min_price", "max_price", "sort_field", "descending")
-    return ready.withColumn("spec_key", F.to_json(identity))
+    return ready.withColumn("error", error).withColumn("spec_key", F.when(F.col("error").isNull(), F.to_json(identity)))
 
 
 def specs(prepared: DataFrame) -> DataFrame:
-    """One row per distinct spec; its id is the smallest query id asking for it."""
+    """One row per distinct spec that is not refused; its id is the smallest query id asking for it."""
+    prepared = prepared.filter(F.col("error").isNull())
     same = ["match_all", "tokens", "min_price", "max_price", "sort_field", "descending"]
     return prepared.groupBy("spec_key").agg(
         F.min("query_id").alias("spec_id"),
@@ -84,17 +119,13 @@ def _in_bounds() -> Column:
 
 
 def text_matches(expanded: DataFrame, index: DataFrame) -> DataFrame:
-    """(spec_id, id, field, term, tf, dl, similarity, price, name) within the price bounds."""
+    """(spec_id, id, field, term, tf, dl, similarity, price, sorts) within the price bounds."""
     return skew.join(index, expanded, ["term"]).filter(_in_bounds())
 
 
 def text_hits(expanded: DataFrame, index: DataFrame) -> DataFrame:
-    slim = index.select("term", "id", "price", "name")
-    return (
-        text_matches(expanded, slim)
-        .groupBy("spec_id", "id")
-        .agg(F.first("price").alias("price"), F.first("name").alias("name"))
-    )
+    slim = index.select("term", "id", "price", "sorts")
+    return text_matches(expanded, slim).groupBy("spec_id", "id").agg(F.first("sorts").alias("sorts"))
 
 
 def _price_band(price: Column) -> Column:
@@ -117,16 +148,12 @@ def listing_hits(specs: DataFrame, products: DataFrame) -> DataFrame:
         .select("spec_id", "min_price", "max_price", F.explode(F.sequence("_low", "_high")).alias("band"))
     )
     band = F.when(F.col("price").isNull(), LOWEST_BAND).otherwise(_price_band(F.col("price")))
-    banded = products.select("id", "name", "price", band.alias("band"))
-    return (
-        skew.join(banded, asked, ["band"])
-        .filter(_in_bounds())
-        .select("spec_id", "id", "price", "name")
-    )
+    banded = _complete(products).select("id", "price", _sorts(), band.alias("band"))
+    return skew.join(banded, asked, ["band"]).filter(_in_bounds()).select("spec_id", "id", "sorts")
 
 
 def hits(specs: DataFrame, products: DataFrame, index: DataFrame, expanded: DataFrame) -> DataFrame:
-    """(spec_id, id, price, name): every product each spec matches, once."""
+    """(spec_id, id, sorts): every product each spec matches, once."""
     return text_hits(expanded, index).unionByName(listing_hits(specs, products))
 
 
@@ -147,103 +174,138 @@ def scores(expanded: DataFrame, index: DataFrame, fields: DataFrame, stats: Data
     return per_field.groupBy("spec_id", "id").agg(F.max("_score").alias("score"))
 
 
-def _rank(hits: DataFrame, specs: DataFrame, deep: bool) -> DataFrame:
-    """Hits down to each spec's depth with their rank in the spec's order; id breaks ties.
+def _order() -> list[Column]:
+    return [
+        F.col("_number").asc_nulls_last(),
+        F.col("_up").asc_nulls_last(),
+        F.col("_down").desc_nulls_last(),
+        F.col("id"),
+    ]
+
 
-    Specs that look deep into their hits are ranked without putting a spec's hits into one task.
+def top_parts(specs: DataFrame, hits: DataFrame) -> DataFrame:
+    """The first hits of each part of a spec down to its depth, and on the first of them the part's number of hits.
+
+    A spec has as many parts as there are shuffle partitions. One pass yields both the totals and all that pages can
+    show; hits beyond a spec's depth are counted and go no further.
     """
     asked = specs.select("spec_id", "sort_field", "descending", "depth")
+    parts = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = skew.join(hits, asked, ["spec_id"])
     field, descending = F.col("sort_field"), F.col("descending")
-    price = F.col("price").cast("double")
-    text = F.when(field == "name", F.col("name")).when(field == "id", F.col("id"))
+    number = F.coalesce(*[F.when(field == c, _number_of(c)) for c in SORT_NUMBERS])
+    text = F.coalesce(*[F.when(field == c, F.col("id") if c == "id" else F.col(f"sorts.{c}")) for c in SORT_TEXTS])
     rows = rows.select(
         "spec_id",
         "id",
         "depth",
-        F.when(field == "price", F.when(descending, -price).otherwise(price)).alias("_number"),
+        F.when(descending, -number).otherwise(number).alias("_number"),
         F.when(~descending, text).alias("_up"),
         F.when(descending, text).alias("_down"),
+        F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"),
     )
-    order = [
-        F.col("_number").asc_nulls_last(),
-        F.col("_up").asc_nulls_last(),
-        F.col("_down").desc_nulls_last(),
-        F.col("id"),
-    ]
-    near = rows.filter(F.col("depth") <= DEEP)
-    ranked = skew.top_k(near, ["spec_id"], order, F.col("depth"), ["id"], at_most=DEEP).select("spec_id", "rank", "id")
-    if deep:
-        far = skew.distributed_rank(rows.filter(F.col("depth") > DEEP), ["spec_id"], order)
-        ranked = ranked.unionByName(far.filter(F.col("rank") <= F.col("depth")).select("spec_id", "rank", "id"))
-    return ranked
+    inside = Window.partitionBy("spec_id", "part")
+    place = F.row_number().over(inside.orderBy(*_order()))
+    counted = rows.withColumns({"place": place, "n": F.count("*").over(inside)}).filter("place <= depth")
+    return counted.withColumn("n", F.when(F.col("place") == 1, F.col("n"))).drop("place", "part")
 
 
-def pages(prepared: DataFrame, specs: DataFrame, hits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The requested page of every request, and every request with its spec and total.
+def _number_of(column: str) -> Column:
+    value = F.col(f"sorts.{column}")
+    return value.cast("double") if column == "price" else value.cast("timestamp").cast("double")
 
-    Pages are (query_id, spec_id, rank, id, total_hits, total_pages); rank counts from 1 over all hits.
-    """
-    deep = not prepared.filter(F.col("depth") > DEEP).isEmpty()
-    totals = hits.groupBy("spec_id").agg(F.count("*").alias("total_hits"))
+
+def totals(prepared: DataFrame, specs: DataFrame, top: DataFrame) -> DataFrame:
+    """Every request with its spec and number of hits; a refused one has neither."""
+    found = top.groupBy("spec_id").agg(F.sum("n").alias("total_hits"))
     summary = (
         specs.select("spec_key", "spec_id")
-        .join(totals, "spec_id", "left")
+        .join(found, "spec_id", "left")
         .withColumn("total_hits", F.coalesce("total_hits", F.lit(0)))
     )
-    members = skew.join(prepared, summary, ["spec_key"])
-    first = F.col("depth") - F.col("size") + 1
-    last = F.least("depth", "total_hits")
-    wanted = (
-        members.filter(first <= last)
-        .withColumn("total_pages", F.ceil(F.col("total_hits") / F.col("size")))
-        .select("query_id", "spec_id", "total_hits", "total_pages", F.explode(F.sequence(first, last)).alias("rank"))
+    return skew.join(prepared, summary, ["spec_key"], "left")
+
+
+def pages(members: DataFrame, top: DataFrame) -> DataFrame:
+    """The requested page of every request: (query_id, spec_id, rank, id, total_hits, total_pages); rank counts from 1."""
+    deep = not members.filter(F.col("error").isNull() & (F.col("depth") > DEEP)).isEmpty()
+    final = F.row_number().over(Window.partitionBy("spec_id").orderBy(*_order()))
+    ranked = top.filter(F.col("depth") <= DEEP).withColumn("rank", final).select("spec_id", "rank", "id")
+    if deep:
+        # Without putting the many rows of such a spec into one task.
+        far = skew.distributed_rank(top.filter(F.col("depth") > DEEP), ["spec_id"], _order())
+        ranked = ranked.unionByName(far.select("spec_id", "rank", "id"))
+    wanted = members.filter(F.col("error").isNull()).select(
+        "query_id",
+        "spec_id",
+        "size",
+        F.col("page").cast("bigint").alias("page"),
+        "total_hits",
+        F.ceil(F.col("total_hits") / F.col("size")).alias("total_pages"),
+    )
+    # A spec's rows are cut into pages once for every page size it is asked for.
+    sizes = wanted.select("spec_id", "size").distinct()
+    cut = skew.join(ranked, sizes, ["spec_id"]).withColumn("page", F.floor((F.col("rank") - 1) / F.col("size")))
+    return skew.join(wanted, cut, ["spec_id", "size", "page"]).select(
+        "query_id", "spec_id", "rank", "id", "total_hits", "total_pages"
     )
-    ranked = _rank(hits, specs, deep)
-    needed = ranked.join(wanted.select("spec_id", "rank").distinct(), ["spec_id", "rank"], "left_semi")
-    return skew.join(wanted, needed, ["spec_id", "rank"]), members
 
 
-def search(requests: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Correct, match, filter, sort, page and highlight.
+class Search:
+    """One run of a table of requests against search documents: correct, match, count, page and highlight.
 
-    Returns the hits (query_id, rank, id, name, description, price, total_hits, total_pages, corrected_query)
-    and one summary row per request (query_id, corrected_query, suggestions, total_hits).
+    What matches are counted and cut to the rows that pages can show as they are found; no step stores all hits.
     """
-    words = settle(spelling.vocabulary(products))
-    corrected = settle(spelling.correct(requests, words))
-    prepared = prepare(corrected, "corrected")
-    asked = settle(specs(prepared))
-    entries = settle(index(products))
-    expanded = settle(expand(asked, entries, fuzzy=True))
-    found = settle(hits(asked, products, entries, expanded))
-    page_rows, members = pages(prepared, asked, found)
-    page_rows = settle(page_rows)
-
-    matched = expanded.groupBy("spec_id").agg(F.collect_set("term").alias("terms"))
-    texts = page_rows.select("spec_id", "id").distinct()
-    texts = skew.join(texts, products, ["id"])
-    texts = skew.join(texts, matched, ["spec_id"], "left").select(
-        "spec_id",
-        "id",
-        "price",
-        tx.highlight(F.col("name"), F.col("terms")).alias("name"),
-        tx.highlight(F.col("description"), F.col("terms")).alias("description"),
-    )
-    changed = F.lower("corrected") != F.lower("query")
-    notes = corrected.select("query_id", F.when(changed, F.col("corrected")).alias("corrected_query"))
-    rows = (
-        skew.join(page_rows, texts, ["spec_id", "id"])
-        .join(notes, "query_id")
-        .select(
-            "query_id", "rank", "id", "name", "description", "price", "total_hits", "total_pages", "corrected_query"
+
+    def __init__(self, requests: DataFrame, documents: DataFrame, corrected: bool = True) -> None:
+        self.documents = _complete(documents)
+        if corrected:
+            words = settle(spelling.vocabulary(documents))
+            requests = settle(spelling.correct(requests, words))
+        self.requests = requests
+        self.prepared = prepare(requests, "corrected" if corrected else "query")
+        self.specs = settle(specs(self.prepared))
+        self.entries = settle(index(documents))
+        self.expanded = settle(expand(self.specs, self.entries, fuzzy=True))
+        self.top = settle(top_parts(self.specs, hits(self.specs, self.documents, self.entries, self.expanded)))
+        self.members = settle(totals(self.prepared, self.specs, self.top))
+
+    def pages(self) -> DataFrame:
+        return pages(self.members, self.top)
+
+    def rows(self) -> DataFrame:
+        """The whole document of every hit shown, its matched words marked, and what the request asked."""
+        shown = settle(self.pages())
+        pairs = settle(shown.select("spec_id", "id").distinct())
+        own = skew.join(self.entries.select("id", "term"), pairs, ["id"])
+        matched = skew.join(own, self.expanded.select("spec_id", "term"), ["spec_id", "term"])
+        terms = settle(matched.groupBy("spec_id", "id").agg(F.collect_set("term").alias("terms")))
+        texts = skew.join(pairs, self.documents, ["id"]).join(terms, ["spec_id", "id"], "left")
+        marked = {c: tx.highlight(F.col(c), F.col("terms")) for c in ("name", "description")}
+        changed = F.lower("corrected") != F.lower("query")
+        notes = self.requests.select("query_id", F.when(changed, F.col("corrected")).alias("corrected_query"))
+        return (
+            skew.join(shown, texts.withColumns(marked).drop("terms"), ["spec_id", "id"])
+            .join(notes, "query_id")
+            .drop("spec_id")
         )
-    )
-    return rows, final_suggestions(members, products)
+
+    def summary(self) -> DataFrame:
+        """(query_id, corrected_query, suggestions, total_hits, error) of every request."""
+        return final_suggestions(self.members, self.documents)
+
+
+def search(requests: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The hits of every request's page, and one summary row per request."""
+    run = Search(requests, documents)
+    return run.rows(), run.summary()
 
 
 def final_suggestions(members: DataFrame, products: DataFrame) -> DataFrame:
-    """Spell suggestions; with none and few hits the catalog's own terms; with none of these fixed terms."""
+    """Spell suggestions; with none and few hits the catalog's own terms; with none of these fixed terms.
+
+    A refused request has none, but its row and its error.
+    """
     terms = spelling.catalog_vocabulary(products).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("position", "term"))), lambda t: t["term"]).alias("_terms")
     )
@@ -253,6 +315,7 @@ def final_suggestions(members: DataFrame, products: DataFrame) -> DataFrame:
     return members.withColumn("_offered", offered.scalar()).select(
         "query_id",
         F.col("corrected").alias("corrected_query"),
-        F.when(few, F.col("_offered")).otherwise(F.col("suggestions")).alias("suggestions"),
+        F.when(F.col("error").isNull(), F.when(few, F.col("_offered")).otherwise(F.col("suggestions"))).alias("suggestions"),
         "total_hits",
+        "error",
     )

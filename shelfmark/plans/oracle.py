@@ -198,8 +198,11 @@ LINES = "lines AS (SELECT CAST(doc_id AS VARCHAR) AS id, unnest(t) AS name, gene
 # --- search fragments -------------------------------------------------------------------------------------
 
 REQUESTS = f"""asked AS (
-  SELECT *, {blank('query')} AS is_blank, split_part(sort, ',', 1) AS sort_field,
-         lower(split_part(sort, ',', 2)) = 'desc' AS is_desc FROM ({SEARCHES_SQL}))"""
+  SELECT *, CASE WHEN page < 0 THEN 'negative page' WHEN size < 1 THEN 'empty page'
+      WHEN sort_field NOT IN ('price', 'name', 'id', 'uniqueKey', 'updatedAt', 'priceChangedAt') THEN 'unknown sort field' END AS error
+  FROM (SELECT * REPLACE (coalesce(page, 0) AS page, coalesce(size, 12) AS size),
+               {blank('query')} AS is_blank, split_part(coalesce(sort, 'price,asc'), ',', 1) AS sort_field,
+               lower(split_part(coalesce(sort, 'price,asc'), ',', 2)) = 'desc' AS is_desc FROM ({SEARCHES_SQL})))"""
 
 FIELDS = f"""field_tokens AS (
   SELECT id, price, name, 'name' AS field, {tokens('name')} AS toks FROM products
@@ -235,7 +238,7 @@ IN_BOUNDS = "(min_price IS NULL OR CAST(price AS DOUBLE) >= min_price) AND (max_
 def matches(source: str, text: str, budget: str) -> str:
     """Query tokens with the indexed terms they stand for, then (query_id, id, field, term)."""
     return f"""wanted AS (
-  SELECT DISTINCT query_id, min_price, max_price, unnest({tokens(text)}) AS token FROM {source} WHERE NOT is_blank),
+  SELECT DISTINCT query_id, min_price, max_price, unnest({tokens(text)}) AS token FROM {source} WHERE NOT is_blank AND error IS NULL),
 meaning AS (
   SELECT w.query_id, w.min_price, w.max_price, v.term,
          max(1 - damerau_levenshtein(w.token, v.term) / least(length(w.token), length(v.term))) AS sim
@@ -249,13 +252,13 @@ FUZZY = BUDGET.format("w.token")
 
 HITS = f"""hit AS (
   SELECT DISTINCT query_id, id FROM matched
-  UNION ALL SELECT a.query_id, p.id FROM asked a, products p WHERE a.is_blank AND {IN_BOUNDS}),
+  UNION ALL SELECT a.query_id, p.id FROM asked a, products p WHERE a.is_blank AND a.error IS NULL AND {IN_BOUNDS}),
 ranked AS (
   SELECT h.query_id, h.id, a.page, a.size,
     row_number() OVER (PARTITION BY h.query_id ORDER BY
       CASE WHEN sort_field = 'price' THEN CAST(CASE WHEN is_desc THEN -p.price ELSE p.price END AS DOUBLE) END NULLS LAST,
-      CASE WHEN NOT is_desc AND sort_field = 'name' THEN p.name WHEN NOT is_desc AND sort_field = 'id' THEN p.id END NULLS LAST,
-      CASE WHEN is_desc AND sort_field = 'name' THEN p.name WHEN is_desc AND sort_field = 'id' THEN p.id END DESC NULLS LAST,
+      CASE WHEN NOT is_desc THEN CASE sort_field WHEN 'name' THEN p.name WHEN 'id' THEN p.id WHEN 'uniqueKey' THEN {key('p.name', 'p.description')} END END NULLS LAST,
+      CASE WHEN is_desc THEN CASE sort_field WHEN 'name' THEN p.name WHEN 'id' THEN p.id WHEN 'uniqueKey' THEN {key('p.name', 'p.description')} END END DESC NULLS LAST,
       h.id) AS rank,
     count(*) OVER (PARTITION BY h.query_id) AS total_hits
   FROM hit h JOIN asked a ON h.query_id = a.query_id JOIN products p ON h.id = p.id),
@@ -528,7 +531,7 @@ ORACLE |= {
       ON abs(length(token) - length(term)) <= 2 AND damerau_levenshtein(token, term) <= {BUDGET.format('token')}""",
     "search_all": with_(PRODUCTS, REQUESTS)
     + """SELECT query_id, id, name, CAST(price AS DOUBLE) AS price FROM asked, products
-    WHERE is_blank AND min_price IS NULL AND max_price IS NULL""",
+    WHERE is_blank AND error IS NULL AND min_price IS NULL AND max_price IS NULL""",
     "search_exact": with_(PRODUCTS, REQUESTS, FIELDS, matches("asked", "query", "0")) + "SELECT DISTINCT query_id, id FROM matched",
     "search_fuzzy": with_(PRODUCTS, REQUESTS, FIELDS, matches("asked", "query", FUZZY)) + "SELECT DISTINCT query_id, id FROM matched",
     "search_scored": with_(PRODUCTS, REQUESTS, FIELDS, matches("asked", "query", FUZZY))
@@ -550,13 +553,16 @@ ORACLE |= {
     "final_suggestions": with_(PRODUCTS, REQUESTS, SPELL, FIELDS, matches("fixed", "corrected", FUZZY), HITS, VOCABULARY)
     + f""", totals AS (SELECT a.query_id, count(h.id) AS total_hits FROM asked a LEFT JOIN hit h ON a.query_id = h.query_id GROUP BY ALL),
     offered AS (SELECT coalesce(list(term ORDER BY position), {FALLBACK}) AS terms FROM catalog_terms)
-    SELECT f.query_id, f.corrected AS corrected_query, t.total_hits,
-      {joined('CASE WHEN len(f.suggestions) = 0 AND t.total_hits <= 3 THEN o.terms ELSE f.suggestions END')} AS suggestions
+    SELECT f.query_id, f.corrected AS corrected_query, CASE WHEN f.error IS NULL THEN t.total_hits END AS total_hits, f.error,
+      CASE WHEN f.error IS NULL
+        THEN {joined('CASE WHEN len(f.suggestions) = 0 AND t.total_hits <= 3 THEN o.terms ELSE f.suggestions END')} END AS suggestions
     FROM fixed f JOIN totals t ON f.query_id = t.query_id, offered o""",
     "catalog_search": with_(PRODUCTS, REQUESTS, SPELL, FIELDS, matches("fixed", "corrected", FUZZY), HITS)
     + f""", terms AS (SELECT query_id, list(DISTINCT term) AS terms FROM meaning GROUP BY query_id)
     SELECT g.query_id, g.rank, g.id, {marked('p.name', 'coalesce(t.terms, CAST([] AS VARCHAR[]))')} AS name,
       {marked('p.description', 'coalesce(t.terms, CAST([] AS VARCHAR[]))')} AS description, CAST(p.price AS DOUBLE) AS price,
+      p.name AS "nameSpell", {clean('p.name')} AS "nameSpellClean", {key('p.name', 'p.description')} AS "uniqueKey",
+      TIMESTAMP '2024-01-31' AS "updatedAt", TIMESTAMP '2024-01-31' AS "priceChangedAt",
       g.total_hits, g.total_pages, CASE WHEN lower(f.corrected) <> lower(f.query) THEN f.corrected END AS corrected_query
     FROM paged g JOIN products p ON g.id = p.id JOIN fixed f ON g.query_id = f.query_id LEFT JOIN terms t ON g.query_id = t.query_id""",
     "suggest_prefix": with_(PRODUCTS, PREFIXES, BY_PREFIX) + "SELECT prefix_id, rank, id, name, score FROM stage1",

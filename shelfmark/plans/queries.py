@@ -374,12 +374,9 @@ def _(spark, sf):
 # --- search -----------------------------------------------------------------------------------------------
 
 
-def _search_parts(spark, sf, fuzzy_terms, corrected=False):
-    items = views.products(spark, sf)
-    asked = requests.searches(spark)
-    if corrected:
-        asked = settle(spelling.correct(asked, settle(spelling.vocabulary(items))))
-    prepared = search.prepare(asked, "corrected" if corrected else "query")
+def _search_parts(spark, sf, fuzzy_terms):
+    items = _documents(spark, sf)
+    prepared = search.prepare(requests.searches(spark))
     specs = settle(search.specs(prepared))
     entries = settle(search.index(items))
     expanded = settle(search.expand(specs, entries, fuzzy_terms))
@@ -399,7 +396,8 @@ def _(spark, sf):
     open_bounds = "min_price is null and max_price is null"
     prepared = search.prepare(requests.searches(spark).filter(open_bounds)).filter("match_all")
     specs = search.specs(prepared)
-    return _per_request(prepared, specs, search.listing_hits(specs, items)).select("query_id", "id", "name", "price")
+    found = _per_request(prepared, specs, search.listing_hits(specs, items))
+    return found.select("query_id", "id", "sorts.name", "sorts.price")
 
 
 def _text_hits(spark, sf, fuzzy_terms):
@@ -427,10 +425,8 @@ def _(spark, sf):
 
 @query("search_sorted_page")
 def _(spark, sf):
-    items, prepared, specs, entries, expanded = _search_parts(spark, sf, True)
-    found = settle(search.hits(specs, items, entries, expanded))
-    rows, _ = search.pages(prepared, specs, found)
-    return rows.select("query_id", "rank", "id", "total_hits", "total_pages")
+    asked = search.Search(requests.searches(spark), _documents(spark, sf), corrected=False)
+    return asked.pages().select("query_id", "rank", "id", "total_hits", "total_pages")
 
 
 @query("search_highlight")
@@ -467,12 +463,12 @@ def _(spark, sf):
 
 @query("final_suggestions")
 def _(spark, sf):
-    return search.search(requests.searches(spark), views.products(spark, sf))[1]
+    return search.Search(requests.searches(spark), _documents(spark, sf)).summary()
 
 
 @query("catalog_search")
 def catalog_search(spark, sf):
-    return search.search(requests.searches(spark), views.products(spark, sf))[0]
+    return search.Search(requests.searches(spark), _documents(spark, sf)).rows()
 
 
 # --- autocomplete -----------------------------------------------------------------------------------------

@@ -27,6 +27,14 @@ SEARCHES = [
     (17, "---", None, None, 0, 12, "price,asc"),
     (18, "", None, 900.2, 0, 5, "price,asc"),
     (19, None, None, None, 0, 15, "name,desc"),
+    (20, "widget", None, None, 0, 5, "uniqueKey,desc"),
+    (21, "ring", None, None, 0, 6, "updatedAt,desc"),
+    (22, "ring", None, None, 1, 4, "priceChangedAt,asc"),
+    (23, "widget", None, None, -1, 12, "price,asc"),
+    (24, "widget", None, None, 0, 0, "price,asc"),
+    (25, "widgt", None, None, 0, 12, "color,asc"),
+    (26, "widget", None, None, None, None, None),
+    (27, None, None, None, 0, 3, "uniqueKey"),
 ]
 
 PREFIXES = [

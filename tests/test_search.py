@@ -2,8 +2,10 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from shelfmark import schemas as S
-from shelfmark.operators import search, spelling, suggest
+from shelfmark.operators import products, search, spelling, suggest
 
 ITEMS = [
     ("1", "Notebook Gamer", "RTX 4060 16GB", "4500.00"),
@@ -39,6 +41,10 @@ REQUESTS = {
     15: (None, None, None, 1, 3, "name,desc"),
     16: ("gamer", None, None, 1, 2, "price,asc"),
     17: ("gamer", None, None, 0, 12, "weight,asc"),
+    18: ("gamer", None, None, -1, 12, "price,asc"),
+    19: (None, None, None, 0, 0, "price,asc"),
+    20: ("gamer", None, None, None, None, None),
+    21: ("mouse notebook", None, None, 0, 12, "price"),
 }
 
 
@@ -86,8 +92,33 @@ def test_listing_bounds_pages_and_ties(answers):
     assert ids(answers, 14) == []
 
 
-def test_unknown_sort_field_has_no_answer(answers):
-    assert 17 not in answers[0] and 17 not in answers[1]
+def test_refused_requests_keep_their_row(answers):
+    errors = {i: answers[1][i]["error"] for i in REQUESTS}
+    assert {i: e for i, e in errors.items() if e} == {17: "unknown sort field", 18: "negative page", 19: "empty page"}
+    assert not {17, 18, 19} & set(answers[0]) and answers[1][17]["total_hits"] is None
+    assert ids(answers, 20) == ["7", "5", "6", "1"]
+    assert ids(answers, 21) == ["7", "4", "2", "1"]
+
+
+def test_hits_are_whole_documents(spark, items):
+    stamp = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    stored = products.documents(items, stamp).withColumn("updatedAt", F.when(F.col("id") == "5", stamp))
+    requests = spark.createDataFrame([(1, "gamer", None, None, 0, 9, "updatedAt,desc"), (2, None, None, None, 0, 2_000_000_000, "id")], S.SEARCH_REQUEST)
+    rows = search.search(requests, stored)[0].orderBy("query_id", "rank").collect()
+    assert [r["id"] for r in rows] == ["5", "1", "6", "7", *"1234567"]
+    assert rows[2]["nameSpellClean"] == "Teclado Gamer" and rows[0]["uniqueKey"] == "headset gamer::razer kraken x"
+    assert rows[0]["updatedAt"] is not None and rows[0]["priceChangedAt"] is not None and rows[1]["updatedAt"] is None
+
+
+def test_no_step_stores_all_hits(spark, monkeypatch):
+    """A listing of 5,000 products of which a page of 3 is shown settles few rows per spec."""
+    items = spark.range(5000).selectExpr("cast(id as string) id", "'thing' name", "'d' description", "cast(id as decimal(10,2)) price")
+    sizes, settle = [], search.settle
+    monkeypatch.setattr(search, "settle", lambda df: sizes.append((df.columns, (out := settle(df)).count())) or out)
+    requests = spark.createDataFrame([(1, None, None, None, 0, 3, "price,asc"), (2, "thing", None, None, 1, 2, "id")], S.SEARCH_REQUEST)
+    rows, summary = search.search(requests, items)
+    assert [r["total_hits"] for r in summary.collect()] == [5000, 5000] and rows.count() == 5
+    assert all(n <= 100 for columns, n in sizes if "spec_id" in columns)
 
 
 def test_highlight_covers_both_fields(answers):
