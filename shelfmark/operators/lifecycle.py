@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators.products import search_columns
+from shelfmark.sources.versions import snapshot_name
 
 
 def reindex(history: DataFrame, version: int) -> DataFrame:
@@ -20,7 +21,7 @@ def snapshot(catalog: DataFrame, at: dt.datetime, table_name: str = "products")
     """The catalog as rows of a new, time-stamped version."""
     return catalog.withColumns(
         {
-            "version": F.lit(at.strftime("snapshot_%Y-%m-%d_%H-%M-%S")),
+            "version": F.lit(snapshot_name(at)),
             "created_at": F.lit(at).cast("timestamp_ntz"),
             "table_name": F.lit(table_name),
         }

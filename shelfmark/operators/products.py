@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark import schemas as S
 from shelfmark.functions import text as tx
 from shelfmark.operators import skew
+from shelfmark.session import settle
 from shelfmark.sources.events import encode
 
 
@@ -45,23 +46,30 @@ def lookup(requests: DataFrame, products: DataFrame) -> DataFrame:
     return found.withColumn("found", F.coalesce("found", F.lit(False)))
 
 
-def seed_if_empty(seed: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Products to insert and their CREATED events; both empty when the target has rows.
+def seed_if_empty(seed: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Products to insert, their CREATED events, and rejected seed rows; nothing is inserted when the target has rows.
 
-    Ids are a digest of name and description, so a second run yields the same rows. The table is unique on
-    that pair; of repeated seed rows the cheapest is kept.
+    Ids are a digest of name and description, so a second run yields the same rows. The table is unique on that pair: the
+    first row of it, by `position`, is inserted and the others are rejected with its id as `holder`.
     """
     wanted = seed if target.isEmpty() else seed.limit(0)
-    rows = wanted.groupBy("name", "description").agg(F.min("price").alias("price"))
-    pair = F.to_json(F.array("name", "description"))
-    inserted = rows.select(F.sha2(pair, 256).alias("id"), "name", "description", "price")
+    pair = ["name", "description"]
+    keyed = wanted.withColumn("id", F.sha2(F.to_json(F.array(*pair)), 256))
+    first = skew.first_per_key(keyed, ["id"], ["position"])
+    held = first.select("id", F.col("position").alias("_first"))
+    rejected = skew.join(keyed, settle(held), ["id"]).filter(F.col("position") != F.col("_first"))
+    inserted = first.select("id", *pair, "price", "position")
     created = inserted.select(
         F.lit(None).cast("timestamp_ntz").alias("seq_ts"),
         F.lit(None).cast("bigint").alias("seq_id"),
         F.lit(S.CREATED).alias("op"),
-        *inserted.columns,
+        *S.PRODUCT.names,
+    )
+    return (
+        inserted.drop("position"),
+        encode(created).drop("seq_ts", "seq_id"),
+        rejected.select("position", *pair, "price", F.col("id").alias("holder")),
     )
-    return inserted, encode(created).drop("seq_ts", "seq_id")
 
 
 def duplicate_creates(batch: DataFrame, existing: DataFrame) -> DataFrame:

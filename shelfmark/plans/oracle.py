@@ -361,10 +361,11 @@ ORACLE: dict[str, str] = {
       CAST(p.price AS DOUBLE) AS price, p.id IS NOT NULL AS found
     FROM lineitem LEFT JOIN products p ON CAST(l_orderkey AS VARCHAR) = p.id""",
     "seed_if_empty": with_(PRODUCTS)
-    + f"""SELECT id, price, '{S.QUEUE_CREATED}' AS queue, '{{"id":' || to_json(id) || ',"name":' || to_json(name) ||
-      ',"description":' || to_json(description) || ',"price":' || CAST(p AS VARCHAR) || '}}' AS payload
-    FROM (SELECT sha256('[' || to_json(name) || ',' || to_json(description) || ']') AS id, name, description,
-                 min(price) AS p, CAST(min(price) AS DOUBLE) AS price FROM products GROUP BY name, description)""",
+    + f"""SELECT id, CAST(price AS DOUBLE) AS price, 'empty' AS target, CASE WHEN first THEN '{S.QUEUE_CREATED}' END AS queue,
+      CASE WHEN first THEN '{{"id":' || to_json(id) || ',"name":' || to_json(name) ||
+      ',"description":' || to_json(description) || ',"price":' || CAST(price AS VARCHAR) || '}}' END AS payload
+    FROM (SELECT sha256('[' || to_json(name) || ',' || to_json(description) || ']') AS id, name, description, price,
+                 row_number() OVER (PARTITION BY name, description ORDER BY seq_id) = 1 AS first FROM products)""",
     "encode_events": with_(CHANGES, ENCODED)
     + f"SELECT seq_id, CASE op {QUEUE_CASE} END AS queue, CASE op {KEY_CASE} END AS routing_key, body AS payload FROM encoded",
     "decode_events": with_(CHANGES, ENCODED, MESSAGES, DECODED)

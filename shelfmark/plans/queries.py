@@ -76,9 +76,19 @@ def _(spark, sf):
 
 @query("seed_if_empty")
 def _(spark, sf):
-    seed = views.products(spark, sf).select("name", "description", "price")
-    inserted, created = products.seed_if_empty(seed, spark.createDataFrame([], S.PRODUCT))
-    return inserted.select("id", "price").join(created.select("id", "queue", "payload"), "id")
+    """A seed file into an empty table and into one that has rows."""
+    path = fresh_path(spark, "seed")
+    rows = views.products(spark, sf).withColumn("key", F.col("id").cast("bigint"))
+    rows.orderBy("key").select("name", "description", "price").write.json(path)
+    seed = settle(events.read_seed(spark, path, lines=True))
+    empty = products.seed_if_empty(seed, spark.createDataFrame([], S.PRODUCT))
+    full = products.seed_if_empty(seed, views.products(spark, sf))
+    found = []
+    for target, (inserted, created, rejected) in (("empty", empty), ("full", full)):
+        added = inserted.select("id", "price").join(created.select("id", "queue", "payload"), "id")
+        refused = rejected.select(F.col("holder").alias("id"), "price")
+        found.append(added.unionByName(refused, allowMissingColumns=True).withColumn("target", F.lit(target)))
+    return found[0].unionByName(found[1])
 
 
 @query("encode_events")
@@ -564,15 +574,28 @@ def _(spark, sf):
 # --- versions and history ---------------------------------------------------------------------------------
 
 
+def _stored(spark, sf, *numbers):
+    """Versions of the history written as a catalog of versions."""
+    history = views.history(spark, sf)
+    store = versions.CatalogVersions(spark, fresh_path(spark, "versions"))
+    for number in numbers:
+        store.write(history.filter(F.col("version") == number).drop("version"), number)
+    return store
+
+
 @query("reindex_catalog")
 def _(spark, sf):
-    rebuilt = lifecycle.reindex(views.history(spark, sf), REINDEXED_VERSION)
-    return rebuilt.drop("normalizedKey")
+    store = _stored(spark, sf, REINDEXED_VERSION - 1, REINDEXED_VERSION)
+    number = store.reindex(lambda documents: products.search_columns(documents).drop("normalizedKey"))
+    return store.read().withColumn("version", F.lit(number))
 
 
 @query("snapshot_catalog")
 def _(spark, sf):
-    return lifecycle.snapshot(views.products(spark, sf), AS_OF)
+    items = views.products(spark, sf)
+    taken = lifecycle.snapshot(items, AS_OF)
+    store = versions.CatalogVersions(spark, fresh_path(spark, "versions"), taken.schema)
+    return store.read_snapshot(store.snapshot(taken, AS_OF))
 
 
 @query("retain_versions")
@@ -587,4 +610,8 @@ def _(spark, sf):
 
 @query("restore_version")
 def _(spark, sf):
-    return lifecycle.restore(views.history(spark, sf), REINDEXED_VERSION)
+    """An older version made current again over a newer one; its data tables."""
+    store = _stored(spark, sf, REINDEXED_VERSION, REINDEXED_VERSION + 1)
+    store.restore(REINDEXED_VERSION)
+    restored = store.read().withColumn("version", F.lit(REINDEXED_VERSION))
+    return lifecycle.restore(restored, REINDEXED_VERSION)

@@ -71,6 +71,12 @@ def decode(messages: DataFrame) -> DataFrame:
     )
 
 
-def read_seed(spark, path: str) -> DataFrame:
-    """Seed products from a JSON array of {name, description, price}."""
-    return spark.read.schema(S.SEED).option("multiLine", True).json(path)
+def read_seed(spark, path: str, lines: bool = False) -> DataFrame:
+    """Seed products in their order: (name, description, price, position).
+
+    A file, or a folder of files, each a JSON array of {name, description, price}, or with `lines` JSON lines, which
+    Spark can also split. An array is read by one task.
+    """
+    rows = spark.read.schema(S.SEED).option("multiLine", not lines).json(path)
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return rows.withColumn("position", place)

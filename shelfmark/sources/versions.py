@@ -6,9 +6,11 @@ never see half a version and the newest complete one is the current catalog.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -57,11 +59,19 @@ def numbered(spark: SparkSession, path: str, label: str) -> list[int]:
     return sorted(int(match.group(1)) for match in found if match)
 
 
+def snapshot_name(at: dt.datetime) -> str:
+    # Fixed value: how snapshots are named.
+    return at.strftime("snapshot_%Y-%m-%d_%H-%M-%S")
+
+
 class CatalogVersions:
-    """Full catalog versions below one folder; versions are only ever added or retired."""
+    """Full catalog versions below one folder; versions are only ever added or retired.
+
+    With a schema, reading a version looks into no file for it.
+    """
 
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base
+    def __init__(self, spark: SparkSession, base: str, schema: StructType | None = None):
+        self.spark, self.base, self.schema = spark, base, schema
 
     def path(self, version: int) -> str:
         return f"{self.base}/version={version}"
@@ -76,14 +86,28 @@ class CatalogVersions:
             raise ValueError(f"no complete catalog version in {self.base}")
         return found[-1]
 
-    def write(self, documents: DataFrame) -> int:
-        """Store the documents as the next version and return its number."""
-        version = max(numbered(self.spark, self.base, "version"), default=0) + 1
+    def write(self, documents: DataFrame, version: int | None = None) -> int:
+        """Store the documents as the next version, or one with a higher number, and return its number."""
+        last = max(numbered(self.spark, self.base, "version"), default=0)
+        if version is not None and version <= last:
+            raise ValueError(f"version {last} is newer than {version}")
+        version = version or last + 1
         documents.write.parquet(self.path(version))
         return version
 
     def read(self, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(self.path(self.current() if version is None else version))
+        reader = self.spark.read.schema(self.schema) if self.schema else self.spark.read
+        return reader.parquet(self.path(self.current() if version is None else version))
+
+    def snapshot(self, documents: DataFrame, at: dt.datetime) -> str:
+        """Store the documents beside the versions, under a name with their time; returns the name."""
+        name = snapshot_name(at)
+        documents.write.parquet(f"{self.base}/{name}")
+        return name
+
+    def read_snapshot(self, name: str) -> DataFrame:
+        reader = self.spark.read.schema(self.schema) if self.schema else self.spark.read
+        return reader.parquet(f"{self.base}/{name}")
 
     def reindex(self, rebuild) -> int:
         """Write the current version, passed through `rebuild`, as the next one; the old one stays."""

@@ -33,15 +33,23 @@ def test_lookup_repeats_requests(spark):
 
 
 def test_seed_only_when_empty(spark, tmp_path):
-    (tmp_path / "seed.json").write_text('[{"name":"a","description":"b","price":1.5},\n {"name":"é","description":"c","price":2}]')
-    seed = events.read_seed(spark, str(tmp_path / "seed.json"))
+    """Of equal pairs the first in seed order is kept, whatever its price, and the others are rejected."""
+    rows = ['{"name":"a","description":"b","price":1.5}', '{"name":"é","description":"c","price":2}', '{"name":"a","description":"b","price":0.5}']
+    (tmp_path / "array").mkdir()
+    (tmp_path / "array" / "1.json").write_text("[" + ",\n ".join(rows[:2]) + "]")
+    (tmp_path / "array" / "2.json").write_text("[" + rows[2] + "]")
+    (tmp_path / "lines.json").write_text("\n".join(rows))
     empty = spark.createDataFrame([], S.PRODUCT)
-    inserted, created = products.seed_if_empty(seed, empty)
-    assert inserted.count() == created.count() == 2
-    assert {r["queue"] for r in created.collect()} == {S.QUEUE_CREATED}
-    assert inserted.collect() == products.seed_if_empty(seed, empty)[0].collect()
-    inserted, created = products.seed_if_empty(seed, spark.createDataFrame([("1", "a", "b", None)], S.PRODUCT))
-    assert inserted.isEmpty() and created.isEmpty()
+    for path, lines in (("array", False), ("lines.json", True)):
+        seed = events.read_seed(spark, str(tmp_path / path), lines)
+        inserted, created, rejected = products.seed_if_empty(seed, empty)
+        assert {(r["name"], r["price"]) for r in inserted.collect()} == {("a", Decimal("1.50")), ("é", Decimal("2.00"))}
+        assert [r["queue"] for r in created.collect()] == [S.QUEUE_CREATED] * 2
+        refused = rejected.collect()
+        assert [(r["name"], r["price"]) for r in refused] == [("a", Decimal("0.50"))]
+        assert refused[0]["holder"] in {r["id"] for r in products.seed_if_empty(seed, empty)[0].collect()}
+        found = products.seed_if_empty(seed, spark.createDataFrame([("1", "a", "b", None)], S.PRODUCT))
+        assert all(df.isEmpty() for df in found)
 
 
 def test_decode_is_strict(spark):
