@@ -13,6 +13,7 @@ import os
 from collections import defaultdict
 from collections.abc import Mapping
 from functools import cache
+from unicodedata import is_normalized
 
 import numpy as np
 import public_tokenizers
@@ -34,36 +35,91 @@ SHARE = 1 / 1024
 #: Words whose ids a worker remembers, and the longest of them.
 MEMORY = 1 << 19
 LONGEST = 64
+PUNCTUATION = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
 
 @cache
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_padding()
-    tokenizer.no_truncation()
-    return tokenizer, {}
+def _tokenizer(path: str) -> "Words":
+    return Words(path)
 
 
 def encode(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit numbers.
+    """Ids of each text as little-endian unsigned 32-bit numbers."""
+    return _tokenizer(path).encode(texts)
+
 
-    No token reaches over a blank, line end or tab, so what stands between them is encoded once and remembered.
+class Words:
+    """A tokenizer that encodes a word once and remembers it.
+
+    No token reaches over a blank, line end or tab, so texts are cut there. Of a new word, trailing punctuation is
+    encoded apart, as no token holds both letters and punctuation, and what is left is encoded together with other
+    words, if it is all letters; each of those ends with a token of its own kind.
     """
-    tokenizer, known = _tokenizer(path)
-    if len(known) > MEMORY:
-        known.clear()
-    split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-    wanted = list(set().union(*split).difference(known))
-    for word, found in zip(wanted, tokenizer.encode_batch_fast(wanted, add_special_tokens=False)):
-        known[word] = np.array(found.ids, "<u4").tobytes()
-    encoded = [b"".join(map(known.__getitem__, words)) for words in split]
-    for word in wanted:
-        if len(word) > LONGEST:
-            del known[word]
-    return encoded
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        vocabulary = self.tokenizer.get_vocab()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {"": b""}
+        self.tails: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.words) > MEMORY:
+            self.words = {}
+        if len(self.stems) > MEMORY:
+            self.stems = {"": b""}
+        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        new = list(set().union(*split).difference(self.words))
+        self.learn(new)
+        words = self.words
+        encoded = [b"".join(map(words.__getitem__, part)) for part in split]
+        for word in new:
+            if len(word) > LONGEST:
+                words.pop(word, None)
+        return encoded
+
+    def learn(self, new: list[str]) -> None:
+        words, stems, tails = self.words, self.stems, self.tails
+        together = "\n".join(new)
+        if any(s in together for s in self.special):
+            words.update((w, self.alone(w)) for w in new if any(s in w for s in self.special))
+            new = [w for w in new if w not in words]
+        letters = [w.rstrip(PUNCTUATION) for w in new]
+        keys = [s.lower() if s.isascii() else s for s in letters]
+        # Letters that normalizing would take apart could end in a mark, which goes with punctuation.
+        self.learn_letters([s for s in set(keys).difference(stems) if s.isalpha() and is_normalized("NFC", s)])
+        rest = [w[len(s) :] for w, s in zip(new, letters)]
+        tails.update((t, self.alone(t)) for t in set(rest).difference(tails))
+        for word, key, tail in zip(new, keys, rest):
+            stem = stems.get(key)
+            words[word] = self.alone(word) if stem is None else stem + tails[tail]
+        for key in keys:
+            if len(key) > LONGEST:
+                stems.pop(key, None)
+        if len(tails) > 4096:
+            self.tails = {}
+
+    def learn_letters(self, stems: list[str]) -> None:
+        for first in range(0, len(stems), 512):
+            some = stems[first : first + 512]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):
+                body, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
+                self.stems.update((s, body[4 * a : 4 * b]) for s, a, b in zip(some, starts, ends.tolist()))
+            else:
+                self.stems.update((s, self.alone(s)) for s in some)
+
+    def alone(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def _tokens(path: str):

@@ -84,6 +84,21 @@ def test_targets_small_sources_and_odd_rows(spark, tokenizer):
     assert packing.report(docs.filter(F.lit(False))).count() == 0
 
 
+def test_all_words_of_the_documents(more_documents, tokenizer):
+    texts = [t or "" for t in more_documents["text"]]
+    assert packing.encode(texts, PATH) == [whole(tokenizer, t)[:-1].tobytes() for t in texts]
+
+
+ODD = ["'s foo's, it's. don't!! IT'S 've,'re", "<|endoftext|>! a<|endoftext|>b, ab <|end", "a\x1cb. x1, 12. (foo) foo) ..."]
+ODD += ["\u0958\u0959, e\u0301tude. \u0301, <\u0338 x<\u0338", "ΣΑΣ. İstanbul, ſ!", "w" * 100_000 + "!!", "!" * 1000, "x." * 50_000]
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_odd_words(tokenizer, text):
+    for _ in range(2):
+        assert packing.encode([text], PATH)[0] == whole(tokenizer, text)[:-1].tobytes()
+
+
 @pytest.mark.parametrize("text", ["é ́a  b c\x85d\x0be f", "don't <|startoftext|>x<|end", "ΑΣ ΟΔΟΣ İ ſ K", "中文 テスト a1b2", "'s 't  ''re"])
 def test_words_apart_encode_like_the_text(tokenizer, text):
     assert packing.encode([text], PATH)[0] == whole(tokenizer, text)[:-1].tobytes()
