@@ -3,6 +3,10 @@
 Two strings within k edits share a string reachable from both by at most k deletions. Both sides emit the
 hashes of those strings, an equi-join proposes pairs, and each distinct pair is checked exactly. The distance
 is Damerau-Levenshtein: an adjacent swap is one edit. Expressions are written as SQL text over column names.
+
+Long words have too many such strings. A long term emits the five parts it is cut into instead: two edits, of which a swap may
+touch two parts, leave one part as it is, moved by at most two places. A long token looks for every part at each of
+those places, for every length the term may have.
 """
 
 from __future__ import annotations
@@ -10,9 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.session import settle
+
 NO_STRINGS = "cast(array() as array<string>)"
 NO_HASHES = "cast(array() as array<bigint>)"
 FEW_KEYS = 100_000
+#: Tokens of more letters than this meet terms by parts; terms within two letters of it emit both kinds of keys.
+LONG = 24
+PARTS = 5
 
 
 def edit_budget(token: Column) -> Column:
@@ -35,6 +44,26 @@ def deletions(text: str, edits: int) -> str:
     return f"array_distinct(concat({', '.join(parts)}))"
 
 
+def _part(text: str, length: str, i: str, shift: str = "0") -> str:
+    """Hash of part i of a term of some length, as it stands in `text` moved by `shift`; null before the first letter."""
+    start, end = f"({length} * {i} div {PARTS})", f"({length} * ({i} + 1) div {PARTS})"
+    piece = f"substr({text}, cast({start} + 1 + {shift} as int), cast({end} - {start} as int))"
+    return f"if({start} + {shift} >= 0, xxhash64('part', {length}, {i}, {piece}), null)"
+
+
+def term_parts(term: str) -> str:
+    """Hashes of the parts of a long term."""
+    return f"transform(sequence(0, {PARTS - 1}), i -> {_part(term, f'length({term})', 'i')})"
+
+
+def token_parts(token: str) -> str:
+    """Hashes of every part that a term within two edits of a long token can share with it."""
+    at_shifts = f"transform(sequence(-2, 2), d -> {_part(token, 'n', 'i', 'd')})"
+    at_parts = f"flatten(transform(sequence(0, {PARTS - 1}), i -> {at_shifts}))"
+    every = f"flatten(transform(sequence(length({token}) - 2, length({token}) + 2), n -> {at_parts}))"
+    return f"filter(array_distinct({every}), x -> x is not null)"
+
+
 def swaps(text: str) -> str:
     """All strings made by exchanging two adjacent characters."""
     swapped = f"concat(left({text}, i - 1), substr({text}, i + 1, 1), substr({text}, i, 1), substr({text}, i + 2))"
@@ -83,13 +112,17 @@ def fuzzy_join(
     broadcast: exploding makes them far larger than the planner's estimate.
     """
     own_keys = " ".join(f"when {edits} then {deletions('token', edits)}" for edits in budgets)
-    all_keys = ", ".join(deletions("term", edits) for edits in budgets)
-    left = _distinct(tokens, "token", "edits").withColumn("_key", F.expr(f"explode(case edits {own_keys} end)"))
+    own_keys = f"if(length(token) > {LONG}, {token_parts('token')}, case edits {own_keys} end)"
+    all_keys = ", ".join(
+        [f"if(length(term) <= {LONG} + 2, {deletions('term', edits)}, {NO_HASHES})" for edits in budgets]
+        + [f"if(length(term) > {LONG} - 2, {term_parts('term')}, {NO_HASHES})"]
+    )
+    left = settle(_distinct(tokens, "token", "edits").withColumn("_key", F.expr(f"explode({own_keys})")))
     right = _distinct(terms, "term").withColumn("_key", F.expr(f"explode(concat({all_keys}))"))
     close = "abs(length(token) - length(term)) <= edits"
     if same_first_letter:
         close += " and left(token, 1) = left(term, 1)"
-    if left.limit(FEW_KEYS + 1).count() <= FEW_KEYS:
+    if left.count() <= FEW_KEYS:
         joined = right.join(F.broadcast(left), "_key")
     else:
         joined = left.join(right.hint("merge"), "_key")
