@@ -5,9 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.sources.versions import delete
+
 
 def local_session(app: str, cores: str = "8") -> SparkSession:
     """A session for tests and the benchmark. On a cluster the submitter configures the session."""
@@ -47,13 +51,31 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the steps that `settle` writes inside, once the results that read them have been written themselves."""
+    written: list[str] = []
+    _scopes.append(written)
+    try:
+        yield
+    finally:
+        _scopes.remove(written)
+        for path in written:
+            delete(spark, path)
+
+
+def settle(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write an intermediate result to the shared folder and continue from the written table.
 
     Later steps neither recompute nor re-plan it, a lost executor costs a re-read only, and the planner knows
-    its true size when it decides whether to broadcast it.
+    its true size when it decides whether to broadcast it. Inside `scratch` it is removed at the end, unless kept.
     """
     spark = df.sparkSession
     path = fresh_path(spark, "step")
+    if _scopes and not keep:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
