@@ -1,5 +1,7 @@
 """The pipeline, stage by stage, against brute force on each stage's own input."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 import public_tokenizers
@@ -12,7 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from shelfmark.llm import resampling, secrets
 from shelfmark.llm.common import table
-from shelfmark.session import settle
+from shelfmark.session import settle, shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,4 +93,8 @@ def test_packing(stages):
 
 
 def test_run(spark, stages):
+    """The same rows, and only the results of the stages and the steps of the last one are left."""
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
     assert corpus_pipeline.run(spark, SF).count() == stages[5].count()
+    assert len(set(folder.iterdir()) - before) <= 4 + 4
