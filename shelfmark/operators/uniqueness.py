@@ -4,13 +4,16 @@ A product holds a key from the event that gave it the key to its next UPDATED or
 known before it is decided which CREATED events are applied, because only they are ever ignored. A CREATED event
 can only matter while its id is not alive for sure; call such a stretch a gap. Within a gap, and within the time
 a key is held, the earliest event wins: greedy selection in feed order, decided in rounds. A round accepts every
-event that no undecided earlier one can still beat and drops those that have lost; usually few rounds are needed.
+event that no undecided earlier one can still beat and drops those that have lost; usually few rounds are needed. What a
+fixed number of rounds leaves undecided, long chains of events that wait for each other, falls into connected groups of
+keys and gaps, and each group is decided in feed order by itself.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,9 +21,11 @@ from shelfmark import schemas as S
 from shelfmark.functions.text import normalized_key
 from shelfmark.operators import changes as ch
 from shelfmark.operators import skew
+from shelfmark.operators.components import components
 from shelfmark.session import settle
 
 _BEFORE = (Window.unboundedPreceding, -1)
+ROUNDS = 6
 
 
 def _latest_end(spans: DataFrame, end: Column, name: str, chunked: bool) -> DataFrame:
@@ -84,7 +89,12 @@ def key_conflicts(
     waiting = judged.filter("not lost").drop("lost")
     accepted = waiting.limit(0)
 
+    rounds = 0
     while not waiting.isEmpty():
+        if rounds == ROUNDS:
+            losers.append(_in_order(waiting, accepted))
+            break
+        rounds += 1
         both = waiting.withColumn("won", F.lit(False)).unionByName(accepted.withColumn("won", F.lit(True)))
         both = _latest_end(both, F.when(F.col("won"), F.col("until")), "taken", chunked)
         both = _latest_end(both, F.when(~F.col("won"), F.col("until")), "maybe", chunked)
@@ -103,6 +113,36 @@ def key_conflicts(
     return reduce(DataFrame.unionByName, losers)
 
 
+def _in_order(waiting: DataFrame, accepted: DataFrame) -> DataFrame:
+    """(seq_id) of the waiting events that lose, decided one by one within each connected group of keys and gaps."""
+    def decide(events: pd.DataFrame) -> pd.DataFrame:
+        taken: dict[str, tuple[int, int]] = {}
+        filled, lost = set(), []
+        for e in events.sort_values(["at_ts", "seq_id"]).itertuples():
+            until = (e.until_ts, e.until_id)
+            if not e.won and taken.get(e.node, (e.at_ts, e.seq_id)) > (e.at_ts, e.seq_id):
+                lost.append(e.seq_id)
+            elif e.won or e.slot not in filled:
+                taken[e.node] = max(until, taken.get(e.node, until))
+                filled.add(e.slot)
+        return pd.DataFrame({"seq_id": pd.Series(lost, dtype="int64")})
+
+    places = {
+        "at_ts": F.unix_micros(F.col("seq_ts").cast("timestamp")),
+        "until_ts": F.unix_micros(F.col("until.seq_ts").cast("timestamp")),
+        "until_id": F.col("until.seq_id"),
+        "slot": F.concat(F.lit("gap "), F.to_json("gap")),
+        "node": F.concat(F.lit("key "), F.col("key")),
+    }
+    columns = ["node", "slot", "at_ts", "seq_id", "until_ts", "until_id", "won"]
+    undecided = settle(waiting.withColumns(places).withColumn("won", F.lit(False)).select(*columns))
+    groups = settle(components(undecided, "node", "slot"))
+    group_of = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
+    keys = undecided.select("node").distinct()
+    holders = accepted.withColumns(places).withColumn("won", F.lit(True)).select(*columns).join(keys, "node", "left_semi")
+    return undecided.unionByName(holders).join(group_of, "node").groupBy("root").applyInPandas(decide, "seq_id long")
+
+
 def annotate_unique(feed: DataFrame, catalog: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """As changes.annotate, with CREATED events ignored when their key is taken."""
     return ch.annotate(feed, catalog, hot_rows, key_conflicts(feed, catalog, hot_rows=hot_rows))

@@ -117,6 +117,25 @@ def test_unique_fold_equals_one_by_one(spark, seed, hot_rows, names):
     assert rows(changes.catalog_of(annotated)) == docs
 
 
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """A thousand events of which each waits for the one before, and chains that branch."""
+    feed = [event(0, "CREATED", "p0", 1, "name 0")]
+    for link in range(500):
+        feed.append(event(2 * link + 1, "CREATED", f"p{link + 1}", 1, f"name {link}"))
+        feed.append(event(2 * link + 2, "CREATED", f"p{link + 1}", 1, f"name {link + 1}"))
+    pick = random.Random(8)
+    feed += [event(n, "CREATED", f"q{pick.randint(0, 30)}", 1, f"other {pick.randint(0, 25)}") for n in range(2000, 2300)]
+    settled, settle = [], uniqueness.settle
+    monkeypatch.setattr(uniqueness, "settle", lambda df: settled.append(df.columns) or settle(df))
+    annotated = uniqueness.annotate_unique(spark.createDataFrame(feed, S.CHANGE))
+    docs, outcomes = one_by_one(feed, unique=True)
+    assert {r["seq_id"]: r["outcome"] for r in changes.outcomes(annotated).collect()} == outcomes
+    assert rows(changes.catalog_of(annotated)) == docs and len(settled) < 20
+    monkeypatch.setattr(uniqueness, "ROUNDS", 0)
+    again = changes.outcomes(uniqueness.annotate_unique(spark.createDataFrame(feed[900:], S.CHANGE))).collect()
+    assert {r["seq_id"]: r["outcome"] for r in again} == one_by_one(feed[900:], unique=True)[1]
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 def test_creates_alone_equal_one_by_one(spark, seed):
     pick = random.Random(seed)
