@@ -80,3 +80,85 @@ SELECT CAST(page_id AS BIGINT) AS page_id, host, path, rule,
        coalesce(ruling, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict, alias
 FROM parts LEFT JOIN part_rules USING (host, path) LEFT JOIN aliases USING (node)
 """
+
+ORACLE["op10_suffix_dedup"] = """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+windows AS (
+  SELECT r, p, md5(b[p + 1 : p + 200]) AS h
+  FROM (SELECT r, b, unnest(range(0, octet_length(b) - 199)) AS p FROM texts WHERE octet_length(b) >= 200)),
+repeated AS (SELECT r, p FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+marked AS (SELECT r, p, p - lag(p) OVER (PARTITION BY r ORDER BY p) <= 200 AS same FROM repeated),
+grouped AS (SELECT r, p, sum(CASE WHEN same THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS g FROM marked),
+spans AS (SELECT r, min(p) AS s, max(p) + 200 AS e FROM grouped GROUP BY r, g),
+starts AS (
+  SELECT r, s, e, coalesce(lag(e) OVER w, 0) AS before FROM (
+    SELECT r, s, e FROM spans UNION ALL SELECT r, octet_length(b), octet_length(b) FROM texts)
+  WINDOW w AS (PARTITION BY r ORDER BY s, e)),
+kept AS (
+  SELECT t.r, string_agg(hex(t.b[before + 1 : s]), '' ORDER BY s, e) AS rest, sum(e - s) AS n_removed, count(*) - 1 AS n_spans
+  FROM starts x JOIN texts t ON x.r = t.r GROUP BY t.r)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(rest)) AS kept_sha256
+FROM kept JOIN texts USING (r)
+"""
+
+_BLANK = "\\x20\\x09-\\x0D"
+_CLASSES = ["a-z", "A-Z", "0-9", _BLANK, ".,;:!?\'\'\"()\\-", "#*$%&|<>"]
+_ASCII_REST = "\\x00-\\x08\\x0E-\\x1F+/=@\\[\\\\\\]^_`{}~\\x7F"
+
+
+def _count(letters: str) -> str:
+    return f"length(text) - length(regexp_replace(text, '[{letters}]', '', 'g'))"
+
+
+_SHAPES = ", ".join([_count(c) for c in [*_CLASSES, _ASCII_REST]] + ["length(text) - length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g'))"])
+
+
+def _divergence(bins: str, group: str) -> str:
+    """Jensen-Shannon distance of columns a and b of a table of histogram bins."""
+    term = "sum(CASE WHEN {0} > 0 THEN {0} * log2({0} / ((a + b) / 2)) ELSE 0 END)"
+    share = f"SELECT {group}, a / sum(a) OVER w AS a, b / sum(b) OVER w AS b FROM {bins} WINDOW w AS (PARTITION BY {group})"
+    return f"SELECT {group}, round(sqrt(greatest(0, {term.format('a')} + {term.format('b')}) / 2), 6) AS js FROM ({share}) GROUP BY {group}"
+
+
+# Every language of the tables has more than a thousandth of the words, so none is compared with the whole corpus.
+ORACLE["op6_quality_rules"] = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^{_BLANK}]+') AS words,
+    regexp_extract_all(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[!-/:-@\\[-`{{-~]', '', 'g'), '[^{_BLANK}]+') AS plain FROM documents),
+windows AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM texts WHERE len(words) > 2)),
+repeated AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1),
+covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM repeated) GROUP BY r),
+rows AS (
+  SELECT r, string_split(text, chr(10)) AS every, list_filter(every, lambda l: regexp_matches(l, '[^{_BLANK}]')) AS lines FROM texts),
+base AS (
+  SELECT t.*, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, {_count(_CLASSES[-1])} AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, [{_SHAPES}] AS shape
+  FROM texts t JOIN rows USING (r) LEFT JOIN covered c USING (r)),
+shapes AS (SELECT lang, k, sum(n) AS n FROM (SELECT lang, unnest(shape) AS n, generate_subscripts(shape, 1) AS k FROM base) GROUP BY ALL),
+shape_bins AS (
+  SELECT x.r, CAST(x.n AS DOUBLE) AS a, CAST(s.n AS DOUBLE) AS b
+  FROM (SELECT r, lang, unnest(shape) AS n, generate_subscripts(shape, 1) AS k FROM base WHERE n_words >= 50) x
+  JOIN shapes s ON x.lang = s.lang AND x.k = s.k),
+shape_js AS ({_divergence("shape_bins", "r")}),
+counted AS (SELECT r, lang, word, count(*) AS n FROM (SELECT r, lang, unnest(plain) AS word FROM texts) GROUP BY ALL),
+corpus AS (SELECT lang, word, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS every FROM counted GROUP BY lang, word),
+common AS (SELECT * FROM corpus QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 50),
+word_bins AS (
+  SELECT b.r, b.len_plain, coalesce(CAST(c.n AS DOUBLE), 0) AS a, CAST(m.n AS DOUBLE) AS b, m.every
+  FROM (SELECT r, lang, len(plain) AS len_plain FROM base WHERE n_words >= 200) b
+  JOIN common m ON b.lang = m.lang LEFT JOIN counted c ON c.r = b.r AND c.word = m.word),
+all_bins AS (
+  SELECT r, a, b FROM word_bins
+  UNION ALL SELECT r, any_value(len_plain) - sum(a), any_value(every) - sum(b) FROM word_bins GROUP BY r),
+word_js AS ({_divergence("all_bins", "r")}),
+judged AS (
+  SELECT b.*, s.js AS js_chars, w.js AS js_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM base b LEFT JOIN shape_js s USING (r) LEFT JOIN word_js w USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, js_chars, js_words, base_failed,
+  NOT base_failed AND coalesce(js_chars, 0) <= 0.32 AND coalesce(js_words, 0) <= 0.33 AS kept
+FROM judged
+"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfmark.llm import bpe, licenses, order_minhash, packing, quality_rules, repeats, resampling, secrets, simhash, urls
 from shelfmark.llm.common import table
@@ -45,7 +46,8 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents"))
+    found = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.round(c, 6) for c in ("js_chars", "js_words")})
 
 
 @query
