@@ -202,7 +202,7 @@ def _round(items: DataFrame, length: int, last: bool = False) -> tuple[DataFrame
     one = F.min(F.struct("key", "base", "at", "s0", "s1", "h")).alias("one")
     classes = items.groupBy("k", "f").agg(F.count("*").alias("n"), F.max("witness").alias("seen"), one)
     classes = classes if last else settle(classes)
-    whole = classes.filter(F.col("n") > 1).select("k", "f")
+    whole = settle(classes.filter(F.col("n") > 1).select("k", "f"))
     spans = (
         items.filter(~F.col("witness"))
         .join(whole, ["k", "f"], "left_semi")
@@ -210,7 +210,8 @@ def _round(items: DataFrame, length: int, last: bool = False) -> tuple[DataFrame
     )
     if last:
         return spans, None
-    mixed = classes.groupBy("k").count().filter(F.col("count") > 1).select("k")
+    # Written down, so that both sides of the join are plain shuffles, whose large partitions Spark can split.
+    mixed = settle(classes.groupBy("k").count().filter(F.col("count") > 1).select("k"))
     witness = (F.col("seen") | (F.col("n") > 1)).alias("witness")
     return spans, classes.join(mixed, "k", "left_semi").select("one.*", witness)
 
@@ -267,7 +268,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     names = ["k", "f", "key", "at", "s0", "s1"]
     grams = on_executors(bodies, _anchors(length, ["k"]), "k long").groupBy("k").count()
-    repeated = grams.filter(F.col("count") > 1).select("k")
+    repeated = settle(grams.filter(F.col("count") > 1).select("k"))
     anchors = on_executors(bodies, _anchors(length, names), ", ".join(f"{n} long" for n in names))
     items = anchors.join(repeated, "k", "left_semi").select(
         "k", "f", "key", F.col("s0").alias("base"), F.col("k").alias("h"), "at", "s0", "s1", F.lit(False).alias("witness")
