@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.text import java_trim
 
+# Fixed value: what an empty body is shown as.
 EMPTY_MESSAGE = "[Empty message]"
 OUTSIDE_STRINGS = r'("(?:[^"\\]|\\.)*")|\s+'
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 TOKEN = r"[\p{L}\p{M}\p{N}_]+(?:[.'’][\p{L}\p{M}\p{N}_]+)*"
 RUN = r"[\p{L}\p{N}]+"
+# Fixed value: the suffix that cleaning takes off a name.
 HEX_SUFFIX = r"[a-f0-9]{6}$"
 JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 MAX_TOKEN = 255

@@ -15,6 +15,7 @@ from shelfmark.operators import analysis, skew, spelling
 from shelfmark.operators.fuzzy import edit_budget, fuzzy_join, similarity
 from shelfmark.session import settle
 
+# Field weights, and how many hits count as few.
 BOOSTS = {analysis.NAME: 3.0, analysis.DESCRIPTION: 1.0}
 DEEP = 1000
 FEW_HITS = 3

@@ -10,6 +10,7 @@ from shelfmark.operators import skew
 from shelfmark.operators.fuzzy import fuzzy_join, similarity
 from shelfmark.session import settle
 
+# Limits of spell suggestions.
 MIN_LENGTH = 4
 MAX_EDITS = 2
 MIN_SIMILARITY = 0.5

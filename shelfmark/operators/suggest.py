@@ -11,6 +11,7 @@ from shelfmark.operators.fuzzy import edit_budget, fuzzy_join, similarity
 from shelfmark.operators.products import distinct_names
 from shelfmark.session import settle
 
+# Rows shown, and terms a prefix or a token may stand for.
 TOP = 10
 EXPANSIONS = 20
 SCORE_DIGITS = 6
