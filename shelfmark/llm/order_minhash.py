@@ -201,9 +201,9 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     # One row per task.
     ends = streamed.filter("kind > 0")
     firsts = ends.filter("kind = 1").select("part")
-    after = firsts.select("part", F.lead("part").over(Window.orderBy("part")).alias("next"))
-    after = after.join(firsts.agg(F.min("part").alias("least")).withColumn("one", F.lit(1)), F.lit(1) == F.col("one"))
-    after = after.select(F.col("part").alias("of"), F.coalesce("next", "least").alias("next"))
+    by_part = Window.orderBy("part")
+    following = F.coalesce(F.lead("part").over(by_part), F.first("part").over(by_part))
+    after = firsts.select(F.col("part").alias("of"), following.alias("next"))
     last = ends.filter("kind = 2").join(after, F.col("part") == F.col("of")).select("doc_id", "z", "next")
     heads = ends.filter("kind = 1").select(F.col("part").alias("head"), F.col("z").alias("after"))
     pairs = last.join(heads, F.col("next") == F.col("head")).select("doc_id", "z", "after")
