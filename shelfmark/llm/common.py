@@ -14,6 +14,9 @@ __all__ = ["Batches", "components", "on_executors", "table", "texts"]
 
 ROOT = str(Path(__file__).resolve().parents[2])
 Batches = Iterator[pa.RecordBatch]
+#: Bytes of rows that Spark hands to Python at a time: fewer than its default of 64 MB, unless the session sets another.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_DEFAULT, BATCH_BYTES = "67108864b", "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def on_executors(df: DataFrame, function: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """mapInArrow. With a local master the workers are told where this package lies; on a cluster it is shipped."""
-    context = df.sparkSession.sparkContext
+    """mapInArrow in small batches. With a local master the workers are told where this package lies; on a cluster it is
+    shipped."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     if context.master.startswith("local"):
         context.environment.setdefault("PYTHONPATH", ROOT)
     return df.mapInArrow(function, schema)

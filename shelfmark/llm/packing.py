@@ -33,7 +33,7 @@ END = 2
 #: Sources with less than this share of all tokens queue up together, so the driver sees at most 1/SHARE + 1 queues.
 SHARE = 1 / 1024
 #: Words whose ids a worker remembers, and the longest of them.
-MEMORY = 1 << 19
+MEMORY = 1 << 18
 LONGEST = 64
 PUNCTUATION = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
 

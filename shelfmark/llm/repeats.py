@@ -226,34 +226,43 @@ def _packed(batches: Batches) -> Batches:
 SPANS = "array<struct<start:long,end:long>>"
 
 
-def _kept(batches: Batches) -> Batches:
+def _kept(as_text: bool):
     """Unite the spans of each text and cut them out."""
-    unpack = zstandard.ZstdDecompressor()
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    for batch in batches:
-        sizes, united, kept = [], [], []
-        for packed, spans in zip(batch.column("z").to_pylist(), batch.column("found").to_pylist()):
-            text = unpack.decompress(packed)
-            merged: list[dict] = []
-            for span in sorted(spans or [], key=lambda s: s["start"]):
-                if merged and span["start"] <= merged[-1]["end"]:
-                    merged[-1]["end"] = max(merged[-1]["end"], span["end"])
-                else:
-                    merged.append(dict(span))
-            stops = [0, *(s["end"] for s in merged)]
-            starts = [*(s["start"] for s in merged), len(text)]
-            sizes.append(len(text))
-            united.append(merged)
-            kept.append(b"".join(text[a:b] for a, b in zip(stops, starts)))
-        arrays = [batch.column("row"), pa.array(sizes, pa.int64()), pa.array(united, kind), pa.array(kept, pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, ["row", "n_bytes", "spans", "kept"])
-
-
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+
+    def cut(text: bytes, spans: list[dict]) -> tuple[list[dict], bytes]:
+        merged: list[dict] = []
+        for span in sorted(spans, key=lambda s: s["start"]):
+            if merged and span["start"] <= merged[-1]["end"]:
+                merged[-1]["end"] = max(merged[-1]["end"], span["end"])
+            else:
+                merged.append(dict(span))
+        stops = [0, *(s["end"] for s in merged)]
+        starts = [*(s["start"] for s in merged), len(text)]
+        return merged, b"".join(text[a:b] for a, b in zip(stops, starts))
+
+    def run(batches: Batches) -> Batches:
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            sizes, united, kept = [], [], []
+            for packed, spans in zip(batch.column("z").to_pylist(), batch.column("found").to_pylist()):
+                text = unpack.decompress(packed)
+                merged, rest = cut(text, spans or [])
+                sizes.append(len(text))
+                united.append(merged)
+                kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
+            arrays = [batch.column("row"), pa.array(sizes, pa.int64()), pa.array(united, kind)]
+            arrays.append(pa.array(kept, pa.string() if as_text else pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "n_bytes", "spans", "kept"])
+
+    return run
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False) -> DataFrame:
     """Cut every byte covered by a `length`-byte string that also starts anywhere else.
 
     Returns for every input row: row (a struct of its columns but text), n_bytes, spans (the maximal removed runs, in
-    bytes, end exclusive) and kept (the remaining bytes). A null text is empty; repeated rows are texts of their own,
+    bytes, end exclusive) and kept (the remaining bytes, or as a text without what a cut leaves of a character). A null text is empty; repeated rows are texts of their own,
     so long enough ones go wholly; texts below `length` bytes lose nothing. Overlapping repeats in one text count.
     Equality of strings is that of 128 bits of fingerprints.
     """
@@ -288,22 +297,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = whole.unionByName(blocks).unionByName(windows)
     spans = found.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     out = T.StructType(
-        [row, T.StructField("n_bytes", T.LongType()), T.StructField("spans", T._parse_datatype_string(SPANS)), T.StructField("kept", T.BinaryType())]
+        [row, T.StructField("n_bytes", T.LongType()), T.StructField("spans", T._parse_datatype_string(SPANS)), T.StructField("kept", T.StringType() if as_text else T.BinaryType())]
     )
-    return on_executors(packed.join(spans, "key", "left"), _kept, out)
-
-
-def _decoded(batches: Batches) -> Batches:
-    for batch in batches:
-        bodies = [k.decode("utf-8", "ignore") for k in batch.column("kept").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(bodies, pa.string())], ["row", "text"])
-
-
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(row, text): the rest of each text. Bytes that a cut leaves of a character are dropped."""
-    cut = remove_repeats(docs, length)
-    schema = T.StructType([cut.schema["row"], T.StructField("text", T.StringType())])
-    return on_executors(cut.select("row", "kept"), _decoded, schema)
+    return on_executors(packed.join(spans, "key", "left"), _kept(as_text), out)
 
 
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
