@@ -33,7 +33,7 @@ END = 2
 #: Sources with less than this share of all tokens queue up together, so the driver sees at most 1/SHARE + 1 queues.
 SHARE = 1 / 1024
 #: Words whose ids a worker remembers, and the longest of them.
-MEMORY = 1 << 18
+MEMORY = 3 << 17
 LONGEST = 64
 PUNCTUATION = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
@@ -72,12 +72,14 @@ class Words:
         self.tails: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        used = set().union(*split)
         if len(self.words) > MEMORY:
-            self.words = {}
+            # What these texts use stays: the frequent words, mostly.
+            self.words = {w: self.words[w] for w in used if w in self.words}
         if len(self.stems) > MEMORY:
             self.stems = {"": b""}
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        new = list(set().union(*split).difference(self.words))
+        new = list(used.difference(self.words))
         self.learn(new)
         words = self.words
         encoded = [b"".join(map(words.__getitem__, part)) for part in split]
