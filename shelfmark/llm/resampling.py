@@ -4,13 +4,17 @@ model of the raw corpus, both bags of hashed n-grams.
 The target model counts labelled clean documents, the raw model all documents. A document's weight is its mean log ratio
 per n-gram, taken relative to a threshold learnt from labels; Gumbel noise is added, and the k documents with the greatest sums
 are drawn, which samples without replacement in proportion to the weights. k is how many weights pass the threshold.
+
+Labelled toxic and low-quality documents have target models of their own: the log ratios of the tokens that stand out in them
+against labelled clean documents. Their sums per document and in its worst window are cut between held-out labels of
+either kind; what lies above a cut takes no part in the draw.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +36,16 @@ PRIOR = 10
 #: Log ratios per n-gram that weigh like one unit of Gumbel noise.
 TEMPERATURE = 0.004
 SEED = 17
+#: Labels that a bad kind and the clean one must have, and share of the clean held-out ones that each of its cuts may lose.
+LEAST = 20
+LOST_HELD = 0.002
+#: A token stands out in labelled bad documents: in so many of them, so many standard deviations above clean ones.
+OFTEN = 3
+DEVIATIONS = 6.0
+#: Tokens of a bad model, at most, and tokens that are summed in a window.
+MARKS = 1 << 15
+WINDOW = 64
+KINDS = ("toxic", "junk")
 STEP = 1 << 19
 BASE = 0x9E3779B97F4A7C15
 
@@ -79,7 +93,10 @@ def _tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def ngrams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the single tokens and of the pairs; pair i begins with token i of the first array."""
-    _, hashes = _tokens(data)
+    return _ngrams(_tokens(data)[1])
+
+
+def _ngrams(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     mask = np.uint64(BUCKETS - 1)
     pairs = _mix(hashes[:-1] * np.uint64(BASE) + hashes[1:])
     return (hashes & mask).astype(np.int64), (pairs & mask).astype(np.int64)
@@ -118,27 +135,81 @@ def _counts(chosen: np.ndarray):
     return run
 
 
-def _weighed(ratio: np.ndarray):
+def _frequencies(batches: Batches) -> Batches:
+    """Rows of (kind, text): in how many texts of a kind each token occurs, counted per batch."""
+    for batch in batches:
+        kinds, found = batch.column("kind").to_pylist(), {}
+        for kind, body in zip(kinds, texts(batch)):
+            tokens = [np.unique(_tokens(data)[1]) for _, data in _pieces([body])]
+            found.setdefault(kind, []).append(np.unique(np.concatenate(tokens)))
+        for kind, tokens in found.items():
+            token, n = np.unique(np.concatenate(tokens), return_counts=True)
+            arrays = [pa.array([kind] * len(token), pa.string()), pa.array(token.view(np.int64)), pa.array(n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, ["kind", "token", "n"])
+
+
+@dataclass(frozen=True)
+class Marks:
+    """Tokens that stand out in labelled documents of a bad kind, sorted, and their log ratios against clean ones."""
+
+    tokens: np.ndarray
+    ratio: np.ndarray
+
+    def score(self, hashes: np.ndarray) -> tuple[float, float]:
+        """Sum of all tokens and of the worst window."""
+        if not len(self.tokens):
+            return 0.0, 0.0
+        at = np.flatnonzero(self.seen[(hashes & np.uint64(0xFFFF)).astype(np.int64)])
+        place = np.minimum(np.searchsorted(self.tokens, hashes[at]), len(self.tokens) - 1)
+        known = self.tokens[place] == hashes[at]
+        at, sums = at[known], np.r_[0.0, np.cumsum(self.ratio[place[known]])]
+        if not len(at):
+            return 0.0, 0.0
+        return sums[-1], (sums[np.searchsorted(at, at + WINDOW)] - sums[:-1]).max()
+
+    @cached_property
+    def seen(self) -> np.ndarray:
+        out = np.zeros(1 << 16, bool)
+        out[(self.tokens & np.uint64(0xFFFF)).astype(np.int64)] = True
+        return out
+
+
+def _weighed(ratio: np.ndarray, marks: list[Marks]):
     def run(batches: Batches) -> Batches:
         for batch in batches:
             weight, n = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            sums, tokens = np.zeros((2 * len(marks), batch.num_rows)), np.zeros(batch.num_rows)
             for i, data in _pieces(texts(batch)):
-                for found in ngrams(data):
+                hashes = _tokens(data)[1]
+                tokens[i] += len(hashes)
+                for found in _ngrams(hashes):
                     weight[i] += ratio[found].sum()
                     n[i] += len(found)
-            arrays = [*batch.columns, pa.array(n), pa.array(weight)]
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "n_ngrams", "log_weight"])
+                for k, mark in enumerate(marks):
+                    whole, window = mark.score(hashes)
+                    sums[2 * k, i] += whole
+                    sums[2 * k + 1, i] = max(sums[2 * k + 1, i], window)
+            sums[::2] /= tokens + PRIOR
+            arrays = [*batch.columns, pa.array(n), pa.array(weight), *map(pa.array, sums)]
+            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "n_ngrams", "log_weight", *BAD])
 
     return run
 
 
+#: Per bad kind, the mean per token and the sum of the worst window.
+BAD = [f"_{kind}_{part}" for kind in KINDS for part in ("mean", "window")]
+
+
 @dataclass(frozen=True)
 class Model:
-    """Log ratio of each bucket, the least mean weight that passes, and the least sum of margin and noise that is drawn."""
+    """Log ratio of each bucket, the least mean weight that passes, the least sum of margin and noise that is drawn,
+    and of the bad kinds their tokens and the greatest of each of BAD that passes."""
 
     ratio: np.ndarray
     threshold: float
     cut: float
+    marks: list[Marks]
+    most: list[float]
 
 
 def _log_ratio(counted: DataFrame) -> np.ndarray:
@@ -151,9 +222,46 @@ def _log_ratio(counted: DataFrame) -> np.ndarray:
     return target - raw
 
 
-def _scored(rows: DataFrame, ratio: np.ndarray) -> DataFrame:
-    fields = [*rows.schema.fields, T.StructField("n_ngrams", T.LongType()), T.StructField("log_weight", T.DoubleType())]
-    return on_executors(rows, _weighed(ratio), T.StructType(fields))
+def _marks(rows: DataFrame, used: DataFrame) -> list[Marks]:
+    """The models of the bad kinds from rows of `used` (doc_id, kind), in which clean ones are of kind "clean"."""
+    labelled = rows.join(F.broadcast(used), "doc_id").select("kind", "text")
+    size = {r.kind: r.n for r in labelled.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    counted = on_executors(labelled, _frequencies, "kind string, token long, n long")
+    counted = settle(counted.groupBy("token").pivot("kind", ["clean", *KINDS]).agg(F.sum("n")).fillna(0))
+    out = []
+    for kind in KINDS:
+        bad, clean = size.get(kind, 0), size.get("clean", 0)
+        share = (F.col("clean") + 0.5) / F.lit(clean + 1.0)
+        stands_out = (F.col(kind) - F.lit(bad) * share) / F.sqrt(F.lit(bad) * share)
+        found = counted.filter(F.col(kind) >= OFTEN).withColumn("out", stands_out).filter(F.col("out") >= DEVIATIONS)
+        ratio = F.log((F.col(kind) + 0.5) / F.lit(bad + 1.0) / share).alias("ratio")
+        some = found.orderBy(F.desc("out"), "token").limit(MARKS).select("token", ratio).collect() if bad and clean else []
+        tokens = np.array([r.token for r in some], np.int64).view(np.uint64)
+        order = np.argsort(tokens)
+        out.append(Marks(tokens[order], np.array([r.ratio for r in some])[order]))
+    return out
+
+
+def _between(clean: np.ndarray, bad: np.ndarray) -> float:
+    """A cut above all but LOST_HELD of the clean values and half-way to the next bad one; infinite if there is none."""
+    if not len(clean) or not len(bad):
+        return float("inf")
+    most = np.sort(clean)[len(clean) - 1 - int(LOST_HELD * len(clean))]
+    above = bad[bad > most]
+    return float((most + above.min()) / 2) if len(above) else float("inf")
+
+
+def _scored(rows: DataFrame, ratio: np.ndarray, marks: list[Marks]) -> DataFrame:
+    fields = [*rows.schema.fields, T.StructField("n_ngrams", T.LongType())]
+    fields += [T.StructField(n, T.DoubleType()) for n in ("log_weight", *BAD)]
+    return on_executors(rows, _weighed(ratio, marks), T.StructType(fields))
+
+
+def _not_bad(most: list[float]) -> Column:
+    out = F.lit(True)
+    for name, limit in zip(BAD, most):
+        out = out & (F.col(name) <= F.lit(limit))
+    return out
 
 
 def _mean() -> Column:
@@ -188,28 +296,61 @@ def kth_largest(values: DataFrame, column: str, k: int, bins: int = 4096) -> flo
     return low
 
 
+def _chosen(labels: DataFrame, labelled: int) -> dict[str, np.ndarray]:
+    """Sorted ids per kind, at most `labelled` of each by a hash. Toxic is what any label calls so; of the rest junk is
+    what any calls low quality, and clean what all call good."""
+    known = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    toxic, quality = F.max(F.coalesce("toxic", F.lit(0))), F.min("quality")
+    kind = F.when(toxic != 0, F.lit("toxic")).when(quality == 0, F.lit("junk")).when(quality == 1, F.lit("clean"))
+    known = settle(known.agg(kind.alias("kind")))
+    out = {}
+    for name in ("clean", *KINDS):
+        some = known.filter(F.col("kind") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
+        out[name] = np.sort(np.array([r.doc_id for r in some.select("doc_id").collect()], np.int64))
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> tuple[Model, DataFrame]:
-    """The model, and the weights of all rows: doc_id, n_ngrams, log_weight, mean_weight.
+    """The model, and the weights of all rows: doc_id, n_ngrams, log_weight, the columns BAD, mean_weight.
 
-    Labels beyond `labelled` rows are not used; which ones is decided by a hash of doc_id. All else covers every row.
+    Labels of a kind beyond `labelled` rows are not used; which ones is decided by a hash of doc_id. All else covers
+    every row. A bad kind with fewer than LEAST labels among the rows, or beside fewer clean ones, has no cut.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    known = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-    clean = (F.min("quality") == 1) & (F.max(F.coalesce("toxic", F.lit(0))) == 0)
-    known = known.agg(F.coalesce(clean, F.lit(False)).alias("clean")).filter("clean")
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled).select("doc_id").collect()
-    chosen = np.sort(np.array([r.doc_id for r in chosen], np.int64))
-    # Every second one trains the target model; all of them set the threshold.
+    kinds = _chosen(labels, labelled)
+    chosen = kinds["clean"]
+    # Every second one trains the models. All clean ones set the threshold; the others set the cuts.
     ratio = _log_ratio(on_executors(rows, _counts(chosen[::2]), "kind int, bucket int, n long"))
-    scores = settle(_scored(rows, ratio).drop("text").withColumn("mean_weight", _mean()))
-    ids = docs.sparkSession.createDataFrame([(int(i),) for i in chosen], "doc_id long")
-    known = scores.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("mean_weight").alias("mean_weight"))
-    means = sorted(r.mean_weight for r in known.collect())
+    enough = [k for k in KINDS if min(len(kinds[k]), len(chosen)) >= LEAST]
+    used = [(int(i), k) for k in ("clean", *enough) for i in kinds[k][::2]] if enough else []
+    marks = [Marks(np.zeros(0, np.uint64), np.zeros(0)) for _ in KINDS]
+    if used:
+        marks = _marks(rows, spark.createDataFrame(used, "doc_id long, kind string"))
+    scores = settle(_scored(rows, ratio, marks).drop("text").withColumn("mean_weight", _mean()))
+    ids = [(int(i), k, j % 2 == 1) for k in ("clean", *enough) for j, i in enumerate(kinds[k])]
+    ids = spark.createDataFrame(ids, "doc_id long, kind string, held boolean")
+    known = scores.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "kind", "held")
+    known = known.agg(F.min("mean_weight").alias("mean_weight"), *[F.max(c).alias(c) for c in BAD]).collect()
+    means = sorted(r.mean_weight for r in known if r.kind == "clean")
     threshold = min(means[int(LOST * len(means))], 0.0) - MARGIN if means else -MARGIN
-    passed = scores.filter(F.col("mean_weight") >= threshold).count()
-    keys = scores.select(_drawn_at(threshold).alias("key"))
+
+    def held(kind: str, column: str) -> np.ndarray:
+        return np.array([r[column] for r in known if r.held and r.kind == kind])
+
+    most = [float("inf")] * len(BAD)
+    for kind in enough:
+        if min(len(held(k, "mean_weight")) for k in (kind, "clean")) < LEAST // 2:
+            continue
+        for part in (f"_{kind}_mean", f"_{kind}_window"):
+            most[BAD.index(part)] = _between(held("clean", part), held(kind, part))
+        if kind == "junk":
+            threshold = max(threshold, -_between(-held("clean", "mean_weight"), -held(kind, "mean_weight")))
+    able = scores.filter(_not_bad(most))
+    passed = able.filter(F.col("mean_weight") >= threshold).count()
+    keys = able.select(_drawn_at(threshold).alias("key"))
     cut = kth_largest(settle(keys), "key", passed) if passed else float("inf")
-    return Model(ratio, threshold, cut), scores
+    return Model(ratio, threshold, cut, marks, most), scores
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -219,8 +360,8 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     drawn. Without labelled clean rows all weights are 0 and everything is kept. No rows: none.
     """
     model, scores = fit(docs, labels)
-    key = _drawn_at(model.threshold)
-    return scores.withColumn("key", key).withColumn("kept", F.col("key") >= F.lit(model.cut))
+    kept = (F.col("key") >= F.lit(model.cut)) & _not_bad(model.most)
+    return scores.withColumn("key", _drawn_at(model.threshold)).withColumn("kept", kept).drop(*BAD)
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -231,5 +372,6 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    scored = _scored(rows, model.ratio).withColumn("mean_weight", _mean())
-    return scored.filter(_drawn_at(model.threshold) >= F.lit(model.cut)).select("row.*")
+    scored = _scored(rows, model.ratio, model.marks).withColumn("mean_weight", _mean())
+    drawn = (_drawn_at(model.threshold) >= F.lit(model.cut)) & _not_bad(model.most)
+    return scored.filter(drawn).select("row.*")

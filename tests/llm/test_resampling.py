@@ -63,6 +63,38 @@ def test_held_out_accuracy(spark, more_documents):
     assert sum(good) >= 0.99 * len(good) and sum(junk) <= 0.3 * len(junk)
 
 
+def test_held_out_toxic_and_junk(spark):
+    """Fitted on half of the labels, judged on the other, each kind by itself."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    judged = resampling.judge(docs, labels.filter(half)).join(labels.filter(~half), "doc_id").collect()
+    good, toxic, junk = (
+        [r.kept for r in judged if (r.quality, r.toxic) == kind] for kind in ((1, 0), (1, 1), (0, 0))
+    )
+    assert min(len(good), len(toxic), len(junk)) > 100
+    assert sum(good) >= 0.99 * len(good) and sum(toxic) <= 0.2 * len(toxic) and sum(junk) <= 0.1 * len(junk)
+
+
+def test_a_few_toxic_words_in_a_long_text(spark):
+    random.seed(5)
+    words = [f"w{i}" for i in range(300)]
+
+    def text(n, *more):
+        chosen = random.choices(words, k=n)
+        return " ".join([*chosen[: n // 2], *more, *chosen[n // 2 :]])
+
+    rows = [(i, text(150, *(["vile", "rotten"] if i % 5 == 0 else []))) for i in range(400)]
+    rows += [(1000, text(5000, "vile", "Rotten", "vile")), (1001, text(5000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in resampling.judge(docs, labels).collect()}
+    assert all(kept[i] == (i % 5 != 0) for i in range(300, 400)) and not kept[1000] and kept[1001]
+    assert {r.doc_id for r in resampling.keep(docs, labels).collect()} == {i for i, k in kept.items() if k}
+    few = labels.filter("doc_id < 90")
+    assert all(r.kept for r in resampling.judge(docs, few).collect())
+
+
 @pytest.mark.parametrize("k", [1, 2, 500, 999, 1000])
 def test_kth_largest(spark, k):
     random.seed(k)
