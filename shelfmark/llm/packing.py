@@ -96,8 +96,8 @@ class Words:
             new = [w for w in new if w not in words]
         letters = [w.rstrip(PUNCTUATION) for w in new]
         keys = [s.lower() if s.isascii() else s for s in letters]
-        # Letters that normalizing would take apart could end in a mark, which goes with punctuation.
-        self.learn_letters([s for s in set(keys).difference(stems) if s.isalpha() and is_normalized("NFC", s)])
+        # Letters that normalizing or lower-casing would take apart could end in a mark, which goes with punctuation.
+        self.learn_letters([s for s in set(keys).difference(stems) if self.plain(s)])
         rest = [w[len(s) :] for w, s in zip(new, letters)]
         tails.update((t, self.alone(t)) for t in set(rest).difference(tails))
         for word, key, tail in zip(new, keys, rest):
@@ -109,6 +109,10 @@ class Words:
         if len(tails) > 4096:
             self.tails = {}
 
+    @staticmethod
+    def plain(stem: str) -> bool:
+        return stem.isalpha() and is_normalized("NFC", stem) and (stem.isascii() or stem.lower().isalpha())
+
     def learn_letters(self, stems: list[str]) -> None:
         for first in range(0, len(stems), 512):
             some = stems[first : first + 512]

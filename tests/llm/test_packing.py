@@ -102,3 +102,9 @@ def test_odd_words(tokenizer, text):
 @pytest.mark.parametrize("text", ["é ́a  b c\x85d\x0be f", "don't <|startoftext|>x<|end", "ΑΣ ΟΔΟΣ İ ſ K", "中文 テスト a1b2", "'s 't  ''re"])
 def test_words_apart_encode_like_the_text(tokenizer, text):
     assert packing.encode([text], PATH)[0] == whole(tokenizer, text)[:-1].tobytes()
+
+
+@pytest.mark.parametrize("text", ["GİBİ!", "gibİ, İ. (İ) İ", "İ!İ? İstanbulİ..."])
+def test_letters_that_lower_into_a_mark(tokenizer, text):
+    for _ in range(2):
+        assert packing.encode([text], PATH)[0] == whole(tokenizer, text)[:-1].tobytes()
