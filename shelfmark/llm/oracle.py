@@ -162,3 +162,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, js_c
   NOT base_failed AND coalesce(js_chars, 0) <= 0.32 AND coalesce(js_words, 0) <= 0.33 AS kept
 FROM judged
 """
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+ORACLE["op11_decontamination"] = f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w, least(len(w), 10) AS n FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS v
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM items WHERE n > 0)),
+places AS (
+  SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS v
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM texts, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT r, i, n, item FROM places JOIN windows USING (n, v)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM texts LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""

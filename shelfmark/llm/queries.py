@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, licenses, order_minhash, packing, quality_rules, repeats, resampling, secrets, simhash, urls
+from shelfmark.llm import bpe, contamination, licenses, order_minhash, packing, quality_rules, repeats, resampling, secrets, simhash, urls
 from shelfmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,8 @@ def op1_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
