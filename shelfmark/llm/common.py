@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from shelfmark.operators.components import components
 
@@ -23,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def on_executors(df: DataFrame, function: Callable[[Batches], Batches], schema: str) -> DataFrame:
+def on_executors(df: DataFrame, function: Callable[[Batches], Batches], schema: str | StructType) -> DataFrame:
     """mapInArrow in small batches. With a local master the workers are told where this package lies; on a cluster it is
     shipped."""
     spark = df.sparkSession

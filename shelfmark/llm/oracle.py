@@ -184,3 +184,41 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM texts LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
+
+
+def _rounds(rounds: int) -> str:
+    """Assign all parts to the entries, and move the entries, so many times; then assign once more."""
+    out = []
+    for i in range(rounds + 1):
+        out.append(f"""
+seen{i} AS MATERIALIZED (
+  SELECT r, p, arg_min(e, d * 16 + e) AS e, min(d) AS d
+  FROM (SELECT a.r, a.p, b.e, list_sum(list_transform(range(1, len(a.x) + 1), lambda i: (a.x[i] - b.x[i]) * (a.x[i] - b.x[i]))) AS d
+        FROM parts a JOIN book{i} b USING (p)) GROUP BY r, p)""")
+        if i < rounds:
+            out.append(f"""
+book{i + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(n.x, b.x) AS x FROM book{i} b LEFT JOIN (
+    SELECT p, e, list(m ORDER BY i) AS x FROM (
+      SELECT p, e, i, CAST((sum(c) - ((sum(c) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+      FROM (SELECT p, e, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM seen{i} JOIN parts USING (r, p)) GROUP BY p, e, i)
+    GROUP BY p, e) n USING (p, e))""")
+    return ",".join(out)
+
+
+ORACLE["op12_vector_codes"] = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT r, p, v[len(v) * p // 8 + 1 : len(v) * (p + 1) // 8] AS x FROM kept, (SELECT unnest(range(8)) AS p)),
+book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x
+  FROM parts JOIN (SELECT r, vec_id FROM kept ORDER BY vec_id LIMIT 16) USING (r)),{_rounds(6)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM seen6 GROUP BY r),
+books AS (
+  SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM book6))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), books
+"""
