@@ -222,3 +222,34 @@ books AS (
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
 FROM kept JOIN coded USING (r), books
 """
+
+_BITS = "flatten(list_transform(split(CAST(c AS VARCHAR), ''), lambda d: list_transform(range(8), lambda b: (ascii(d) >> b) & 1)))"
+_CRC = (
+    f"xor(4294967295, list_reduce(list_prepend(4294967295, CAST({_BITS} AS BIGINT[])), "
+    "lambda x, b: CASE WHEN ((x & 1) <> b) THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"
+)
+
+ORACLE["op13_prefix_trie"] = f"""
+WITH own AS (
+  SELECT conv_id AS c, list([coalesce(role, ''), coalesce(text, '')] ORDER BY turn NULLS FIRST) AS said
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+shared AS (SELECT c, said, {_CRC} % 9 AS h FROM own),
+built AS MATERIALIZED (
+  SELECT a.c, list_concat(coalesce(b.said, [])[1 : a.h], a.said[a.h + 1 :]) AS said FROM shared a LEFT JOIN own b ON b.c = a.c - a.c % 5),
+paths AS MATERIALIZED (
+  SELECT c, d, sha256(CAST(to_json(said[1 : d]) AS VARCHAR)) AS k, sha256(CAST(to_json(said[1 : d - 1]) AS VARCHAR)) AS above,
+    CASE WHEN d = 0 THEN 0 ELSE octet_length(encode(said[d][2])) END AS b, d = len(said) AS ends
+  FROM (SELECT c, said, unnest(range(len(said) + 1)) AS d FROM built)),
+nodes AS MATERIALIZED (
+  SELECT d, k, any_value(above) AS above, min(c) AS c, count(*) AS n, any_value(b) AS b,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '') AS ends FROM paths GROUP BY d, k),
+children AS (SELECT d - 1 AS d, above AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+under AS (SELECT DISTINCT a.d, a.k, b.d AS d2, b.k AS k2 FROM paths a JOIN paths b ON a.c = b.c AND b.d >= a.d),
+sums AS (
+  SELECT u.d, u.k, sum((n.n - 1) * n.b) AS saved, count(*) FILTER (x.n_children IS NULL) AS n_leaves
+  FROM under u JOIN nodes n ON n.d = u.d2 AND n.k = u.k2 LEFT JOIN children x ON x.d = u.d2 AND x.k = u.k2 GROUP BY u.d, u.k)
+SELECT n.c AS conv_id, n.d AS depth, p.c AS parent_conv_id, n.n AS n_convs, coalesce(x.n_children, 0) AS n_children, s.n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN sums s ON s.d = n.d AND s.k = n.k LEFT JOIN children x ON x.d = n.d AND x.k = n.k
+LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.k = n.above
+"""

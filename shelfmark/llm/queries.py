@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe, contamination, licenses, order_minhash, packing, quality_rules, repeats, resampling, secrets, simhash, urls, vector_codes
+from shelfmark.llm import bpe, contamination, licenses, order_minhash, packing, prefix_trie, quality_rules, repeats, resampling, secrets, simhash, urls, vector_codes
 from shelfmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,8 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(table(spark, sf_dir, "conversations"))
