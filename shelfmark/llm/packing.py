@@ -5,6 +5,10 @@ earned a whole one, so its deficit is carried from window to window. Served that
 weight w comes when x + 1 slots' worth is earned, at time (x + 1) / w; the place of a slot in the whole order is the number of
 slots of all sources with an earlier time, a closed form. Every task therefore places its own documents knowing
 only the length of each queue and how much of it lies in the partitions before.
+
+A source that holds a share of `SHARE` of all tokens, or is named in the targets, has a queue of its own. Of all others, which may be
+any number, a common queue is made by the same rule with documents as slots: a document comes when its source has earned what
+lies before it, so the small sources are mixed document by document, and the common queue weighs what they weigh together.
 """
 
 from __future__ import annotations
@@ -24,17 +28,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.llm.common import Batches, on_executors
+from shelfmark.llm.common import Batches, on_executors, running, texts
 from shelfmark.session import settle
 
 TOKENS = 4096
 SLOT = 64
 END = 2
-#: Sources with less than this share of all tokens queue up together, so the driver sees at most 1/SHARE + 1 queues.
+#: The driver and the tasks know at most 1/SHARE queues, one for each named target and the common one.
 SHARE = 1 / 1024
-#: Words whose ids a worker remembers, and the longest of them.
-MEMORY = 3 << 17
+#: Stems whose ids a worker remembers, the longest of them, and ends of words.
+MEMORY = 1 << 19
 LONGEST = 64
+TAILS = 1 << 12
+SEPARATORS = b"\t\n "
 PUNCTUATION = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
 
@@ -45,15 +51,17 @@ def _tokenizer(path: str) -> "Words":
 
 def encode(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers."""
-    return _tokenizer(path).encode(texts)
+    words = _tokenizer(path)
+    return [np.frombuffer(ids, words.kind).astype("<u4").tobytes() for ids in words.encode([t.encode() for t in texts])]
 
 
 class Words:
-    """A tokenizer that encodes a word once and remembers it.
+    """A tokenizer that encodes a stem once and remembers it.
 
-    No token reaches over a blank, line end or tab, so texts are cut there. Of a new word, trailing punctuation is
-    encoded apart, as no token holds both letters and punctuation, and what is left is encoded together with other
-    words, if it is all letters; each of those ends with a token of its own kind.
+    No token reaches over a blank, line end or tab, nor from a letter to punctuation, so texts are cut there, and each distinct part of
+    a batch is looked up once. Capital letters are the same as small ones, but before a mark that could join them. Of a part, trailing
+    punctuation is encoded apart, and what is left is encoded together with others, if it is all letters; each of those ends
+    with a token of its own kind. Ids are kept in two bytes while the vocabulary allows it.
     """
 
     def __init__(self, path: str) -> None:
@@ -65,98 +73,120 @@ class Words:
         self.tokenizer.no_truncation()
         vocabulary = self.tokenizer.get_vocab()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.kind = kind_of(max(vocabulary.values()))
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {"": b""}
-        self.tails: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        used = set().union(*split)
-        if len(self.words) > MEMORY:
-            # What these texts use stays: the frequent words, mostly.
-            self.words = {w: self.words[w] for w in used if w in self.words}
-        if len(self.stems) > MEMORY:
-            self.stems = {"": b""}
-        new = list(used.difference(self.words))
-        self.learn(new)
-        words = self.words
-        encoded = [b"".join(map(words.__getitem__, part)) for part in split]
-        for word in new:
-            if len(word) > LONGEST:
-                words.pop(word, None)
-        return encoded
-
-    def learn(self, new: list[str]) -> None:
-        words, stems, tails = self.words, self.stems, self.tails
-        together = "\n".join(new)
-        if any(s in together for s in self.special):
-            words.update((w, self.alone(w)) for w in new if any(s in w for s in self.special))
-            new = [w for w in new if w not in words]
-        letters = [w.rstrip(PUNCTUATION) for w in new]
+        self.tails: dict[str, bytes] = {"": b""}
+        # What may follow a letter inside a special token is no place to cut.
+        inside = {b for t in self.special for a, b in zip(t, t[1:]) if a.isalpha()}
+        self.classes = np.zeros(256, np.uint8)
+        self.classes[list(SEPARATORS)] = 1
+        self.classes[[c for c in range(128) if chr(c).isalpha()]] = 2
+        self.classes[[ord(c) for c in PUNCTUATION if c not in inside]] = 3
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text of a batch, numbers of `kind`."""
+        if not texts:
+            return []
+        whole = b"".join([b" " + t for t in texts])
+        letters = np.frombuffer(whole, np.uint8)
+        classes = self.classes[letters]
+        cut = classes == 1
+        cut[1:] |= (classes[1:] == 3) & (classes[:-1] == 2)
+        starts = np.r_[np.flatnonzero(cut), len(whole)].astype(np.int64)
+        capital = (letters >= 65) & (letters <= 90)
+        capital[:-1] &= letters[1:] < 128
+        small = (letters + capital.astype(np.uint8) * 32).tobytes()
+        if any(small.count(s.encode()) != whole.count(s.encode()) for s in self.special):
+            small = whole
+        parts = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(small)])
+        parts = parts.dictionary_encode()
+        found = [w[1:] if w[0] in SEPARATORS else w for w in parts.dictionary.to_pylist()]
+        ids = pa.array(self.look_up([w.decode() for w in found]), pa.large_binary())
+        encoded = ids.take(parts.indices)
+        at = np.frombuffer(encoded.buffers()[1], np.int64)[: len(encoded) + 1]
+        cuts = at[np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in texts]))]
+        body = memoryview(encoded.buffers()[2] or b"")
+        return [bytes(body[a:b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+
+    def look_up(self, words: list[str]) -> list[bytes]:
+        letters = [w.rstrip(PUNCTUATION) for w in words]
         keys = [s.lower() if s.isascii() else s for s in letters]
+        rest = [w[len(s) :] for w, s in zip(words, letters)]
+        if len(self.stems) > MEMORY:
+            # What these texts use stays: the frequent words, mostly.
+            self.stems = {k: self.stems[k] for k in {"", *keys} if k in self.stems}
+        if len(self.tails) > TAILS:
+            self.tails = {"": b""}
+        stems, tails = self.stems, self.tails
         # Letters that normalizing or lower-casing would take apart could end in a mark, which goes with punctuation.
-        self.learn_letters([s for s in set(keys).difference(stems) if self.plain(s)])
-        rest = [w[len(s) :] for w, s in zip(new, letters)]
+        self.learn([s for s in set(keys).difference(stems) if self.plain(s)])
         tails.update((t, self.alone(t)) for t in set(rest).difference(tails))
-        for word, key, tail in zip(new, keys, rest):
-            stem = stems.get(key)
-            words[word] = self.alone(word) if stem is None else stem + tails[tail]
-        for key in keys:
-            if len(key) > LONGEST:
-                stems.pop(key, None)
-        if len(tails) > 4096:
-            self.tails = {}
+        found = list(map(stems.get, keys))
+        out = [stem + tails[tail] if tail and stem is not None else stem for stem, tail in zip(found, rest)]
+        together = "\n".join(words)
+        special = any(s in together for s in self.special)
+        for i in [i for i, ids in enumerate(out) if ids is None] if not special else range(len(words)):
+            if out[i] is None or any(s in words[i] for s in self.special):
+                out[i] = self.alone(words[i])
+        for key in [k for k in keys if len(k) > LONGEST]:
+            stems.pop(key, None)
+        return out
 
     @staticmethod
     def plain(stem: str) -> bool:
-        return stem.isalpha() and is_normalized("NFC", stem) and (stem.isascii() or stem.lower().isalpha())
+        return stem.isalpha() and (stem.isascii() or (is_normalized("NFC", stem) and stem.lower().isalpha()))
 
-    def learn_letters(self, stems: list[str]) -> None:
-        for first in range(0, len(stems), 512):
-            some = stems[first : first + 512]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+    def learn(self, stems: list[str]) -> None:
+        for first in range(0, len(stems), 128):
+            some = stems[first : first + 128]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(some):
-                body, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
-                self.stems.update((s, body[4 * a : 4 * b]) for s, a, b in zip(some, starts, ends.tolist()))
+                body, width = ids.tobytes(), ids.itemsize
+                cuts = [0, *(width * ends).tolist()]
+                self.stems.update((s, body[a:b]) for s, a, b in zip(some, cuts, cuts[1:]))
             else:
                 self.stems.update((s, self.alone(s)) for s in some)
 
     def alone(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+
+
+def kind_of(greatest: int) -> str:
+    return "<u2" if greatest < 1 << 16 else "<u4"
 
 
 def _tokens(path: str):
     def run(batches: Batches) -> Batches:
-        part, queued = TaskContext.get().partitionId(), defaultdict(int)
-        pack = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                rows = batch.slice(first, 512)
-                sources = rows.column("source").to_pylist()
-                counts, starts, bodies = [], [], []
-                for source, ids in zip(sources, encode([t or "" for t in rows.column("text").to_pylist()], path)):
-                    n = len(ids) // 4 + 1
-                    counts.append(n)
-                    starts.append(queued[source])
-                    queued[source] += n
-                    bodies.append(pack.compress(_narrow(ids)))
-                arrays = [rows.column("row"), rows.column("source"), pa.array([part] * len(counts), pa.int32())]
-                arrays += [pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(bodies, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["row", "source", "part", "at", "n", "z"])
+        part, queued, words = TaskContext.get().partitionId(), defaultdict(int), _tokenizer(path)
+        pack, width = zstandard.ZstdCompressor(level=1), np.dtype(words.kind).itemsize
+        for rows in batches:
+            sources = rows.column("source").to_pylist()
+            counts, starts, bodies = [], [], []
+            for source, ids in zip(sources, words.encode([t or b"" for t in texts(rows)])):
+                n = len(ids) // width + 1
+                counts.append(n)
+                starts.append(queued[source])
+                queued[source] += n
+                bodies.append(pack.compress(_narrow(ids, width)))
+            arrays = [rows.column("row"), rows.column("source"), pa.array([part] * len(counts), pa.int32())]
+            arrays += [pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(bodies, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "source", "part", "at", "n", "z"])
 
     return run
 
 
-def _narrow(ids: bytes) -> bytes:
-    """The four bytes of each number plane by plane, which packs better."""
-    return np.frombuffer(ids, np.uint8).reshape(-1, 4).T.tobytes()
+def _narrow(ids: bytes, width: int) -> bytes:
+    """The bytes of each number plane by plane, which packs better; in front, how many there are of each."""
+    return bytes([width]) + np.frombuffer(ids, np.uint8).reshape(-1, width).T.tobytes()
 
 
 def _wide(planes: bytes) -> bytes:
-    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.tobytes()
+    """Little-endian unsigned 32-bit numbers again."""
+    width = planes[0]
+    return np.frombuffer(planes, np.uint8, offset=1).reshape(width, -1).T.copy().view(f"<u{width}").astype("<u4").tobytes()
 
 
 def tokenize(docs: DataFrame, path: str, source: str = "source") -> DataFrame:
@@ -221,6 +251,22 @@ def _cut(lengths: list[int], weights: list[int], tokens: int, slot_tokens: int):
     return run
 
 
+def _mixed(placed: DataFrame, sources: DataFrame, common: int, equal: bool) -> DataFrame:
+    """Documents of the common queue in the order in which their sources earn them: `queued` is then their place in it."""
+    key = ["source", "part", "at"]
+    small = placed.filter(F.col("queue") == common)
+    light = small.select(*key, "queued", "n").join(sources.select(F.col("source").alias("of"), "whole"), F.col("source").eqNullSafe(F.col("of")))
+    # What lies before a document's middle, as a share of its source, or in tokens where all sources weigh the same.
+    middle = F.col("queued") + F.col("n") / 2
+    due = light.select(*key, "n", (middle if equal else middle / F.col("whole")).alias("due"))
+    order = F.struct("due", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("name"), "part", "at")
+    summed = running(due.select(F.lit(common).alias("queue"), "n", F.col("n").alias("upto"), order.alias("order"), *key), "queue", F.col("order").asc(), ["upto"])
+    ranked = settle(summed.select(*[F.col(c).alias(f"_{c}") for c in key], (F.col("upto") - F.col("n")).alias("before")))
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("part") == F.col("_part")) & (F.col("at") == F.col("_at"))
+    mixed = small.join(ranked, same).withColumn("queued", F.col("before")).select(*placed.columns)
+    return placed.filter(F.col("queue") != common).unionByName(mixed)
+
+
 def pieces(
     docs: DataFrame,
     path: str | None = None,
@@ -233,41 +279,38 @@ def pieces(
     """Pieces of all documents with their window: row (a struct of the other columns), start, length, doc_tokens, sequence_id,
     ids (little-endian unsigned 32-bit), queue and queued, the place of the piece in its queue.
 
-    `targets` gives sources whole-number weights, others weigh 1; without it each weighs as many tokens as it has,
-    so all queues end together. Every id lies in exactly one piece, the id 2 closes each document. A null text is
+    `targets` gives sources whole-number weights, others weigh 1 each, those of the common queue as many as they are;
+    without it each weighs as many tokens as it has, so all queues end together. Every id lies in exactly one piece, the id 2 closes each document. A null text is
     empty, a null source is a source, repeated rows are packed as often as they occur. At most one slot per queue
     is not full, which is all the padding there is but for the last window's. No rows: no pieces.
     """
     encoded = tokenize(docs, path or public_tokenizers.path("word_bpe_49k.json"), source)
     held = settle(encoded.groupBy("part", "source").agg(F.sum("n").alias("n")))
-    sources = held.groupBy("source").agg(F.sum("n").alias("n"))
-    total = held.agg(F.sum("n")).first()[0] or 0
-    large = [tuple(r) for r in sources.filter(F.col("n") >= total * share).collect()]
-    large.sort(key=lambda r: (r[0] is not None, r[0]))
+    sources = settle(held.groupBy("source").agg(F.sum("n").alias("whole")))
+    total, kinds_of_source = sources.agg(F.sum("whole"), F.count("*")).first()
+    targets = dict(targets or {})
+    own = F.col("whole") >= (total or 0) * share
+    for name in targets:
+        own = own | F.col("source").eqNullSafe(F.lit(name))
+    large = sorted((tuple(r) for r in sources.filter(own).collect()), key=lambda r: (r[0] is not None, r[0]))
     lengths = [-(-n // slot) for _, n in large]
-    rest = total - sum(n for _, n in large)
-    weights = [(targets or {}).get(s, 1) if targets else length for (s, _), length in zip(large, lengths)]
-    if rest:
+    weights = [targets.get(s, 1) if targets else length for (s, _), length in zip(large, lengths)]
+    if rest := (total or 0) - sum(n for _, n in large):
         lengths.append(-(-rest // slot))
-        weights.append(1 if targets else lengths[-1])
-    numbered = [(s, q) for q, (s, _) in enumerate(large)]
+        weights.append(kinds_of_source - len(large) if targets else lengths[-1])
     queue = F.lit(len(large))
-    for name, q in numbered:
+    for q, (name, _) in enumerate(large):
         queue = F.when(F.col("source").eqNullSafe(F.lit(name)), q).otherwise(queue)
-    # Where each partition's share of a queue begins: after those of the partitions before it, and in the common
-    # queue also after the smaller sources of its own partition.
-    held = held.withColumn("queue", queue)
-    ahead = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    beside = Window.partitionBy("queue", "part").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
-    shares = held.groupBy("queue", "part").agg(F.sum("n").alias("n"))
-    shares = shares.select("queue", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
-    own = held.withColumn("beside", F.coalesce(F.sum("n").over(beside), F.lit(0)))
-    begins = own.join(shares, ["queue", "part"]).select(
-        F.col("source").alias("of"), F.col("part").alias("in"), "queue", (F.col("ahead") + F.col("beside")).alias("begin")
-    )
+    # Where each partition's share of a source begins: after those of the partitions before it.
+    ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = held.withColumns({"begin": F.coalesce(F.sum("n").over(ahead), F.lit(0)), "queue": queue.cast("long")}).drop("n")
+    begins = begins.select(F.col("source").alias("of"), F.col("part").alias("in"), "queue", "begin")
     placed = encoded.join(settle(begins), F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))).select(
-        "row", F.col("queue").cast("long"), (F.col("begin") + F.col("at")).alias("queued"), "n", "z"
+        "row", "source", "part", "at", "queue", (F.col("begin") + F.col("at")).alias("queued"), "n", "z"
     )
+    if rest:
+        placed = _mixed(placed, sources, len(large), bool(targets))
+    placed = placed.select("row", "queue", "queued", "n", "z")
     kinds = [(n, T.LongType()) for n in ("start", "length", "doc_tokens", "sequence_id", "queue", "queued")]
     kinds = [("row", encoded.schema["row"].dataType), *kinds, ("ids", T.BinaryType())]
     schema = T.StructType([T.StructField(n, k) for n, k in kinds])

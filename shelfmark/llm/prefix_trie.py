@@ -20,14 +20,13 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Sequence
 from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Batches, on_executors
+from shelfmark.llm.common import Batches, on_executors, running
 from shelfmark.operators import skew
 from shelfmark.session import settle
 
@@ -55,19 +54,6 @@ def lengths(steps: DataFrame) -> DataFrame:
     return settle(steps.groupBy("conv").agg(F.count("*").alias("length")))
 
 
-def running(df: DataFrame, group: str, order: Column, columns: Sequence[str]) -> DataFrame:
-    """Sums of columns up to and including each row of its group. A large group is cut by ranges of `order`, which is unique in it."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = settle(df.repartitionByRange(parts, F.col(group), order).withColumn("_part", F.spark_partition_id()))
-    local = Window.partitionBy(group, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    within = placed.withColumns({c: F.sum(c).over(local) for c in columns})
-    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy(group, "_part").agg(*[F.sum(c).alias(c) for c in columns])
-    earlier = totals.select(group, "_part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in columns])
-    joined = within.join(settle(earlier), [group, "_part"])
-    return joined.withColumns({c: F.col(c) + F.col(f"_{c}") for c in columns}).select(*df.columns)
-
-
 def _blocks(steps: DataFrame) -> DataFrame:
     """(conv, block, p1, p2, turns): the key before the block and its turns with the keys before (p) and after (s) each."""
     salt = F.lit(uuid.uuid4().hex)

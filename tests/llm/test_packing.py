@@ -91,6 +91,7 @@ def test_all_words_of_the_documents(more_documents, tokenizer):
 
 ODD = ["'s foo's, it's. don't!! IT'S 've,'re", "<|endoftext|>! a<|endoftext|>b, ab <|end", "a\x1cb. x1, 12. (foo) foo) ..."]
 ODD += ["\u0958\u0959, e\u0301tude. \u0301, <\u0338 x<\u0338", "ΣΑΣ. İstanbul, ſ!", "w" * 100_000 + "!!", "!" * 1000, "x." * 50_000]
+ODD += ["J\u030cx J\u030c, H\u0331 I\u0307! A\u030a. j\u030c", "<|ENDOFTEXT|> a<|ENDOFTEXT|>", "<|EndOfText|><|endoftext|>A|b|>", "A…, É…; Ł., «x», x…y", "a|b, it's,'s.'s", "\n\t x\n,y"]
 
 
 @pytest.mark.parametrize("text", ODD)
@@ -108,3 +109,41 @@ def test_words_apart_encode_like_the_text(tokenizer, text):
 def test_letters_that_lower_into_a_mark(tokenizer, text):
     for _ in range(2):
         assert packing.encode([text], PATH)[0] == whole(tokenizer, text)[:-1].tobytes()
+
+
+def shares(rows, tokens):
+    """For every few windows: the share of each source, and how much of it has come so far."""
+    total, so_far = Counter(), Counter()
+    for r in rows:
+        total[r.row.source] += r.length
+    for window in sorted({r.sequence_id for r in rows}):
+        for r in rows:
+            if r.sequence_id == window:
+                so_far[r.row.source] += r.length
+        yield window, dict(so_far), total, sum(so_far.values()) / sum(total.values())
+
+
+def test_thousands_of_sources_are_mixed(spark):
+    """2,000 small sources share a queue but not their places: each comes evenly, document by document."""
+    rows = [(s * 10 + k, "one two three four five six seven " * (1 + s % 3), f"s{s}") for s in range(2000) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5, "source")
+    cut = packing.pieces(docs).collect()
+    longest = max(r.doc_tokens for r in cut)
+    for window, so_far, total, share in shares(cut, 4096):
+        assert all(abs(so_far.get(s, 0) - total[s] * share) <= 1.6 * longest for s in total), window
+    assert sum(r.length for r in cut) == sum(n for s, n in {(r.row.doc_id, r.doc_tokens) for r in cut})
+
+
+def test_a_small_target_is_honoured(spark):
+    """A rare source that is to weigh as much as all others comes first, however small its share."""
+    rows = [(s * 10 + k, "one two three four five six seven " * 3, f"s{s}") for s in range(2000) for k in range(3)] + [(-1, "rare words " * 200, "rare")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    cut = packing.pieces(docs, targets={"rare": 2000, "gone": 5}).collect()
+    first = Counter()
+    for r in cut:
+        first[r.row.source == "rare"] += r.length
+    early = Counter()
+    for r in cut:
+        if r.sequence_id == 0:
+            early[r.row.source == "rare"] += r.length
+    assert first[True] == 401 and early[True] == 401
