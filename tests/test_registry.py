@@ -1,3 +1,8 @@
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import DataFrameWriter
 
@@ -40,3 +45,17 @@ def test_price_filter_reaches_the_scan(spark):
     plan = spark_entry.queries()["price_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     pushed = plan[plan.index("PushedFilters") :]
     assert "GreaterThanOrEqual(p_retailprice,905.0), LessThanOrEqual(p_retailprice" in pushed
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_without_the_optional_part(tmp_path, pipeline):
+    """A copy without the training-data folders has all other queries, whether or not corpus_pipeline.py is there."""
+    root = Path(spark_entry.__file__).parent
+    shutil.copytree(root / "shelfmark", tmp_path / "shelfmark", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ["__spark_entry__.py"] + ["corpus_pipeline.py"] * pipeline:
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path)
+    code = "import __spark_entry__ as e; print(*e.queries()); assert set(e.oracle_sql()) <= set(e.queries())"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert set(out.stdout.split()) == {q for q in spark_entry.queries() if not q.startswith("op") and q != "pipeline"}
