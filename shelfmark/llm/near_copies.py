@@ -19,8 +19,9 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 20, 5
 SEED = 42
-#: Rows of a cell that are compared with each other in one task.
+#: Rows of a cell that are compared with each other in one task, and bytes of their shingles, but for a single longer text.
 CHUNK = 1024
+CHUNK_BYTES = 16 << 20
 CELL = ["band", "key", "part_a", "part_b"]
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -53,8 +54,9 @@ def _sketches(batches: Batches) -> Batches:
         grams = [shingles(t) for t in texts(batch)]
         same = np.array([xxhash.xxh64_intdigest(g.tobytes(), SEED) for g in grams], np.uint64)
         keys = pa.array([bands(g).view(np.int64) for g in grams], pa.list_(pa.int64()))
-        arrays = [batch.column("doc_id"), pa.array(same.view(np.int64)), keys]
-        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "same", "keys"])
+        sizes = pa.array([g.nbytes for g in grams], pa.int64())
+        arrays = [batch.column("doc_id"), pa.array(same.view(np.int64)), sizes, keys]
+        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "same", "size", "keys"])
 
 
 def _grams(batches: Batches) -> Batches:
@@ -95,20 +97,22 @@ def _forest(rows: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
 
-def links(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def links(docs: DataFrame, chunk: int = CHUNK, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Edges (a, b) between doc_ids that connect what near copies connect. Texts with equal shingles are one point;
-    cells above `chunk` rows are cut by hash, and every two parts meet in a task of their own."""
+    cells above `chunk` rows or `chunk_bytes` of shingles are cut by hash, and every two parts meet in a task of their own."""
     rows = docs.filter(F.col("doc_id").isNotNull())
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = settle(on_executors(rows, _sketches, "doc_id long, same long, keys array<long>"))
-    classes = settle(sketches.groupBy("same").agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys")))
+    sketches = settle(on_executors(rows, _sketches, "doc_id long, same long, size long, keys array<long>"))
+    firsts = [F.first(c).alias(c) for c in ("size", "keys")]
+    classes = settle(sketches.groupBy("same").agg(F.min("doc_id").alias("first"), *firsts))
     copies = sketches.join(classes.select("same", "first"), "same").select("first", "doc_id").filter("doc_id > first")
-    members = classes.select("same", "first", F.posexplode("keys").alias("band", "key"))
-    # Of groups of the same members one is enough.
-    groups = members.groupBy("band", "key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("same") % (1 << 40)).alias("who"))
-    groups = groups.filter("n > 1").groupBy("n", "who").agg(F.min_by(F.struct("band", "key"), "band").alias("at"))
-    parts = F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("parts")
-    members = settle(members.join(groups.select("at.*", parts), ["band", "key"]))
+    members = classes.select("same", "first", "size", F.posexplode("keys").alias("band", "key"))
+    # Of groups of the same members one is enough; two independent sums of 64-bit hashes tell groups apart.
+    who = [F.sum(F.xxhash64(F.lit(i), F.lit("member"), "same").cast("decimal(38,0)")).alias(f"who_{i}") for i in (1, 2)]
+    groups = members.groupBy("band", "key").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *who)
+    groups = groups.filter("n > 1").groupBy("n", "bytes", "who_1", "who_2").agg(F.min_by(F.struct("band", "key"), "band").alias("at"))
+    parts = F.ceil(F.greatest(F.col("n") / F.lit(chunk), F.col("bytes") / F.lit(chunk_bytes))).cast("int").alias("parts")
+    members = settle(members.drop("size").join(groups.select("at.*", parts), ["band", "key"]))
     wanted = settle(members.select("same", "first").distinct())
     few = rows.join(wanted.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
     grams = settle(on_executors(few, _grams, "same long, grams binary").dropDuplicates(["same"]))
@@ -130,7 +134,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows repeated under one doc_id count as copies. Rows without a doc_id cannot be chosen by it and stay. Texts
     without words are copies of each other.
     """
-    gone = components(links(docs)).filter(F.col("node") != F.col("root")).select(F.col("node").alias("_gone"))
+    gone = "_" + "_".join(docs.columns)  # longer than any column's name
+    lesser = components(links(docs)).filter(F.col("node") != F.col("root")).select(F.col("node").alias(gone))
     named = docs.filter(F.col("doc_id").isNotNull())
-    named = named.join(settle(gone), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti").dropDuplicates(["doc_id"])
+    named = named.join(settle(lesser), F.col("doc_id").cast("long") == F.col(f"`{gone}`"), "left_anti").dropDuplicates(["doc_id"])
     return named.unionByName(docs.filter(F.col("doc_id").isNull()))

@@ -1,7 +1,10 @@
 """Near copies against brute force over five-word shingles."""
 
 import random
+from collections import Counter, defaultdict
+from math import ceil
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,8 +63,28 @@ def test_documents(spark, more_documents):
     assert {r.doc_id for r in near_copies.one_of_each(docs).collect()} == slow_kept(texts)
 
 
-@pytest.mark.parametrize("chunk", [4, 1024])
-def test_crowds(spark, chunk):
+def test_recall_of_a_larger_table(spark):
+    """All pairs at 0.8 or more of sf0.1, found by plain prefix filtering, lie in one component."""
+    folder = "/root/testdata/sf0.1"
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet'").fetchall())
+    sets = {}
+    for i in sorted(texts):
+        sets.setdefault(frozenset(hash(s) for s in slow_shingles(texts[i])), i)
+    seen = Counter(s for one in sets for s in one)
+    first = defaultdict(list)
+    for one in sets:
+        ordered = sorted(one, key=lambda s: (seen[s], s))
+        for s in ordered[: len(one) - ceil(0.8 * len(one)) + 1]:
+            first[s].append(one)
+    pairs = {frozenset((a, b)) for group in first.values() for k, a in enumerate(group) for b in group[:k]}
+    pairs = [[sets[x] for x in pair] for pair in pairs if jaccard(*pair) >= 0.8]
+    roots = {r.node: r.root for r in near_copies.components(near_copies.links(spark.read.parquet(f"{folder}/documents.parquet"))).collect()}
+    found = sum(roots.get(a, a) == roots.get(b, b) for a, b in pairs)
+    assert len(pairs) > 40 and found == len(pairs)
+
+
+@pytest.mark.parametrize("chunk, chunk_bytes", [(4, 1 << 24), (1024, 1 << 24), (1024, 5000)])
+def test_crowds(spark, chunk, chunk_bytes):
     """Chains of copies of copies: every two parts of a crowded cell meet."""
     generator = random.Random(chunk)
     texts, words = {}, [f"w{i}" for i in range(150)]
@@ -69,7 +92,7 @@ def test_crowds(spark, chunk):
         texts[i] = " ".join(words)
         words = planted(words, generator.choice([1, 2, 4]), generator)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    roots = {r.node: r.root for r in near_copies.components(near_copies.links(docs, chunk)).collect()}
+    roots = {r.node: r.root for r in near_copies.components(near_copies.links(docs, chunk, chunk_bytes)).collect()}
     assert {roots.get(i, i) for i in texts} == slow_kept(texts)
 
 
@@ -79,3 +102,5 @@ def test_odd_rows(spark):
     kept = near_copies.one_of_each(docs)
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 2, 6] and kept.columns == docs.columns
     assert near_copies.one_of_each(docs.filter(F.lit(False))).count() == 0
+    clashing = docs.withColumns({c: F.lit(None).cast("long") for c in ("_gone", "node", "_Root", "a", "same")})
+    assert sorted((r.doc_id or 0) for r in near_copies.one_of_each(clashing).collect()) == [0, 0, 2, 6]
