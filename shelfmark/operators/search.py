@@ -1,4 +1,4 @@
-"""Answering a table of search requests against the catalog.
+"""Answering a table of search requests against the catalog, by its stored index (`sources/segments.py`).
 
 Requests that ask for the same thing (same tokens, price bounds and sort) form one spec; hits are computed once
 per spec and handed back to its requests page by page, so popular requests cost no more than rare ones.
@@ -14,6 +14,8 @@ from shelfmark.functions import text as tx
 from shelfmark.operators import analysis, skew, spelling
 from shelfmark.operators.fuzzy import edit_budget, fuzzy_join, similarity
 from shelfmark.session import settle
+from shelfmark.sources import segments
+from shelfmark.sources.segments import SORT_NUMBERS, SORT_TEXTS, SORTABLE, Segments, complete, sorts
 
 # Field weights, and how many hits count as few.
 BOOSTS = {analysis.NAME: 3.0, analysis.DESCRIPTION: 1.0}
@@ -21,34 +23,6 @@ DEEP = 1000
 FEW_HITS = 3
 # What a request without them means.
 PAGE, SIZE, SORT = 0, 12, "price,asc"
-SORT_TEXTS = ["name", "id", "uniqueKey"]
-SORT_NUMBERS = ["price", "updatedAt", "priceChangedAt"]
-SORTABLE = SORT_TEXTS + SORT_NUMBERS
-DERIVED = {
-    "nameSpell": "string",
-    "nameSpellClean": "string",
-    "uniqueKey": "string",
-    "updatedAt": "timestamp_ntz",
-    "priceChangedAt": "timestamp_ntz",
-}
-
-
-def _complete(documents: DataFrame) -> DataFrame:
-    """Search documents with all their columns; those a plain product table lacks are null."""
-    missing = {c: F.lit(None).cast(kind) for c, kind in DERIVED.items() if c not in documents.columns}
-    return documents.withColumns(missing).select("id", "name", "description", "price", *DERIVED)
-
-
-def _sorts() -> Column:
-    """The columns that hits can be sorted by, as one."""
-    return F.struct(*[F.col(c) for c in SORTABLE if c != "id"]).alias("sorts")
-
-
-def index(documents: DataFrame) -> DataFrame:
-    """Term frequencies of name and description, carrying the columns that filter and sort hits."""
-    carried = _complete(documents).withColumn("sorts", _sorts())
-    keep = ["price", "sorts"]
-    return analysis.term_frequencies(analysis.standard_fields(carried, keep), keep)
 
 
 def prepare(requests: DataFrame, text: str = "query") -> DataFrame:
@@ -119,14 +93,14 @@ def _in_bounds() -> Column:
     return low & high
 
 
-def text_matches(expanded: DataFrame, index: DataFrame) -> DataFrame:
-    """(spec_id, id, field, term, tf, dl, similarity, price, sorts) within the price bounds."""
-    return skew.join(index, expanded, ["term"]).filter(_in_bounds())
+def text_matches(expanded: DataFrame, index: Segments) -> DataFrame:
+    """(spec_id, id, field, term, similarity, price, sorts) within the price bounds."""
+    return index.matches(expanded, ["field", "price", "sorts"]).filter(_in_bounds())
 
 
-def text_hits(expanded: DataFrame, index: DataFrame) -> DataFrame:
-    slim = index.select("term", "id", "price", "sorts")
-    return text_matches(expanded, slim).groupBy("spec_id", "id").agg(F.first("sorts").alias("sorts"))
+def text_hits(expanded: DataFrame, index: Segments) -> DataFrame:
+    matched = index.matches(expanded, ["price", "sorts"]).filter(_in_bounds())
+    return matched.groupBy("spec_id", "id").agg(F.first("sorts").alias("sorts"))
 
 
 def _price_band(price: Column) -> Column:
@@ -149,24 +123,24 @@ def listing_hits(specs: DataFrame, products: DataFrame) -> DataFrame:
         .select("spec_id", "min_price", "max_price", F.explode(F.sequence("_low", "_high")).alias("band"))
     )
     band = F.when(F.col("price").isNull(), LOWEST_BAND).otherwise(_price_band(F.col("price")))
-    banded = _complete(products).select("id", "price", _sorts(), band.alias("band"))
+    banded = complete(products).select("id", "price", sorts(), band.alias("band"))
     return skew.join(banded, asked, ["band"]).filter(_in_bounds()).select("spec_id", "id", "sorts")
 
 
-def hits(specs: DataFrame, products: DataFrame, index: DataFrame, expanded: DataFrame) -> DataFrame:
+def hits(specs: DataFrame, products: DataFrame, index: Segments, expanded: DataFrame) -> DataFrame:
     """(spec_id, id, sorts): every product each spec matches, once."""
     return text_hits(expanded, index).unionByName(listing_hits(specs, products))
 
 
-def scores(expanded: DataFrame, index: DataFrame, fields: DataFrame, stats: DataFrame) -> DataFrame:
+def scores(expanded: DataFrame, index: Segments) -> DataFrame:
     """(spec_id, id, score): BM25 per field with its boost, the best field counts."""
     weights = (
-        stats.join(F.broadcast(fields), "field")
+        index.terms().join(F.broadcast(index.fields()), "field")
         .withColumn("_idf", analysis.idf(F.col("n_docs"), F.col("df")))
         .select("field", "term", "_idf", "avg_len")
     )
     asked = expanded.join(weights, "term")
-    matched = skew.join(index, asked, ["field", "term"]).filter(_in_bounds())
+    matched = index.matches(asked, ["price", "tf", "dl"], on=("field", "term")).filter(_in_bounds())
     boost = F.create_map(*[F.lit(v) for pair in BOOSTS.items() for v in pair])[F.col("field")]
     part = boost * F.col("similarity") * F.col("_idf") * analysis.term_weight(
         F.col("tf"), F.col("dl"), F.col("avg_len")
@@ -253,22 +227,22 @@ def pages(members: DataFrame, top: DataFrame) -> DataFrame:
 
 
 class Search:
-    """One run of a table of requests against search documents: correct, match, count, page and highlight.
+    """One run of a table of requests against search documents and their index: correct, match, count, page and highlight.
 
-    What matches are counted and cut to the rows that pages can show as they are found; no step stores all hits.
+    Without an index the documents are indexed first. What matches are counted and cut to the rows that pages can show as
+    they are found; no step stores all hits, and none takes the documents' texts apart but of those shown.
     """
 
-    def __init__(self, requests: DataFrame, documents: DataFrame, corrected: bool = True) -> None:
-        self.documents = _complete(documents)
+    def __init__(self, requests: DataFrame, documents: DataFrame, corrected: bool = True, index: Segments | None = None) -> None:
+        self.documents = complete(documents)
+        self.index = index or segments.build(documents)
         if corrected:
-            words = settle(spelling.vocabulary(documents))
-            requests = settle(spelling.correct(requests, words))
+            requests = settle(spelling.correct(requests, self.index.words()))
         self.requests = requests
         self.prepared = prepare(requests, "corrected" if corrected else "query")
         self.specs = settle(specs(self.prepared))
-        self.entries = settle(index(documents))
-        self.expanded = settle(expand(self.specs, self.entries, fuzzy=True))
-        self.top = settle(top_parts(self.specs, hits(self.specs, self.documents, self.entries, self.expanded)))
+        self.expanded = settle(expand(self.specs, self.index.terms(), fuzzy=True))
+        self.top = settle(top_parts(self.specs, hits(self.specs, self.documents, self.index, self.expanded)))
         self.members = settle(totals(self.prepared, self.specs, self.top))
 
     def pages(self) -> DataFrame:
@@ -277,11 +251,12 @@ class Search:
     def rows(self) -> DataFrame:
         """The whole document of every hit shown, its matched words marked, and what the request asked."""
         shown = settle(self.pages())
-        pairs = settle(shown.select("spec_id", "id").distinct())
-        own = skew.join(self.entries.select("id", "term"), pairs, ["id"])
+        texts = settle(skew.join(shown.select("spec_id", "id").distinct(), self.documents, ["id"]))
+        said = F.array_distinct(F.concat(*[F.coalesce(tx.standard_tokens(F.col(c)), F.array()) for c in ("name", "description")]))
+        own = texts.select("spec_id", "id", F.explode(said).alias("term"))
         matched = skew.join(own, self.expanded.select("spec_id", "term"), ["spec_id", "term"])
-        terms = settle(matched.groupBy("spec_id", "id").agg(F.collect_set("term").alias("terms")))
-        texts = skew.join(pairs, self.documents, ["id"]).join(terms, ["spec_id", "id"], "left")
+        terms = matched.groupBy("spec_id", "id").agg(F.collect_set("term").alias("terms"))
+        texts = texts.join(terms, ["spec_id", "id"], "left")
         marked = {c: tx.highlight(F.col(c), F.col("terms")) for c in ("name", "description")}
         changed = F.lower("corrected") != F.lower("query")
         notes = self.requests.select("query_id", F.when(changed, F.col("corrected")).alias("corrected_query"))
@@ -296,9 +271,9 @@ class Search:
         return final_suggestions(self.members, self.documents)
 
 
-def search(requests: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def search(requests: DataFrame, documents: DataFrame, index: Segments | None = None) -> tuple[DataFrame, DataFrame]:
     """The hits of every request's page, and one summary row per request."""
-    run = Search(requests, documents)
+    run = Search(requests, documents, index=index)
     return run.rows(), run.summary()
 
 

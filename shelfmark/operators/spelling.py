@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text as tx
@@ -17,10 +17,14 @@ MIN_SIMILARITY = 0.5
 MAX_SUGGESTIONS = 3
 
 
+def words_of() -> Column:
+    """The distinct words of a product's cleaned name."""
+    return F.array_distinct(tx.standard_tokens(tx.clean_name(F.col("name"))))
+
+
 def vocabulary(products: DataFrame) -> DataFrame:
     """(term, df) over the words of cleaned names."""
-    words = F.array_distinct(tx.standard_tokens(tx.clean_name(F.col("name"))))
-    return products.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    return products.select(F.explode(words_of()).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
 
 
 def suggest(queries: DataFrame, words: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shelfmark import schemas as S
-from shelfmark.plans.requests import PREFIXES_SQL, SEARCHES_SQL
+from shelfmark.plans.requests import FEED_SEARCHES_SQL, PREFIXES_SQL, SEARCHES_SQL
 
 # Spelt out here, not taken from the code under test; accents are stripped by DuckDB's own table.
 TOKEN = r"[\p{L}\p{M}\p{N}_]+(?:[.''’][\p{L}\p{M}\p{N}_]+)*"
@@ -267,6 +267,24 @@ paged AS (
   SELECT query_id, rank, id, total_hits, CAST(ceil(total_hits / size) AS BIGINT) AS total_pages
   FROM ranked WHERE rank > page * size AND rank <= (page + 1) * size)"""
 
+SHOWN = f""", terms AS (SELECT query_id, list(DISTINCT term) AS terms FROM meaning GROUP BY query_id)
+    SELECT g.query_id, g.rank, g.id, {marked('p.name', 'coalesce(t.terms, CAST([] AS VARCHAR[]))')} AS name,
+      {marked('p.description', 'coalesce(t.terms, CAST([] AS VARCHAR[]))')} AS description, CAST(p.price AS DOUBLE) AS price,
+      p.name AS "nameSpell", {clean('p.name')} AS "nameSpellClean", {key('p.name', 'p.description')} AS "uniqueKey",
+      TIMESTAMP '2024-01-31' AS "updatedAt", TIMESTAMP '2024-01-31' AS "priceChangedAt",
+      g.total_hits, g.total_pages, CASE WHEN lower(f.corrected) <> lower(f.query) THEN f.corrected END AS corrected_query
+    FROM paged g JOIN products p ON g.id = p.id JOIN fixed f ON g.query_id = f.query_id LEFT JOIN terms t ON g.query_id = t.query_id"""
+
+# The same over the folded feed, which has times of its own.
+FEED_PRODUCTS = 'products AS (SELECT id, name, description, price, "updatedAt", "priceChangedAt" FROM folded)'
+FEED_NUMBER = """CASE sort_field WHEN 'price' THEN CAST(p.price AS DOUBLE) WHEN 'updatedAt' THEN epoch(p."updatedAt")
+      WHEN 'priceChangedAt' THEN epoch(p."priceChangedAt") END"""
+FEED_HITS = HITS.replace(
+    "CASE WHEN sort_field = 'price' THEN CAST(CASE WHEN is_desc THEN -p.price ELSE p.price END AS DOUBLE) END",
+    f"CASE WHEN is_desc THEN -({FEED_NUMBER}) ELSE {FEED_NUMBER} END",
+)
+FEED_SHOWN = SHOWN.replace('TIMESTAMP \'2024-01-31\' AS "updatedAt", TIMESTAMP \'2024-01-31\' AS "priceChangedAt"', 'p."updatedAt", p."priceChangedAt"')
+
 VOCABULARY = f"""first_rows AS (SELECT name FROM products ORDER BY id LIMIT 100),
 catalog_terms AS (
   SELECT term, row_number() OVER (ORDER BY term) AS position
@@ -559,14 +577,7 @@ ORACLE |= {
       CASE WHEN f.error IS NULL
         THEN {joined('CASE WHEN len(f.suggestions) = 0 AND t.total_hits <= 3 THEN o.terms ELSE f.suggestions END')} END AS suggestions
     FROM fixed f JOIN totals t ON f.query_id = t.query_id, offered o""",
-    "catalog_search": with_(PRODUCTS, REQUESTS, SPELL, FIELDS, matches("fixed", "corrected", FUZZY), HITS)
-    + f""", terms AS (SELECT query_id, list(DISTINCT term) AS terms FROM meaning GROUP BY query_id)
-    SELECT g.query_id, g.rank, g.id, {marked('p.name', 'coalesce(t.terms, CAST([] AS VARCHAR[]))')} AS name,
-      {marked('p.description', 'coalesce(t.terms, CAST([] AS VARCHAR[]))')} AS description, CAST(p.price AS DOUBLE) AS price,
-      p.name AS "nameSpell", {clean('p.name')} AS "nameSpellClean", {key('p.name', 'p.description')} AS "uniqueKey",
-      TIMESTAMP '2024-01-31' AS "updatedAt", TIMESTAMP '2024-01-31' AS "priceChangedAt",
-      g.total_hits, g.total_pages, CASE WHEN lower(f.corrected) <> lower(f.query) THEN f.corrected END AS corrected_query
-    FROM paged g JOIN products p ON g.id = p.id JOIN fixed f ON g.query_id = f.query_id LEFT JOIN terms t ON g.query_id = t.query_id""",
+    "catalog_search": with_(PRODUCTS, REQUESTS, SPELL, FIELDS, matches("fixed", "corrected", FUZZY), HITS) + SHOWN,
     "suggest_prefix": with_(PRODUCTS, PREFIXES, BY_PREFIX) + "SELECT prefix_id, rank, id, name, score FROM stage1",
     "suggest_contains": with_(PRODUCTS, PREFIXES, BY_CONTAINS) + "SELECT prefix_id, rank, id, name, score FROM stage2",
     "suggest_fuzzy": with_(PRODUCTS, PREFIXES, BY_FUZZY) + "SELECT prefix_id, rank, id, name, score FROM stage3",
@@ -601,6 +612,10 @@ ORACLE |= {
       QUALIFY position <= 10)""",
     "stream_apply": with_(CHANGES, FOLDED)
     + 'SELECT id, name, description, CAST(price AS DOUBLE) AS price, "updatedAt", "priceChangedAt" FROM folded',
+    "stream_search": with_(
+        CHANGES, FOLDED, FEED_PRODUCTS, REQUESTS.replace(SEARCHES_SQL, FEED_SEARCHES_SQL), SPELL, FIELDS, matches("fixed", "corrected", FUZZY), FEED_HITS
+    )
+    + FEED_SHOWN,
     "reindex_catalog": with_(CHANGES, HISTORY)
     + f"""SELECT version + 1 AS version, created_at, table_name, seq_id, id, name, description, price, name AS "nameSpell",
       {clean('name')} AS "nameSpellClean", {key('name', 'description')} AS "uniqueKey" FROM history WHERE version = 12""",

@@ -27,7 +27,7 @@ from shelfmark.operators import (
 )
 from shelfmark.plans import requests
 from shelfmark.session import fresh_path, settle
-from shelfmark.sources import events, versions, views
+from shelfmark.sources import events, segments, versions, views
 from shelfmark.streaming import apply as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -384,13 +384,26 @@ def _(spark, sf):
 # --- search -----------------------------------------------------------------------------------------------
 
 
-def _search_parts(spark, sf, fuzzy_terms):
+_indexes: dict = {}
+
+
+def _indexed(spark, sf):
+    """The products as search documents and their stored index, which is written once in an application as long as no file changes."""
     items = _documents(spark, sf)
+    location, fs = versions.hadoop_path(spark, f"{sf}/part.parquet")
+    status = fs.getFileStatus(location)
+    key = (spark.sparkContext.applicationId, sf, status.getModificationTime(), status.getLen(), *sorted(items.inputFiles()))
+    if key not in _indexes:
+        _indexes[key] = segments.build(items)
+    return items, _indexes[key]
+
+
+def _search_parts(spark, sf, fuzzy_terms):
+    items, index = _indexed(spark, sf)
     prepared = search.prepare(requests.searches(spark))
     specs = settle(search.specs(prepared))
-    entries = settle(search.index(items))
-    expanded = settle(search.expand(specs, entries, fuzzy_terms))
-    return items, prepared, specs, entries, expanded
+    expanded = settle(search.expand(specs, index.terms(), fuzzy_terms))
+    return items, prepared, specs, index, expanded
 
 
 def _per_request(prepared, specs, rows):
@@ -411,8 +424,8 @@ def _(spark, sf):
 
 
 def _text_hits(spark, sf, fuzzy_terms):
-    _, prepared, specs, entries, expanded = _search_parts(spark, sf, fuzzy_terms)
-    return _per_request(prepared, specs, search.text_hits(expanded, entries)).select("query_id", "id")
+    _, prepared, specs, index, expanded = _search_parts(spark, sf, fuzzy_terms)
+    return _per_request(prepared, specs, search.text_hits(expanded, index)).select("query_id", "id")
 
 
 @query("search_exact")
@@ -427,23 +440,23 @@ def _(spark, sf):
 
 @query("search_scored")
 def _(spark, sf):
-    items, prepared, specs, entries, expanded = _search_parts(spark, sf, True)
-    tokens = analysis.standard_fields(items)
-    scored = search.scores(expanded, entries, analysis.field_stats(tokens), analysis.term_stats(entries))
+    _, prepared, specs, index, expanded = _search_parts(spark, sf, True)
+    scored = search.scores(expanded, index)
     return _per_request(prepared, specs, scored).select("query_id", "id", F.round("score", 4).alias("score"))
 
 
 @query("search_sorted_page")
 def _(spark, sf):
-    asked = search.Search(requests.searches(spark), _documents(spark, sf), corrected=False)
+    items, index = _indexed(spark, sf)
+    asked = search.Search(requests.searches(spark), items, corrected=False, index=index)
     return asked.pages().select("query_id", "rank", "id", "total_hits", "total_pages")
 
 
 @query("search_highlight")
 def _(spark, sf):
     """Every text hit with its matched words marked."""
-    items, prepared, specs, entries, expanded = _search_parts(spark, sf, True)
-    found = search.text_matches(expanded, entries).groupBy("spec_id", "id").agg(F.collect_set("term").alias("terms"))
+    items, prepared, specs, index, expanded = _search_parts(spark, sf, True)
+    found = search.text_matches(expanded, index).groupBy("spec_id", "id").agg(F.collect_set("term").alias("terms"))
     rows = search.skew.join(found, items, ["id"]).select(
         "spec_id",
         "id",
@@ -473,12 +486,14 @@ def _(spark, sf):
 
 @query("final_suggestions")
 def _(spark, sf):
-    return search.Search(requests.searches(spark), _documents(spark, sf)).summary()
+    items, index = _indexed(spark, sf)
+    return search.Search(requests.searches(spark), items, index=index).summary()
 
 
 @query("catalog_search")
 def catalog_search(spark, sf):
-    return search.Search(requests.searches(spark), _documents(spark, sf)).rows()
+    items, index = _indexed(spark, sf)
+    return search.Search(requests.searches(spark), items, index=index).rows()
 
 
 # --- autocomplete -----------------------------------------------------------------------------------------
@@ -557,6 +572,19 @@ def _(spark, sf):
 
 
 STREAMED_PARTS = 5
+INDEXED_PARTS = 2
+
+
+@query("stream_search")
+def _(spark, sf):
+    """The feed comes in as two micro-batches, each of which keeps the search index in step; then requests are answered from it."""
+    feed = events.encode(views.changes(spark, sf)).withColumn("retry_count", F.lit(0))
+    total = views.table(spark, sf, "events").count()
+    runner = stream.StreamApply(spark, fresh_path(spark, "stream"), indexed=True)
+    for i in range(INDEXED_PARTS):
+        runner.apply(feed.filter(F.floor(F.col("seq_id") * INDEXED_PARTS / total) == i), i)
+    documents, index = runner.searchable()
+    return search.Search(requests.feed_searches(spark), documents, index=index).rows()
 
 
 @query("stream_queue")

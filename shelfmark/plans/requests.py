@@ -37,6 +37,18 @@ SEARCHES = [
     (27, None, None, None, 0, 3, "uniqueKey"),
 ]
 
+#: Requests for what the change feed tells about.
+FEED_SEARCHES = [
+    (1, "product 12", None, None, 0, 12, "price,asc"),
+    (2, "prodct", None, None, 1, 9, "price,desc"),
+    (3, "rev 7", 20.0, None, 0, 12, "name,asc"),
+    (4, "42 17", None, None, 0, 12, "id,desc"),
+    (5, "nothing", None, None, 0, 12, "price,asc"),
+    (6, None, None, 30.0, 0, 15, "updatedAt,desc"),
+    (7, "rve", None, None, 0, 6, "priceChangedAt,asc"),
+    (8, "99", None, None, -1, 6, "price,asc"),
+]
+
 PREFIXES = [
     (1, "ri"),
     (2, "large g"),
@@ -61,6 +73,10 @@ def searches(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SEARCHES, S.SEARCH_REQUEST)
 
 
+def feed_searches(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(FEED_SEARCHES, S.SEARCH_REQUEST)
+
+
 def prefixes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PREFIXES, S.SUGGEST_REQUEST)
 
@@ -77,11 +93,16 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(_sql(v) for v in row) + ")" for row in rows)
 
 
-SEARCHES_SQL = (
-    "SELECT CAST(query_id AS BIGINT) AS query_id, CAST(query AS VARCHAR) AS query, "
-    "CAST(min_price AS DOUBLE) AS min_price, CAST(max_price AS DOUBLE) AS max_price, page, size, sort "
-    f"FROM (VALUES {_values(SEARCHES)}) AS v(query_id, query, min_price, max_price, page, size, sort)"
-)
+def _searches_sql(rows: list[tuple]) -> str:
+    return (
+        "SELECT CAST(query_id AS BIGINT) AS query_id, CAST(query AS VARCHAR) AS query, "
+        "CAST(min_price AS DOUBLE) AS min_price, CAST(max_price AS DOUBLE) AS max_price, page, size, sort "
+        f"FROM (VALUES {_values(rows)}) AS v(query_id, query, min_price, max_price, page, size, sort)"
+    )
+
+
+SEARCHES_SQL = _searches_sql(SEARCHES)
+FEED_SEARCHES_SQL = _searches_sql(FEED_SEARCHES)
 PREFIXES_SQL = (
     "SELECT CAST(prefix_id AS BIGINT) AS prefix_id, CAST(prefix AS VARCHAR) AS prefix "
     f"FROM (VALUES {_values(PREFIXES)}) AS v(prefix_id, prefix)"

@@ -3,7 +3,8 @@
 The catalog is split into buckets by product id, and a table of the keys that products hold into buckets by key. A micro-batch
 reads and rewrites only the buckets it touches, as `version=<batch>/bucket=<b>`. Messages that cannot be read become pending
 retries, rewritten by every batch, or dead letters, which are only added, one folder a day and batch, and
-removed by whole days. A batch counts once its commit file exists. That file holds everything the next batch must know: the
+removed by whole days. With `indexed`, each batch also adds a segment to the search index, from the products it has messages
+for; the commit file lists the segments, so catalog and index are always of the same batch. A batch counts once its commit file exists. That file holds everything the next batch must know: the
 version of each bucket, the layout and the time, so no folder is searched for older versions. A replayed batch is skipped,
 and the result of one does not depend on how often it was tried.
 """
@@ -20,8 +21,10 @@ from pyspark.sql import types as T
 from shelfmark import schemas as S
 from shelfmark.functions.text import normalized_key
 from shelfmark.operators import changes, queues, uniqueness
+from shelfmark.operators.products import search_columns
 from shelfmark.session import settle
 from shelfmark.sources import events
+from shelfmark.sources.segments import Segments
 from shelfmark.sources.versions import children, delete, numbered, read_text, write_text
 
 DOCUMENT = T.StructType(
@@ -61,17 +64,28 @@ class StreamApply:
     """The stored catalog and queue below `base`.
 
     Choose `buckets` so that a micro-batch leaves many of them untouched, and `files` per bucket so that one
-    file fits a task. The first batch stores the number of buckets; opening the store with another is refused.
+    file fits a task. The first batch stores the number of buckets, and whether there is an index; opening the store with
+    another number, or an index it was not begun with, is refused.
     """
 
     def __init__(
-        self, spark: SparkSession, base: str, buckets: int | None = None, files: int = 1, hot_rows: int | None = None
+        self,
+        spark: SparkSession,
+        base: str,
+        buckets: int | None = None,
+        files: int = 1,
+        hot_rows: int | None = None,
+        indexed: bool | None = None,
     ):
         self.spark, self.base, self.files, self.hot_rows = spark, base, files, hot_rows
-        stored = self._state().get("buckets")
+        state = self._state()
+        stored = state.get("buckets")
         if buckets and stored and buckets != stored:
             raise ValueError(f"{base} is stored in {stored} buckets, not in {buckets}")
+        if indexed and state and "index" not in state:
+            raise ValueError(f"{base} was begun without a search index")
         self.buckets = stored or buckets or BUCKETS
+        self.indexed = "index" in state if state else bool(indexed)
 
     # --- stored state ---
 
@@ -121,6 +135,16 @@ class StreamApply:
         """The current catalog."""
         return self._read("catalog", DOCUMENT, self._state().get("catalog", {})).drop("normalizedKey")
 
+    def _index(self, state: dict) -> Segments:
+        return Segments(self.spark, f"{self.base}/index", **state.get("index", {}))
+
+    def searchable(self) -> tuple[DataFrame, Segments]:
+        """The search documents of the current catalog and their index, both of the last commit."""
+        state = self._state()
+        if "index" not in state:
+            raise ValueError(f"{self.base} has no search index")
+        return search_columns(self._read("catalog", DOCUMENT, state["catalog"])), self._index(state)
+
     def _retries(self, state: dict) -> DataFrame:
         if "batch" not in state:
             return self.spark.createDataFrame([], QUEUED)
@@ -140,7 +164,7 @@ class StreamApply:
 
     def apply(self, messages: DataFrame, batch: int) -> None:
         if messages.sparkSession is not self.spark:  # a stream hands out batches of its own session
-            StreamApply(messages.sparkSession, self.base, self.buckets, self.files, self.hot_rows).apply(messages, batch)
+            StreamApply(messages.sparkSession, self.base, self.buckets, self.files, self.hot_rows, self.indexed).apply(messages, batch)
             return
         if batch <= self._state().get("batch", -1):
             return
@@ -167,6 +191,8 @@ class StreamApply:
         state = {"batch": batch, "as_of": now, "buckets": self.buckets, "catalog": {}, "keys": {}} | {
             name: old[name] for name in ("catalog", "keys") if name in old
         }
+        if self.indexed:
+            state["index"] = old.get("index", {"live": [], "bounds": []})
         replaced = [f"retry/version={old['batch']}"] if old else []
         feed = decoded.filter(F.col("error").isNull()).select(*S.CHANGE.names)
         touched = self._buckets_of(feed, "id")
@@ -180,6 +206,9 @@ class StreamApply:
             after = settle(after.withColumn("normalizedKey", _key()).select(*DOCUMENT.names))
             state["catalog"], gone = self._write("catalog", after, "id", batch, state["catalog"], touched)
             replaced += gone
+            if self.indexed:
+                state["index"], gone = self._indexed(feed, after, before, batch, state)
+                replaced += gone
 
             holds, held_before = (rows.select(F.col("normalizedKey").alias("key"), "id") for rows in (after, before))
             gained = settle(holds.join(held_before, ["key", "id"], "left_anti"))
@@ -192,6 +221,13 @@ class StreamApply:
         state |= {"replaced": replaced + self._expired_days(now)} | ({"replaces": old["batch"]} if old else {})
         self._commit(batch, state, old)
 
+    def _indexed(self, feed: DataFrame, after: DataFrame, before: DataFrame, batch: int, state: dict) -> tuple[dict, list[str]]:
+        """Add the products that the batch has messages for to the index: its new state, and the folders this replaces."""
+        named = settle(feed.select("id").distinct())
+        now, then = (settle(search_columns(rows.join(named, "id", "left_semi"))) for rows in (after, before))
+        index, replaced = self._index(state).add(batch, now, then, now.count())
+        return {"live": index.live, "bounds": index.bounds}, [f"index/{path}" for path in replaced]
+
     def _expired_days(self, now: str | None) -> list[str]:
         """Folders of dead letters whose whole day is past the time to live."""
         if now is None:
