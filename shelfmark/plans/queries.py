@@ -387,15 +387,20 @@ def _(spark, sf):
 _indexes: dict = {}
 
 
-def _indexed(spark, sf):
-    """The products as search documents and their stored index, which is written once in an application as long as no file changes."""
+def _stored_once(spark, sf, build):
+    """An index of the products, written once in an application as long as no file changes."""
     items = _documents(spark, sf)
     location, fs = versions.hadoop_path(spark, f"{sf}/part.parquet")
     status = fs.getFileStatus(location)
-    key = (spark.sparkContext.applicationId, sf, status.getModificationTime(), status.getLen(), *sorted(items.inputFiles()))
+    key = (build, spark.sparkContext.applicationId, sf, status.getModificationTime(), status.getLen(), *sorted(items.inputFiles()))
     if key not in _indexes:
-        _indexes[key] = segments.build(items)
-    return items, _indexes[key]
+        _indexes[key] = build(items)
+    return _indexes[key]
+
+
+def _indexed(spark, sf):
+    """The products as search documents and their stored index."""
+    return _documents(spark, sf), _stored_once(spark, sf, segments.build)
 
 
 def _search_parts(spark, sf, fuzzy_terms):
@@ -502,7 +507,7 @@ def catalog_search(spark, sf):
 def _stage(answer):
     def run(spark, sf):
         asked = suggest.clean(requests.prefixes(spark))
-        return answer(asked, views.products(spark, sf)).select("prefix_id", "rank", "id", "name", "score")
+        return answer(asked, _stored_once(spark, sf, suggest.Names.build)).select("prefix_id", "rank", "id", "name", "score")
 
     return run
 
@@ -514,7 +519,8 @@ query("suggest_fuzzy")(_stage(suggest.by_fuzzy))
 
 @query("suggest_cascade")
 def _(spark, sf):
-    return suggest.cascade(requests.prefixes(spark), views.products(spark, sf))
+    names = _stored_once(spark, sf, suggest.Names.build)
+    return suggest.cascade(requests.prefixes(spark), views.products(spark, sf), names)
 
 
 # --- queues and streaming ---------------------------------------------------------------------------------
