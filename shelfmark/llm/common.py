@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from shelfmark.operators.components import components
-from shelfmark.session import settle
+from shelfmark.operators.skew import running
 
 __all__ = ["Batches", "components", "on_executors", "running", "table", "texts"]
 
@@ -41,16 +40,3 @@ def on_executors(df: DataFrame, function: Callable[[Batches], Batches], schema:
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     """A text column as UTF-8 bytes."""
     return batch.column(name).cast(pa.large_binary()).to_pylist()
-
-
-def running(df: DataFrame, group: str, order: Column, columns: Sequence[str]) -> DataFrame:
-    """Sums of columns up to and including each row of its group. A large group is cut by ranges of `order`, which is unique in it."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = settle(df.repartitionByRange(parts, F.col(group), order).withColumn("_part", F.spark_partition_id()))
-    local = Window.partitionBy(group, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    within = placed.withColumns({c: F.sum(c).over(local) for c in columns})
-    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy(group, "_part").agg(*[F.sum(c).alias(c) for c in columns])
-    earlier = totals.select(group, "_part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in columns])
-    joined = within.join(settle(earlier), [group, "_part"])
-    return joined.withColumns({c: F.col(c) + F.col(f"_{c}") for c in columns}).select(*df.columns)
