@@ -42,8 +42,7 @@ LOST_HELD = 0.002
 #: A token stands out in labelled bad documents: in so many of them, so many standard deviations above clean ones.
 OFTEN = 3
 DEVIATIONS = 6.0
-#: Tokens of a bad model, at most, and tokens that are summed in a window.
-MARKS = 1 << 15
+#: Tokens that are summed in a window.
 WINDOW = 64
 KINDS = ("toxic", "junk")
 STEP = 1 << 19
@@ -235,7 +234,8 @@ def _marks(rows: DataFrame, used: DataFrame) -> list[Marks]:
         stands_out = (F.col(kind) - F.lit(bad) * share) / F.sqrt(F.lit(bad) * share)
         found = counted.filter(F.col(kind) >= OFTEN).withColumn("out", stands_out).filter(F.col("out") >= DEVIATIONS)
         ratio = F.log((F.col(kind) + 0.5) / F.lit(bad + 1.0) / share).alias("ratio")
-        some = found.orderBy(F.desc("out"), "token").limit(MARKS).select("token", ratio).collect() if bad and clean else []
+        # At most the tokens that OFTEN of the labelled documents share, whose number is bounded.
+        some = found.select("token", ratio).collect() if bad and clean else []
         tokens = np.array([r.token for r in some], np.int64).view(np.uint64)
         order = np.argsort(tokens)
         out.append(Marks(tokens[order], np.array([r.ratio for r in some])[order]))
@@ -302,10 +302,16 @@ def _chosen(labels: DataFrame, labelled: int) -> dict[str, np.ndarray]:
     known = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     toxic, quality = F.max(F.coalesce("toxic", F.lit(0))), F.min("quality")
     kind = F.when(toxic != 0, F.lit("toxic")).when(quality == 0, F.lit("junk")).when(quality == 1, F.lit("clean"))
-    known = settle(known.agg(kind.alias("kind")))
+    known = settle(known.agg(kind.alias("kind")).withColumn("place", F.xxhash64("doc_id")))
+    counts = dict(known.groupBy("kind").agg(F.count("*")).collect())
     out = {}
     for name in ("clean", *KINDS):
-        some = known.filter(F.col("kind") == name).orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
+        some = known.filter(F.col("kind") == name)
+        if counts.get(name, 0) > 2 * labelled:
+            # Below this place lie about twice as many as wanted, so only these meet in one task.
+            few = some.filter(F.col("place") < ((1 << 64) * 2 * labelled // counts[name]) - (1 << 63))
+            some = few if few.count() >= labelled else some
+        some = some.orderBy("place", "doc_id").limit(labelled)
         out[name] = np.sort(np.array([r.doc_id for r in some.select("doc_id").collect()], np.int64))
     return out
 
@@ -354,14 +360,16 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> tuple[M
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per input row: doc_id, n_ngrams, log_weight, mean_weight, key, kept.
+    """One row per input row: doc_id, n_ngrams, log_weight, mean_weight, key, kept, and cuts: the bad kinds that had enough labels for
+    a cut, joined by commas.
 
     A text without n-grams, or null, has weight 0. Rows of one doc_id share their noise, and rows tied at the cut are all
     drawn. Without labelled clean rows all weights are 0 and everything is kept. No rows: none.
     """
     model, scores = fit(docs, labels)
     kept = (F.col("key") >= F.lit(model.cut)) & _not_bad(model.most)
-    return scores.withColumn("key", _drawn_at(model.threshold)).withColumn("kept", kept).drop(*BAD)
+    cuts = ",".join(k for k in KINDS if any(m < float("inf") for n, m in zip(BAD, model.most) if n.startswith(f"_{k}_")))
+    return scores.withColumn("key", _drawn_at(model.threshold)).withColumns({"kept": kept, "cuts": F.lit(cuts)}).drop(*BAD)
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:

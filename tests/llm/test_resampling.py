@@ -114,3 +114,19 @@ def test_odd_rows(spark):
     assert resampling.keep(docs, labels.filter(F.lit(False))).count() == 6
     assert set(resampling.keep(docs, labels).columns) == {"doc_id", "text", "kept"}
     assert resampling.judge(docs.filter(F.lit(False)), labels).count() == 0
+
+
+def test_labels_beyond_the_bound(spark):
+    """Of many labels those of least hash are used, whether or not a bound on the hash comes first; cuts are named."""
+    labels = spark.range(5000).selectExpr("id as doc_id", "cast(id % 3 > 0 as int) quality", "cast(id % 7 = 0 as int) toxic")
+    order = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    kinds = {"toxic": lambda i: i % 7 == 0, "junk": lambda i: i % 7 and i % 3 == 0, "clean": lambda i: i % 7 and i % 3}
+    for bound in (40, 600, 10_000):
+        found = resampling._chosen(labels, bound)
+        assert {k: found[k].tolist() for k in kinds} == {k: sorted([i for i in order if f(i)][:bound]) for k, f in kinds.items()}
+
+
+def test_cuts_are_named(spark):
+    docs = spark.createDataFrame([(i, "some plain words here") for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    assert {r.cuts for r in resampling.judge(docs, labels).collect()} == {""}
