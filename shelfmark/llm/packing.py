@@ -36,8 +36,9 @@ SLOT = 64
 END = 2
 #: The driver and the tasks know at most 1/SHARE queues, one for each named target and the common one.
 SHARE = 1 / 1024
-#: Stems whose ids a worker remembers, the longest of them, and ends of words.
-MEMORY = 1 << 19
+#: Rows that are encoded at a time; stems whose ids a worker remembers, the longest of them, and ends of words.
+ROWS = 512
+MEMORY = 1 << 18
 LONGEST = 64
 TAILS = 1 << 12
 SEPARATORS = b"\t\n "
@@ -162,7 +163,7 @@ def _tokens(path: str):
     def run(batches: Batches) -> Batches:
         part, queued, words = TaskContext.get().partitionId(), defaultdict(int), _tokenizer(path)
         pack, width = zstandard.ZstdCompressor(level=1), np.dtype(words.kind).itemsize
-        for rows in batches:
+        for rows in (batch.slice(first, ROWS) for batch in batches for first in range(0, batch.num_rows, ROWS)):
             sources = rows.column("source").to_pylist()
             counts, starts, bodies = [], [], []
             for source, ids in zip(sources, words.encode([t or b"" for t in texts(rows)])):
@@ -174,6 +175,7 @@ def _tokens(path: str):
             arrays = [rows.column("row"), rows.column("source"), pa.array([part] * len(counts), pa.int32())]
             arrays += [pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(bodies, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["row", "source", "part", "at", "n", "z"])
+        pa.default_memory_pool().release_unused()  # the worker lives on through later stages
 
     return run
 
