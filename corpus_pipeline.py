@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import near_copies, packing, repeats, resampling, secrets
+from shelfmark.llm import packing, repeats, resampling, secrets, simhash
 from shelfmark.llm.common import table
 from shelfmark.session import scratch, settle
 
@@ -28,20 +28,23 @@ def _like(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that op8's models of `labels` keep; null and empty texts are judged like others."""
     return resampling.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five words and similarity 0.8, as for all stages on word shingles; op3's query has a rule of its own."""
-    return near_copies.one_of_each(docs)
+    """Of each component of op3, by its shingles and distance, the row with the smallest doc_id; rows without a doc_id stay."""
+    return simhash.one_of_each(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row, its text without what repeats over 200 bytes and more; a null text becomes empty."""
     cut = repeats.remove_repeats(docs, as_text=True)
     return _like(docs, cut.select("row", F.col("kept").alias("text")))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row, each reported span of its text masked; a null text becomes empty."""
     return _like(docs, secrets.mask(docs))
 
 
