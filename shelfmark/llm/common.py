@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from shelfmark.operators.components import components
+from shelfmark.llm.components import components
 from shelfmark.operators.skew import running
 
 __all__ = ["Batches", "components", "on_executors", "running", "table", "texts"]

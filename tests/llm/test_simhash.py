@@ -2,6 +2,7 @@
 
 import random
 import re
+from math import comb
 
 import pytest
 import xxhash
@@ -53,8 +54,9 @@ def test_links_of_crowded_cells(spark, monkeypatch, blocks, chunk):
             prints.add(seed)
     prints = sorted(prints)
     groups = slow_components(prints)
-    sizes = {6: 1, 7: 10**6, 9: 3 * 10**7}
+    sizes = {6: 1, 7: 10**7, 9: 3 * 10**9}
     masks = simhash.grids(sizes[blocks])
+    assert len(masks) == comb(blocks, 4)
     signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
     edges = simhash.links(spark.createDataFrame(signed, "print long"), chunk=chunk, masks=masks)
     roots = {r.node: r.root for r in simhash.components(edges).collect()}
@@ -71,6 +73,30 @@ def test_odd_rows(spark):
     assert nothing.count() == 0 and "component_id" in nothing.columns
 
 
+def test_grids_stay_few():
+    """A row per fingerprint and grid: their number must not follow the corpus."""
+    assert [len(simhash.grids(10**k)) for k in (0, 6, 8, 9)] == [15, 15, 35, 70]
+    assert len(simhash.grids(10**11)) <= 500
+
+
+def test_one_of_each(spark):
+    """The smallest id of a component stays; rows without an id stay; clashing names pass through."""
+    rows = [(5, None, 1), (2, " \n", 2), (None, "a b", 3), (None, "a b", 4), (7, "A b", 5), (6, "a  B", 6), (6, "a b", 7), (8, "other", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, first int")
+    kept = simhash.one_of_each(docs)
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 2, 6, 8] and kept.columns == docs.columns
+    clashing = docs.withColumns({c: F.lit(None).cast("long") for c in ("_first", "print", "_Root", "a", "component_id")})
+    assert sorted((r.doc_id or 0) for r in simhash.one_of_each(clashing).collect()) == [0, 0, 2, 6, 8]
+    assert simhash.one_of_each(docs.filter(F.lit(False))).count() == 0
+
+
+def test_components_of_a_hub(spark):
+    """A hub, a chain, a loop and null ends; the lookups of a hub's edges are written, so its join can be split."""
+    edges = [(0, i) for i in range(1, 300)] + [(i, i + 1) for i in range(1000, 1060)] + [(2000, 2000), (None, 5), (7, None)]
+    found = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {i: 0 for i in range(1, 300)} | {i: 1000 for i in range(1001, 1061)}
+
+
 def test_long_text():
     text = ("a b c d e f g " * 50_000).encode()
     assert simhash.fingerprint(text) == simhash.fingerprint(text[:-1])
