@@ -39,13 +39,14 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file under another name first, so that it is never seen half."""
+    """Write a small file under another name first, so that it is never seen half. Raises OSError where the store refuses its name."""
     location, fs = hadoop_path(spark, path)
     half = location.suffix(".new")
     stream = fs.create(half, True)
     stream.write(bytearray(text.encode()))
     stream.close()
-    fs.rename(half, location)
+    if not fs.rename(half, location):
+        raise OSError(f"could not rename {half} to {location}")
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -1,9 +1,11 @@
 import datetime as dt
+import io
 
 import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import lifecycle
+from shelfmark.sources import versions
 
 DAY = dt.datetime(2024, 1, 1)
 
@@ -38,3 +40,22 @@ def test_reindex_and_snapshot(history):
     assert {(r["version"], r["nameSpellClean"]) for r in rebuilt} == {(11, "Hub")}
     taken = lifecycle.snapshot(history.select("id"), dt.datetime(2025, 11, 26, 22, 45, 4)).first()
     assert taken["version"] == "snapshot_2025-11-26_22-45-04" and taken["table_name"] == "products"
+
+
+def test_refused_rename(monkeypatch):
+    """A commit whose file the store does not accept is no commit."""
+
+    class Store:
+        def create(self, path, overwrite):
+            return io.BytesIO()
+
+        def rename(self, half, location):
+            return False
+
+    class Location(str):
+        def suffix(self, end):
+            return Location(self + end)
+
+    monkeypatch.setattr(versions, "hadoop_path", lambda spark, path: (Location(path), Store()))
+    with pytest.raises(OSError, match="commit.new"):
+        versions.write_text(None, "folder/commit", "x")
