@@ -59,3 +59,11 @@ def test_refused_rename(monkeypatch):
     monkeypatch.setattr(versions, "hadoop_path", lambda spark, path: (Location(path), Store()))
     with pytest.raises(OSError, match="commit.new"):
         versions.write_text(None, "folder/commit", "x")
+
+
+def test_commit_file_is_written_once(spark, tmp_path):
+    """Of two writers of a number the second fails, and what the first wrote stays."""
+    versions.write_text(spark, f"{tmp_path}/commits/1", "first")
+    with pytest.raises(OSError):
+        versions.write_text(spark, f"{tmp_path}/commits/1", "second")
+    assert versions.read_text(spark, f"{tmp_path}/commits/1") == "first"
