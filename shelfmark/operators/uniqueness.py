@@ -6,7 +6,8 @@ can only matter while its id is not alive for sure; call such a stretch a gap. W
 a key is held, the earliest event wins: greedy selection in feed order, decided in rounds. A round accepts every
 event that no undecided earlier one can still beat and drops those that have lost; usually few rounds are needed. What a
 fixed number of rounds leaves undecided, long chains of events that wait for each other, falls into connected groups of
-keys and gaps, and each group is decided in feed order by itself.
+keys and gaps, and each group is decided in feed order by itself: a slice of its events at a time, so that a task holds no more
+than a slice. What a slice leaves behind, the time to which each key is held and the gaps that are filled, is joined with the next.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ from shelfmark.session import settle
 
 _BEFORE = (Window.unboundedPreceding, -1)
 ROUNDS = 6
+#: Events of one connected group that a task decides at a time.
+SLICE = 200_000
+_EARLIEST = -(2**63)
 
 
 def _latest_end(spans: DataFrame, end: Column, name: str, chunked: bool) -> DataFrame:
@@ -114,19 +118,10 @@ def key_conflicts(
 
 
 def _in_order(waiting: DataFrame, accepted: DataFrame) -> DataFrame:
-    """(seq_id) of the waiting events that lose, decided one by one within each connected group of keys and gaps."""
-    def decide(events: pd.DataFrame) -> pd.DataFrame:
-        taken: dict[str, tuple[int, int]] = {}
-        filled, lost = set(), []
-        for e in events.sort_values(["at_ts", "seq_id"]).itertuples():
-            until = (e.until_ts, e.until_id)
-            if not e.won and taken.get(e.node, (e.at_ts, e.seq_id)) > (e.at_ts, e.seq_id):
-                lost.append(e.seq_id)
-            elif e.won or e.slot not in filled:
-                taken[e.node] = max(until, taken.get(e.node, until))
-                filled.add(e.slot)
-        return pd.DataFrame({"seq_id": pd.Series(lost, dtype="int64")})
+    """(seq_id) of the waiting events that lose, decided one by one within each connected group of keys and gaps.
 
+    Pass n decides slice n of every group. There are as many passes as the largest group has slices, and groups go side by side.
+    """
     places = {
         "at_ts": F.unix_micros(F.col("seq_ts").cast("timestamp")),
         "until_ts": F.unix_micros(F.col("until.seq_ts").cast("timestamp")),
@@ -136,11 +131,65 @@ def _in_order(waiting: DataFrame, accepted: DataFrame) -> DataFrame:
     }
     columns = ["node", "slot", "at_ts", "seq_id", "until_ts", "until_id", "won"]
     undecided = settle(waiting.withColumns(places).withColumn("won", F.lit(False)).select(*columns))
-    groups = settle(components(undecided, "node", "slot"))
-    group_of = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
-    keys = undecided.select("node").distinct()
-    holders = accepted.withColumns(places).withColumn("won", F.lit(True)).select(*columns).join(keys, "node", "left_semi")
-    return undecided.unionByName(holders).join(group_of, "node").groupBy("root").applyInPandas(decide, "seq_id long")
+    groups = components(undecided, "node", "slot")
+    group_of = settle(groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()))
+    holders = accepted.withColumns(places).withColumn("won", F.lit(True)).select(*columns)
+    events = skew.join(undecided.unionByName(holders), group_of, ["node"])  # holders of other keys find no group
+    sliced = _slices(events)
+    last = sliced.agg(F.max("last")).first()[0] or 0
+    state, losers = None, []
+    for n in range(last + 1):
+        rows = _recalled(sliced.filter(F.col("slice") == n), state)
+        schema = "seq_id long, lost boolean, node string, slot string, until_ts long, until_id long, last long"
+        decided = settle(rows.groupBy("root").applyInPandas(_decide, schema))
+        losers.append(decided.filter("lost").select("seq_id"))
+        if n < last:
+            state = _remembered(state, decided, n)
+    return reduce(DataFrame.unionByName, losers)
+
+
+def _slices(events: DataFrame) -> DataFrame:
+    """Add `slice`, by the place of an event in its group, and `last`, the group's last one. Sorted by slice, so that a pass reads its own files."""
+    ranked = skew.distributed_rank(events, ["root"], [F.col("at_ts"), F.col("seq_id")], "place")
+    ranked = ranked.withColumn("slice", F.expr(f"(place - 1) div {SLICE}"))
+    ends = settle(ranked.groupBy("root").agg(F.max("slice").alias("last")))
+    return settle(skew.join(ranked, ends, ["root"]).repartitionByRange("slice", "root", "place").drop("place"))
+
+
+def _recalled(rows: DataFrame, state: DataFrame | None) -> DataFrame:
+    """Add the time to which an event's key is held by earlier slices; events of a filled gap go."""
+    if state is None:
+        return rows.withColumns({"held_ts": F.lit(_EARLIEST), "held_id": F.lit(_EARLIEST)})
+    filled = state.select(F.col("name").alias("slot"), F.lit(True).alias("_filled"))
+    held = {f"held_{c}": F.coalesce(f"_held.until_{c}", F.lit(_EARLIEST)) for c in ("ts", "id")}
+    rows = skew.join(rows, filled, ["slot"], "left").filter("won OR _filled IS NULL").drop("_filled")
+    rows = skew.join(rows, state.select(F.col("name").alias("node"), F.col("held").alias("_held")), ["node"], "left")
+    return rows.withColumns(held).drop("_held")
+
+
+def _remembered(state: DataFrame | None, decided: DataFrame, n: int) -> DataFrame:
+    """(name, last, held) of the keys and gaps that slices up to n have taken, for groups that go on."""
+    until = F.struct("until_ts", "until_id")
+    names = F.explode(F.array("node", "slot")).alias("name")
+    taken = decided.filter("not lost").select(names, "last", until.alias("held"))
+    taken = taken if state is None else taken.unionByName(state)
+    return settle(taken.filter(F.col("last") > n).groupBy("name", "last").agg(F.max("held").alias("held")))
+
+
+def _decide(events: pd.DataFrame) -> pd.DataFrame:
+    """The losers and winners among the events of a slice, one by one in feed order."""
+    taken: dict[str, tuple[int, int]] = {}
+    filled, out = set(), []
+    for e in events.sort_values(["at_ts", "seq_id"]).itertuples():
+        until, held = (e.until_ts, e.until_id), max(taken.get(e.node, (_EARLIEST, _EARLIEST)), (e.held_ts, e.held_id))
+        lost = not e.won and held > (e.at_ts, e.seq_id)
+        if not lost and (e.won or e.slot not in filled):
+            taken[e.node] = max(until, held)
+            filled.add(e.slot)
+        elif not lost:
+            continue
+        out.append((e.seq_id, lost, e.node, e.slot, *until, e.last))
+    return pd.DataFrame(out, columns=["seq_id", "lost", "node", "slot", "until_ts", "until_id", "last"])
 
 
 def annotate_unique(feed: DataFrame, catalog: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,18 +52,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-_scopes: list[list[str]] = []
+#: The steps of the innermost `scratch`. A context variable, so that threads with pipelines of their own keep theirs apart.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove the steps that `settle` writes inside, once the results that read them have been written themselves."""
     written: list[str] = []
-    _scopes.append(written)
+    outer = _scope.set(written)
     try:
         yield
     finally:
-        _scopes.remove(written)
+        _scope.reset(outer)
         for path in written:
             delete(spark, path)
 
@@ -75,7 +77,8 @@ def settle(df: DataFrame, keep: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, "step")
-    if _scopes and not keep:
-        _scopes[-1].append(path)
+    written = _scope.get()
+    if written is not None and not keep:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -136,6 +136,43 @@ def test_long_chains_take_few_rounds(spark, monkeypatch):
     assert {r["seq_id"]: r["outcome"] for r in again} == one_by_one(feed[900:], unique=True)[1]
 
 
+def _chains(links, seed):
+    """Chains of events that wait for each other, branches, holders with ends, and ids and names that are used again."""
+    pick = random.Random(seed)
+    feed = [event(0, "CREATED", "p0", 1, "name 0")]
+    for link in range(links):
+        feed.append(event(3 * link + 1, "CREATED", f"p{link + 1}", 1, f"name {link}"))
+        feed.append(event(3 * link + 2, "CREATED", f"p{link + 1}", 1, f"name {link + 1}"))
+        if pick.random() < 0.5:
+            op, near = pick.choice(["CREATED", "UPDATED", "DELETED"]), pick.randint(max(0, link - 40), link)
+            feed.append(event(3 * link + 3, op, f"p{near}", 1, f"name {pick.randint(max(0, link - 40), link)}"))
+    return feed
+
+
+@pytest.mark.parametrize("rounds, size, seed", [(0, 1, 11), (0, 7, 12), (2, 30, 13), (6, 1000, 14)])
+def test_chains_in_slices_equal_one_by_one(spark, monkeypatch, rounds, size, seed):
+    """A group is decided slice by slice, of any size, also one event at a time."""
+    monkeypatch.setattr(uniqueness, "ROUNDS", rounds)
+    monkeypatch.setattr(uniqueness, "SLICE", size)
+    feed = _chains(3 if size == 1 else 12 if size == 7 else 60, seed)
+    annotated = uniqueness.annotate_unique(spark.createDataFrame(feed, S.CHANGE))
+    docs, outcomes = one_by_one(feed, unique=True)
+    assert {r["seq_id"]: r["outcome"] for r in changes.outcomes(annotated).collect()} == outcomes
+    assert rows(changes.catalog_of(annotated)) == docs
+
+
+def test_no_task_holds_more_than_a_slice(spark, monkeypatch):
+    """Of a group of 6000 events no pass hands more than a slice to a task, and times survive as exact numbers."""
+    seen, slices = [], uniqueness._slices
+    monkeypatch.setattr(uniqueness, "SLICE", 1000)
+    monkeypatch.setattr(uniqueness, "_slices", lambda events: seen.append(slices(events)) or seen[-1])
+    feed = _chains(3000, 15)
+    annotated = uniqueness.annotate_unique(spark.createDataFrame(feed, S.CHANGE))
+    assert {r["seq_id"]: r["outcome"] for r in changes.outcomes(annotated).collect()} == one_by_one(feed, unique=True)[1]
+    sizes = [r["count"] for r in seen[0].groupBy("root", "slice").count().collect()]
+    assert max(sizes) == 1000 and len(sizes) > 3
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 def test_creates_alone_equal_one_by_one(spark, seed):
     pick = random.Random(seed)
