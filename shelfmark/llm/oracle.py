@@ -6,10 +6,16 @@ ORACLE: dict[str, str] = {}
 
 _HOST = "translate(regexp_extract({rest}, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1, 's')"
+_DOTS = (
+    "CASE WHEN regexp_matches({path}, '/\\.\\.?(?:/|\\z)') THEN "
+    "list_reduce(string_split({path}, '/'), lambda done, part: CASE WHEN part = '..' THEN regexp_replace(done, '/[^/]*\\z', '') "
+    "WHEN part = '.' THEN done ELSE done || '/' || part END) "
+    "|| CASE WHEN regexp_matches({path}, '/\\.\\.?\\z') THEN '/' ELSE '' END ELSE {path} END"
+)
 _NODE = (
     "CASE WHEN strpos({url}, '://') > 0 THEN lower(left({url}, strpos({url}, '://') - 1)) || '://' || "
     + _HOST
-    + " || regexp_extract({rest}, '^[^/?#]*([^#]*)', 1) END"
+    + " || ({dotless}) || regexp_extract({rest}, '^[^?#]*(\\?[^#]*)', 1) END"
 )
 
 
@@ -26,7 +32,7 @@ def _path(url: str) -> str:
 
 
 def _node(url: str) -> str:
-    return _NODE.format(url=url, rest=_rest(url))
+    return _NODE.format(url=url, rest=_rest(url), dotless=_DOTS.format(path=_path(url)))
 
 
 def _ruled(table: str) -> str:
@@ -55,12 +61,14 @@ raw AS (
         END, '&amp;', '&')) AS link FROM tags),
 resolved AS (
     SELECT url, CASE
-        WHEN strpos(link, '://') > 0 THEN link
-        WHEN strpos(url, '://') = 0 OR link = '' THEN NULL
+        WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.\-]*://') THEN link
+        WHEN strpos(url, '://') = 0 OR link = '' OR regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.\-]*:') THEN NULL
         WHEN starts_with(link, '//') THEN left(url, strpos(url, '://')) || link
         WHEN starts_with(link, '/') THEN left(url, strpos(url, '://') + 2) || {_host("url")} || link
+        WHEN starts_with(link, '?') THEN left(url, strpos(url, '://') + 2) || {_host("url")} || {_path("url")} || link
+        WHEN starts_with(link, '#') THEN url
         ELSE left(url, strpos(url, '://') + 2) || {_host("url")}
-             || coalesce(nullif(regexp_replace({_path("url")}, '[^/]*$', ''), ''), '/') || link END AS target
+             || coalesce(nullif(regexp_replace({_path("url")}, '[^/]*\z', ''), ''), '/') || link END AS target
     FROM raw WHERE link IS NOT NULL),
 edges AS (SELECT DISTINCT a, b FROM (SELECT {_node("url")} AS a, {_node("target")} AS b FROM resolved)
           WHERE a IS NOT NULL AND b IS NOT NULL AND a <> b),

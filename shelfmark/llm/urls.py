@@ -23,6 +23,7 @@ TAG = r"(?is)<(?:link|meta)\b[^>]*>"
 CANONICAL = r"""(?is)\brel\s*=\s*["']?\s*canonical\b"""
 REFRESH = r"""(?is)\bhttp-equiv\s*=\s*["']?\s*refresh\b"""
 HREF = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 TARGET = r"""(?is)\bcontent\s*=\s*["']?[^"'>;]*;\s*url\s*=\s*["']?([^"'>]*)"""
 
 
@@ -40,24 +41,37 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(rest_of(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def without_dots(path: Column) -> Column:
+    """A path without `.` and `..` segments (RFC 3986, 5.2.4)."""
+    step = lambda done, part: (
+        F.when(part == "..", F.regexp_replace(done, r"/[^/]*\z", "")).when(part == ".", done).otherwise(F.concat(done, F.lit("/"), part))
+    )
+    parts = F.split(path, "/")
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.lit(""), step)
+    ends_open = F.when(path.rlike(r"/\.\.?\z"), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(?:/|\z)"), F.concat(kept, ends_open)).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """A URL as a node: scheme and host lower-cased, without fragment; null without "://"."""
+    """A URL as a node: scheme and host lower-cased, without dot segments and fragment; null without "://"."""
     scheme = F.translate(F.substring_index(url, "://", 1), UPPER, LOWER)
-    after = F.regexp_extract(rest_of(url), r"^[^/?#]*([^#]*)", 1)
-    return F.when(rest_of(url).isNotNull(), F.concat(scheme, F.lit("://"), host_of(url), after))
+    query = F.regexp_extract(rest_of(url), r"^[^?#]*(\?[^#]*)", 1)
+    return F.when(rest_of(url).isNotNull(), F.concat(scheme, F.lit("://"), host_of(url), without_dots(path_of(url)), query))
 
 
 def resolve(base: Column, link: Column) -> Column:
-    """An absolute URL for a link found on the page `base`."""
+    """An absolute URL for a link found on the page `base`; null for one of another kind, as `mailto:`. Dot segments are left to `node_of`."""
     link = F.trim(F.replace(link, F.lit("&amp;"), F.lit("&")))
     scheme = F.substring_index(base, "://", 1)
     site = F.concat(scheme, F.lit("://"), host_of(base))
-    folder = F.regexp_replace(path_of(base), r"[^/]*$", "")
+    folder = F.regexp_replace(path_of(base), r"[^/]*\z", "")
     return (
-        F.when(F.instr(link, "://") > 0, link)
-        .when(rest_of(base).isNull() | (link == ""), F.lit(None))
+        F.when(link.rlike(SCHEME + "//"), link)
+        .when(rest_of(base).isNull() | (link == "") | link.rlike(SCHEME), F.lit(None))
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
         .when(link.startswith("/"), F.concat(site, link))
+        .when(link.startswith("?"), F.concat(site, path_of(base), link))
+        .when(link.startswith("#"), base)
         .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), link))
     )
 

@@ -63,6 +63,25 @@ def test_chain_of_aliases(spark, n):
     assert urls.judge(pages.filter(F.lit(False)), rules).count() == 0
 
 
+RESOLVED = {
+    # The examples of RFC 3986, 5.4, without their fragments, and some of our own.
+    "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g", "?y": "http://a/b/c/d;p?y",
+    "g?y": "http://a/b/c/g?y", "#s": "http://a/b/c/d;p?q", "g#s": "http://a/b/c/g", ";x": "http://a/b/c/;x", ".": "http://a/b/c/", "./": "http://a/b/c/",
+    "..": "http://a/b/", "../": "http://a/b/", "../g": "http://a/b/g", "../..": "http://a/", "../../g": "http://a/g", "../../../g": "http://a/g",
+    "/./g": "http://a/g", "/../g": "http://a/g", "g.": "http://a/b/c/g.", "..g": "http://a/b/c/..g", "./../g": "http://a/b/g", "g;x=1/../y": "http://a/b/c/y",
+    "g?y/../x": "http://a/b/c/g?y/../x", "/out?u=http://x.com/de/": "http://a/out?u=http://x.com/de/", "HTTPS://X.y/../z": "https://x.y/z",
+    "mailto:a@b.c?u=http://d.e/": None, "javascript:location='http://d.e'": None, "a//../b": "http://a/b/c/a/b", " ../g ": "http://a/b/g", "": None,
+}
+
+
+def test_links_are_resolved_as_the_standard_says(spark):
+    rows = spark.createDataFrame([(link,) for link in RESOLVED] + [(None,)], "link string")
+    found = rows.select("link", urls.node_of(urls.resolve(F.lit("http://a/b/c/d;p?q"), F.col("link"))).alias("node")).collect()
+    assert {r.link: r.node for r in found} == RESOLVED | {None: None}
+    long = "http://a" + "/x/.." * 3000 + "/y"
+    assert spark.range(1).select(urls.node_of(F.lit(long)).alias("n")).first().n == "http://a/y"
+
+
 def test_no_rules(spark):
     pages = spark.createDataFrame([(1, "http://a.org/", None)], "page_id long, url string, html string")
     assert [tuple(r) for r in urls.judge(pages, []).collect()] == [(1, "a.org", "/", None, "allow", None)]
@@ -78,6 +97,8 @@ def test_sql_agrees_where_aliases_are(spark, tmp_path):
         (5, "http://c.net", page("q", "canonical")), (6, "http://c.net/q", page("http://com/de/1", "canonical")), (7, None, None),
         (8, "http://d.net/", page("http://com/de/1", "refresh") + page("http://com/fr/", "canonical")), (9, "http://e.net/", page("http://x.example.org/en/1?q", "canonical")),
     ]
+    rows += [(10 + i, f"http://h{i}.net/b/c/d;p?q", page(link, "refresh" if i % 2 else "canonical")) for i, link in enumerate(RESOLVED) if "'" not in link]
+    rows += [(50, "http://i.net/a/./b/..", page("/de/../fr/../de/x", "canonical"))]
     spark.createDataFrame(rows, "page_id long, url string, html string").toPandas().to_parquet(tmp_path / "pages.parquet")
     result = QUERIES["op1_url_aliases"](spark, str(tmp_path))
     verdicts = {r.page_id: r.verdict for r in result.collect()}
