@@ -1,9 +1,12 @@
 import datetime as dt
 import io
+from concurrent.futures import ThreadPoolExecutor
+from threading import Event
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark import session
 from shelfmark.operators import lifecycle
 from shelfmark.sources import versions
 
@@ -67,3 +70,78 @@ def test_commit_file_is_written_once(spark, tmp_path):
     with pytest.raises(OSError):
         versions.write_text(spark, f"{tmp_path}/commits/1", "second")
     assert versions.read_text(spark, f"{tmp_path}/commits/1") == "first"
+
+
+def test_one_of_two_writers_fails(spark, tmp_path):
+    """Both begin from the same state: the second changes nothing, and its version goes."""
+    first, second = (versions.CatalogVersions(spark, str(tmp_path)) for _ in range(2))
+    first.write(spark.range(2))
+    began = second.pointer()
+    assert first.write(spark.range(3)) == 2
+    with pytest.raises(versions.Conflict):
+        second.write(spark.range(9), began=began)
+    assert first.current() == second.current() == 2 and second.read().count() == 3 and first.versions() == [1, 2]
+    assert second.write(spark.range(4)) == 4 and first.read().count() == 4
+
+
+def test_writers_in_threads_take_numbers_of_their_own(spark, tmp_path):
+    def attempt(n):
+        store = versions.CatalogVersions(spark, str(tmp_path))
+        try:
+            return store.write(spark.range(n), began={"number": 0, "version": None, "changes": 0})
+        except versions.Conflict:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(attempt, range(1, 5)))
+    won = [n for n in numbers if n is not None]
+    store = versions.CatalogVersions(spark, str(tmp_path))
+    assert len(won) == 1 and store.versions() == won and store.current() == won[0]
+    assert store.read().count() == numbers.index(won[0]) + 1
+
+
+def test_reindex_during_a_feed_loses_nothing(spark, tmp_path):
+    """Changes from before, from while the version is written, and from after its last look: each is folded in once."""
+    store = versions.CatalogVersions(spark, str(tmp_path))
+    store.write(spark.range(3))
+    assert store.add_changes(spark.range(10, 12)) == 1
+    looked = []
+
+    def rebuild(documents):
+        return documents.withColumn("twice", F.col("id") * 2)
+
+    def replay(documents, changes):
+        looked.append(sorted(r["id"] for r in changes.collect()))
+        store.add_changes(spark.range(20 * len(looked), 20 * len(looked) + 1))
+        return documents.unionByName(rebuild(changes))
+
+    version = store.reindex(rebuild, replay)
+    assert store.current() == version and looked == [[10, 11], [20]]
+    assert {(r["id"], r["twice"]) for r in store.read().collect()} == {(n, 2 * n) for n in (0, 1, 2, 10, 11, 20)}
+    assert [r["id"] for r in store.changes(store.pointer()["changes"]).collect()] == [40]
+    store.reindex(lambda documents: documents, lambda documents, changes: documents.unionByName(rebuild(changes)))
+    assert sorted(r["id"] for r in store.read().collect()) == [0, 1, 2, 10, 11, 20, 40]
+    assert store.changes(store.pointer()["changes"]) is None
+    assert store.retire(keep=1) == [1, version]
+
+
+def test_scratch_of_two_threads(spark):
+    """The end of one scope leaves the steps of another thread's scope alone."""
+    open_, closed = Event(), Event()
+
+    def long():
+        with session.scratch(spark):
+            step = session.settle(spark.range(5))
+            open_.set()
+            closed.wait(60)
+            return step.count()
+
+    def short():
+        open_.wait(60)
+        with session.scratch(spark):
+            session.settle(spark.range(2))
+        closed.set()
+
+    with ThreadPoolExecutor(2) as pool:
+        results = [pool.submit(long), pool.submit(short)]
+        assert results[0].result() == 5 and results[1].result() is None
