@@ -128,7 +128,6 @@ def _divergence(bins: str, group: str) -> str:
     return f"SELECT {group}, round(sqrt(greatest(0, {term.format('a')} + {term.format('b')}) / 2), 6) AS js FROM ({share}) GROUP BY {group}"
 
 
-# Every language of the tables has more than a thousandth of the words, so none is compared with the whole corpus.
 ORACLE["op6_quality_rules"] = f"""
 WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text,
@@ -146,19 +145,23 @@ base AS (
   SELECT t.*, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, {_count(_CLASSES[-1])} AS n_symbols,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, [{_SHAPES}] AS shape
   FROM texts t JOIN rows USING (r) LEFT JOIN covered c USING (r)),
-shapes AS (SELECT lang, k, sum(n) AS n FROM (SELECT lang, unnest(shape) AS n, generate_subscripts(shape, 1) AS k FROM base) GROUP BY ALL),
+languages AS (SELECT lang FROM base GROUP BY lang HAVING sum(len(plain)) >= 5000),
+shapes AS (
+  SELECT lang, k, sum(n) AS n FROM (SELECT lang, unnest(shape) AS n, generate_subscripts(shape, 1) AS k FROM base) s
+  WHERE EXISTS (SELECT 1 FROM languages l WHERE l.lang IS NOT DISTINCT FROM s.lang) GROUP BY ALL),
 shape_bins AS (
   SELECT x.r, CAST(x.n AS DOUBLE) AS a, CAST(s.n AS DOUBLE) AS b
   FROM (SELECT r, lang, unnest(shape) AS n, generate_subscripts(shape, 1) AS k FROM base WHERE n_words >= 50) x
-  JOIN shapes s ON x.lang = s.lang AND x.k = s.k),
+  JOIN shapes s ON x.lang IS NOT DISTINCT FROM s.lang AND x.k = s.k),
 shape_js AS ({_divergence("shape_bins", "r")}),
 counted AS (SELECT r, lang, word, count(*) AS n FROM (SELECT r, lang, unnest(plain) AS word FROM texts) GROUP BY ALL),
-corpus AS (SELECT lang, word, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS every FROM counted GROUP BY lang, word),
+corpus AS (
+  SELECT lang, word, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS every FROM counted GROUP BY lang, word QUALIFY every >= 5000),
 common AS (SELECT * FROM corpus QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 50),
 word_bins AS (
   SELECT b.r, b.len_plain, coalesce(CAST(c.n AS DOUBLE), 0) AS a, CAST(m.n AS DOUBLE) AS b, m.every
   FROM (SELECT r, lang, len(plain) AS len_plain FROM base WHERE n_words >= 200) b
-  JOIN common m ON b.lang = m.lang LEFT JOIN counted c ON c.r = b.r AND c.word = m.word),
+  JOIN common m ON b.lang IS NOT DISTINCT FROM m.lang LEFT JOIN counted c ON c.r = b.r AND c.word = m.word),
 all_bins AS (
   SELECT r, a, b FROM word_bins
   UNION ALL SELECT r, any_value(len_plain) - sum(a), any_value(every) - sum(b) FROM word_bins GROUP BY r),

@@ -23,8 +23,10 @@ MIN_WORDS_WORDS = 200
 MAX_CHARS = 0.32
 MAX_WORDS = 0.33
 COMMON = 50
-#: Languages with less than this share of all words are compared with the whole corpus.
-SHARE = 1 / 1000
+#: A language with fewer words than this in all documents has no reference, and its documents no distance.
+LANGUAGE_WORDS = 5000
+#: References that a task keeps in the form it compares with.
+REMEMBERED = 256
 SYMBOLS = b"#*$%&|<>"
 PUNCTUATION = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
 BLANK = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -47,6 +49,7 @@ def _classes() -> np.ndarray:
 
 
 CLASSES = _classes()
+Reference = tuple[list[float], dict[bytes, int], list[float]]
 
 
 def _vocabulary(batches: Batches) -> Batches:
@@ -80,45 +83,42 @@ def _plain(text: bytes) -> list[bytes]:
     return text.lower().translate(None, PUNCTUATION).split()
 
 
-def references(docs: DataFrame, common: int = COMMON) -> dict[str | None, tuple[list[float], dict[bytes, int], list[float]]]:
-    """Character classes, common words and their shares by language; the whole corpus is under the key "*".
+def references(docs: DataFrame, common: int = COMMON) -> DataFrame:
+    """(lang, words, classes, common): words in all, (word, n) of every character class and of the most common words, most common first.
 
-    Counted over all rows. A language with under a thousandth of the words has no entry, so there are at most a thousand.
+    Counted over all rows; one row for each language, null included, with LANGUAGE_WORDS or more. No language's reference depends on others.
     """
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     partial = on_executors(rows, _vocabulary, "lang string, word binary, n long")
     counted = settle(partial.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     is_class = F.col("word").startswith(F.lit(b" "))
-    words = counted.filter(~is_class)
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
-    every = totals.agg(F.sum("n")).first()[0] or 0
-    large = totals.filter(F.col("n") >= every * SHARE)
-    total = {lang: n for lang, n in large.collect()} | {"*": every}
+    totals = settle(counted.filter(~is_class).groupBy("lang").agg(F.sum("n").alias("words")).filter(F.col("words") >= LANGUAGE_WORDS))
+    known = totals.select(F.col("lang").alias("of"))
+    kept = counted.join(known, F.col("lang").eqNullSafe(F.col("of")), "left_semi")
 
     # The most common words: first within parts of a language, so that none is sorted in one task.
     parts = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    whole = words.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit("*").alias("lang"), "word", "n")
-    each = words.join(large.select(F.col("lang").alias("of")), F.col("lang").eqNullSafe(F.col("of")), "left_semi")
     ranked = F.row_number().over(Window.partitionBy("lang", "part").orderBy(F.desc("n"), "word"))
-    first = each.unionByName(whole).withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
+    first = kept.filter(~is_class).withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
     first = first.withColumn("rank", ranked).filter(F.col("rank") <= common)
     last = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = first.withColumn("rank", last).filter(F.col("rank") <= common).select("lang", "word", "n").collect()
-
-    classes = counted.filter(is_class)
-    both = classes.join(large.select(F.col("lang").alias("of")), F.col("lang").eqNullSafe(F.col("of")), "left_semi")
-    both = both.unionByName(classes.withColumn("lang", F.lit("*")))
-    shapes = both.groupBy("lang", "word").agg(F.sum("n").alias("n")).collect()
-    out = {}
-    for lang, n in total.items():
-        chars = [0.0] * CLASSES.shape[1]
-        for r in shapes:
-            if r.lang == lang:
-                chars[int(bytes(r.word))] = float(r.n)
-        listed = sorted(((-r.n, bytes(r.word)) for r in top if r.lang == lang))
-        shares = [-m / n for m, _ in listed]
-        out[lang] = (chars, {w: i for i, (_, w) in enumerate(listed)}, [*shares, max(0.0, 1 - sum(shares))])
-    return out
+    top = first.withColumn("rank", last).filter(F.col("rank") <= common).select("lang", "rank", "word", "n")
+    shapes = kept.filter(is_class).select("lang", F.lit(0).alias("rank"), "word", "n")
+    found = top.unionByName(shapes).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("all"))
+    named = lambda test: F.transform(F.filter("all", test), lambda x: F.struct(x["word"].alias("word"), x["n"].alias("n")))
+    found = found.select(
+        F.col("lang").alias("of"), named(lambda x: x["rank"] == 0).alias("classes"), named(lambda x: x["rank"] > 0).alias("common")
+    )
+    return settle(totals.join(found, F.col("lang").eqNullSafe(F.col("of"))).select("lang", "words", "classes", "common"))
+
+
+def _reference(words: int, classes: list[dict], common: list[dict]) -> Reference:
+    """Character classes, the number of each common word, and their shares with that of all others."""
+    chars = [0.0] * CLASSES.shape[1]
+    for c in classes:
+        chars[int(c["word"])] = float(c["n"])
+    shares = [c["n"] / words for c in common]
+    return chars, {c["word"]: i for i, c in enumerate(common)}, [*shares, max(0.0, 1 - sum(shares))]
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> float:
@@ -156,15 +156,15 @@ NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 KINDS = [pa.int64()] * 5 + [pa.float64()] * 2 + [pa.bool_()] * 2
 
 
-def measure(text: bytes, reference: tuple) -> tuple:
-    """The values of NAMES. A distance is null where the text is too short for it."""
+def measure(text: bytes, reference: Reference | None) -> tuple:
+    """The values of NAMES. A distance is null where the text is too short for it, or the language has no reference."""
     words = text.split()
     n = len(words)
     letters = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
     lines = [line for line in text.split(b"\n") if line.strip()]
     repeat = repeated_words(words)
     failed = n < MIN_WORDS or 100 * repeat > 50 * n
-    chars, common, shares = reference
+    chars, common, shares = reference or ([], {}, [])
     shape, js_chars, js_words = letters @ CLASSES, None, None
     if n >= MIN_CHARS_WORDS and sum(chars):
         js_chars = distance(shape.astype(float), np.array(chars))
@@ -184,15 +184,23 @@ def measure(text: bytes, reference: tuple) -> tuple:
 def judge(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id and the values of NAMES.
 
-    kept is false if the base rule fails or a distance is too great. A null text has no words; a language unknown, null or
-    rare is compared with the whole corpus; repeated rows are judged each. Other columns are ignored.
+    kept is false if the base rule fails or a distance is too great. A null text has no words; null counts as a language; a
+    language with fewer than LANGUAGE_WORDS words is judged by the base rule alone; repeated rows are judged each. Other
+    columns are ignored. The references are joined by language, so their number is not bounded by the driver or a worker.
     """
-    found = references(docs)
 
     def run(batches: Batches) -> Batches:
+        known: dict[str | None, Reference] = {}
         for batch in batches:
-            pairs = zip(batch.column("lang").to_pylist(), texts(batch))
-            rows = [measure(text or b"", found.get(lang, found["*"])) for lang, text in pairs]
+            words, classes, common = (batch.column(c) for c in ("words", "classes", "common"))
+            rows = []
+            for i, (lang, text) in enumerate(zip(batch.column("lang").to_pylist(), texts(batch))):
+                reference = known.get(lang)
+                if reference is None and words[i].is_valid:
+                    if len(known) == REMEMBERED:
+                        known.clear()
+                    reference = known[lang] = _reference(words[i].as_py(), classes[i].as_py(), common[i].as_py())
+                rows.append(measure(text or b"", reference))
             columns = zip(*rows) if rows else [[]] * len(NAMES)
             arrays = [batch.column("doc_id"), *(pa.array(list(c), k) for c, k in zip(columns, KINDS))]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *NAMES])
@@ -200,5 +208,7 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     )
+    found = references(docs).withColumnRenamed("lang", "of")
+    joined = rows.join(found, F.col("lang").eqNullSafe(F.col("of")), "left").drop("of")
     kinds = ["long"] * 5 + ["double"] * 2 + ["boolean"] * 2
-    return on_executors(rows, run, "doc_id long, " + ", ".join(f"{n} {k}" for n, k in zip(NAMES, kinds)))
+    return on_executors(joined, run, "doc_id long, " + ", ".join(f"{n} {k}" for n, k in zip(NAMES, kinds)))

@@ -1,6 +1,7 @@
 """Quality rules against a plain count, and the divergence on clean and junk documents."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from shelfmark.llm import quality_rules
 from shelfmark.llm.queries import QUERIES
 
+ALPHABETS = {"large": "abcdefghijklm", "rare": "αβγδεζηθικλμν", "few": "бвгджзиклмнпр"}
+
 
 def slow(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -78,3 +81,23 @@ def test_odd_rows(spark):
     assert len(found) == 5 and not any(r.kept for r in found)
     assert quality_rules.judge(docs.filter(F.lit(False))).count() == 0
     assert quality_rules.judge(docs.filter("doc_id = 3")).first().js_chars is None
+
+
+def test_a_rare_language_is_judged_by_itself_or_not_at_all(spark, tmp_path):
+    """Clean texts of a rare language stay, however large others grow; below the guard there is no distance."""
+    from compare import compare, connect
+
+    pick = random.Random(3)
+    vocabulary = {lang: ["".join(pick.choices(letters, k=pick.randint(2, 9))) for _ in range(400)] for lang, letters in ALPHABETS.items()}
+    say = lambda lang: " ".join(pick.choices(vocabulary[lang], [1 / (i + 1) for i in range(400)], k=300)) + "."
+    counts = {"large": 300, "rare": 20, None: 18, "few": 2}
+    rows = [(i, say(lang or "rare"), lang) for i, lang in enumerate(lang for lang, n in counts.items() for _ in range(n))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    small = {r.doc_id: r for r in quality_rules.judge(docs.filter("lang IS DISTINCT FROM 'large'")).collect()}
+    assert all(found[i].kept for i, _, _ in rows) and all(found[i] == r for i, r in small.items()) and len(small) == 40
+    assert all((found[i].js_chars is None) == (found[i].js_words is None) == (lang == "few") for i, _, lang in rows)
+    wrong = spark.createDataFrame([(-1, say("rare"), "large")], docs.schema)
+    assert not next(r for r in quality_rules.judge(docs.unionByName(wrong)).collect() if r.doc_id == -1).kept
+    docs.unionByName(wrong).toPandas().to_parquet(tmp_path / "documents.parquet")
+    assert compare(connect(str(tmp_path)), "op6_quality_rules", QUERIES["op6_quality_rules"](spark, str(tmp_path))) == ""
