@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 import re
 import uuid
 from collections.abc import Callable
@@ -49,13 +50,27 @@ def read_text(spark: SparkSession, path: str) -> str:
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file under a name of its own first, so that it is never seen half. Raises OSError where the store refuses its name.
 
-    Needs a store that does not rename onto an existing file, as HDFS.
+    Needs a store that does not rename onto an existing file, as HDFS, or a local disk that has links; on one without, writers
+    that start at the same moment can both succeed.
     """
     location, fs = hadoop_path(spark, path)
     half = location.suffix(f".new-{uuid.uuid4().hex}")
     stream = fs.create(half, True)
     stream.write(bytearray(text.encode()))
     stream.close()
+    here, there = (str(p).removeprefix("file:") for p in (half, location))
+    if os.path.exists(here):
+        # A local disk: a rename looks for the name and then replaces what another writer has put there since, a link is refused.
+        try:
+            os.link(here, there)
+        except FileExistsError:
+            fs.delete(half, False)
+            raise
+        except OSError:
+            pass
+        else:
+            fs.delete(half, False)
+            return
     if not fs.rename(half, location):
         raise OSError(f"could not rename {half} to {location}")
 

@@ -1,7 +1,7 @@
 import datetime as dt
 import io
 from concurrent.futures import ThreadPoolExecutor
-from threading import Event
+from threading import Barrier, Event
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +72,30 @@ def test_commit_file_is_written_once(spark, tmp_path):
     assert versions.read_text(spark, f"{tmp_path}/commits/1") == "first"
 
 
+@pytest.mark.parametrize("prefix", ["", "file:", "file://"])
+def test_commit_file_is_written_once_in_a_race(spark, tmp_path, prefix):
+    """Of writers who start at once one gets the name, and nothing but its file is left."""
+    start, names = Barrier(8), range(20)
+
+    def attempts(writer):
+        won = []
+        for name in names:
+            start.wait(60)
+            try:
+                versions.write_text(spark, f"{prefix}{tmp_path}/commits/{name}", f"writer {writer}")
+                won.append(name)
+            except OSError:
+                pass
+        return won
+
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(attempts, range(8)))
+    assert sorted(name for names in won for name in names) == list(names)
+    for writer, name in ((w, n) for w, names in enumerate(won) for n in names):
+        assert versions.read_text(spark, f"{prefix}{tmp_path}/commits/{name}") == f"writer {writer}"
+    assert sorted(versions.children(spark, f"{tmp_path}/commits")) == sorted(map(str, names))
+
+
 def test_one_of_two_writers_fails(spark, tmp_path):
     """Both begin from the same state: the second changes nothing, and its version goes."""
     first, second = (versions.CatalogVersions(spark, str(tmp_path)) for _ in range(2))
